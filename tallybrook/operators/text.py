@@ -81,10 +81,19 @@ def char_count(
     text: str = "value",
     exclude: list[str] = C.MARKS,
     ignore_case: bool = False,
+    blank_lines: bool = False,
 ) -> DataFrame:
-    """(ch, n) per character that is not excluded; line ends never count."""
+    """(ch, n) per character that is not excluded; line ends never count.
+
+    With `blank_lines`, lines without any character are counted under the empty
+    string, as a split of every line into characters would have it.
+    """
     counts = all_char_counts(texts, text)
-    return counts.where(~tf.in_list(F.col("ch"), exclude, ignore_case) & (F.col("ch") != "\n"))
+    kept = counts.where(~tf.in_list(F.col("ch"), exclude, ignore_case) & (F.col("ch") != "\n"))
+    if not blank_lines:
+        return kept
+    lines = texts.select(F.explode(F.split(text, "\n")).alias("ch")).where(F.col("ch") == "")
+    return kept.unionByName(lines.groupBy("ch").agg(F.count(F.lit(1)).alias("n")))
 
 
 def mark_count(texts: DataFrame, text: str = "value", marks: list[str] = C.MARKS) -> DataFrame:

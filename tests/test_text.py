@@ -1,0 +1,148 @@
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallybrook import constants as C
+from tallybrook.functions import text as tf
+from tallybrook.operators import groups, text
+
+SLOW = settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+TEXT = st.text(alphabet="ab,。 \n月é😀《", max_size=30)
+
+
+def split_without_trailing(value, separator):
+    if value == "":
+        return [""]
+    parts = value.split(separator)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def as_dict(frame, key):
+    rows = frame.collect()
+    assert len({r[key] for r in rows}) == len(rows)
+    return {r[key]: r.n for r in rows}
+
+
+@SLOW
+@given(st.lists(st.text(alphabet="ab, #", max_size=8), min_size=1, max_size=20))
+def test_fields_drop_trailing_empties(lines, values):
+    for separator in (" ", ",", "#"):
+        frame = lines(values).select("value", tf.fields(F.col("value"), separator).alias("f"))
+        for row in frame.collect():
+            assert row.f == split_without_trailing(row.value, separator)
+
+
+def test_non_blank(lines):
+    frame = lines(["", " \t ", "x", None]).select("value", tf.non_blank(F.col("value")).alias("b"))
+    assert {r.value: r.b for r in frame.collect()} == {"": False, " \t ": False, "x": True, None: False}
+
+
+@SLOW
+@given(st.lists(st.one_of(st.none(), TEXT), max_size=12))
+def test_char_counts(lines, values):
+    every = Counter(c for v in values if v for c in v if c != "\n")
+    frame = lines(values or [None])
+    counted = {c: n for c, n in every.items() if c not in C.MARKS}
+    assert as_dict(text.char_count(frame), "ch") == counted
+    marks = {c: n for c, n in every.items() if c in C.MARKS}
+    assert as_dict(text.mark_count(frame), "ch") == marks
+    row = text.mark_vs_word(frame).first()
+    assert (row.mark_sum, row.word_sum) == (sum(marks.values()), sum(counted.values()))
+
+
+def test_char_count_of_sliced_and_long_texts(spark, lines, monkeypatch):
+    monkeypatch.setattr(text, "_PIECE_BYTES", 7)
+    values = ["月é😀ab" * 20, "", "x月"] * 30
+    expected = Counter("".join(values))
+    assert as_dict(text.char_count(lines(values, 3)), "ch") == expected
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        assert as_dict(text.char_count(lines(values, 3)), "ch") == expected
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_char_count_modes(lines):
+    frame = lines(["aAb", "", "b\n\nc"])
+    assert as_dict(text.char_count(frame, exclude=["A"], ignore_case=True), "ch") == {"b": 2, "c": 1}
+    assert as_dict(text.char_count(frame, blank_lines=True), "ch") == {
+        "a": 1, "A": 1, "b": 2, "c": 1, "": 2,
+    }
+
+
+def test_char_count_is_the_same_for_any_partitioning(lines):
+    values = [f"line {i} 月。" for i in range(50)]
+    one, four = (as_dict(text.char_count(lines(values, n)), "ch") for n in (1, 4))
+    assert one == four
+
+
+@SLOW
+@given(st.lists(TEXT, min_size=1, max_size=12))
+def test_word_count(lines, values):
+    expected = Counter(
+        w for v in values for line in v.split("\n") for w in split_without_trailing(line, " ")
+    )
+    assert as_dict(text.word_count(lines(values)), "word") == expected
+
+
+def test_keyword_sentences_stay_within_lines(spark):
+    rows = [("f", "春月。江水。月\n夜。。月"), ("g", "水。")]
+    frame = spark.createDataFrame(rows, "file string, value string")
+    found = text.keyword_sentences(frame, ["file"])
+    assert sorted((r.file, r.pos, r.sentence) for r in found.collect()) == [
+        ("f", 0, "春月"),
+        ("f", 2, "月"),
+        ("f", 5, "月"),
+    ]
+    joined = text.sentences_by_key(found, ["file"], F.col("pos"), trailing=True).collect()
+    assert [(r.file, r.part, r.n_values, r.joined) for r in joined] == [
+        ("f", 0, 3, "春月---|---月---|---月---|---")
+    ]
+
+
+def test_hot_group_is_split_and_whole(spark):
+    """One key holds most rows; its parts stay small and together hold every row."""
+    rows = [(None if i % 7 == 0 else "hot" if i % 7 < 5 else f"k{i % 40}", f"s{i % 11}", i)
+            for i in range(4000)]
+    frame = spark.createDataFrame(rows, "key string, sentence string, id long").repartition(4)
+    result = groups.concat_groups(frame, ["key"], "sentence", F.col("id"), "|", max_bytes=500)
+    found = result.collect()
+    assert max(len(r.joined) for r in found) < 1000
+    per_key = Counter()
+    for r in found:
+        values = r.joined.split("|")
+        assert values == sorted(values) and len(values) == r.n_values
+        per_key.update((r.key, v) for v in values)
+    assert per_key == Counter((k, s) for k, s, _ in rows)
+    small = [r for r in found if r.key == "k5"]
+    assert [r.part for r in small] == [0] * len(small) or len(small) > 1
+
+
+def test_split_adds_a_shuffle_on_key_and_part(spark):
+    frame = spark.range(100).selectExpr("id % 3 as key", "id")
+    plan = groups.split_hot_groups(frame, ["key"], F.lit(1), F.col("id"), 10)
+    counts = plan.groupBy("key", "part").count()
+    text_plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "part" in [line for line in text_plan.split("\n") if "Exchange hashpartitioning" in line][0]
+
+
+def test_cogroup_lists(spark):
+    left = spark.createDataFrame([(1, 5, 0), (1, 3, 1), (2, 9, 2)], "k int, v int, id long")
+    right = spark.createDataFrame([(1, 7, 3), (3, 1, 4)], "k int, v int, id long")
+    rows = groups.cogroup_lists(left, right, ["k"], "v", "id").orderBy("k").collect()
+    assert [(r.k, r.part, r.left_values, r.right_values) for r in rows] == [
+        (1, 0, [3, 5], [7]),
+        (2, 0, [9], []),
+        (3, 0, [], [1]),
+    ]
+    parts = groups.cogroup_lists(left, right, ["k"], "v", "id", max_rows=1).collect()
+    of_one = [r for r in parts if r.k == 1]
+    assert sorted(v for r in of_one for v in r.left_values) == [3, 5]
+    assert sorted(v for r in of_one for v in r.right_values) == [7]
+    assert len(of_one) > 1
