@@ -52,3 +52,13 @@ def in_list(value: Column, members: list[str], ignore_case: bool = False) -> Col
     if ignore_case:
         return F.lower(value).isin([m.lower() for m in members])
     return value.isin(members)
+
+
+def once(value: Column) -> Column:
+    """The same value, worked out once per row wherever it is used.
+
+    Spark copies a projected expression into every filter and column that uses
+    it. The one element of an unfolded array is not copied. Use it on its own
+    in a select, for a value that is costly and used several times.
+    """
+    return F.explode(F.array(value))

@@ -19,7 +19,7 @@ def preferences(
     its behaviour is the kept one. Empty types give no row.
     """
     split = messages.where(tf.non_blank(F.col(text))).select(
-        tf.fields(F.col(text), ",").alias("_f")
+        tf.once(tf.fields(F.col(text), ",")).alias("_f")
     )
     valid = split.where(F.get("_f", F.lit(1)) == kept)
     types = F.slice("_f", F.lit(3), F.greatest(F.size("_f") - 2, F.lit(0)))

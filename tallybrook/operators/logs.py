@@ -36,7 +36,7 @@ def parse_call_lines(
     schema = T.StructType([*LOG_LINE.fields, _CORRUPT])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT.name}
     parsed = marked.select(
-        F.col(text).alias("_text"), F.from_json(text, schema, options).alias("log")
+        F.col(text).alias("_text"), tf.once(F.from_json(text, schema, options)).alias("log")
     ).select(
         "_text",
         F.when(tf.non_blank(F.col("log.message")), tf.first_field(F.col("log.message"), " "))

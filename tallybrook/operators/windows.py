@@ -19,11 +19,42 @@ def access_hits(
     prefix: str = C.ACCESS_PATH_PREFIX,
 ) -> DataFrame:
     """`ip` of every line with enough fields and a path that starts as asked."""
-    split = lines.select(*(keep or []), tf.fields(F.col(text), " ").alias("_f"))
+    split = lines.select(*(keep or []), tf.once(tf.fields(F.col(text), " ")).alias("_f"))
     wanted = (F.size("_f") >= min_fields) & F.get("_f", F.lit(path_field)).startswith(prefix)
     return split.where(wanted).select(*(keep or []), F.get("_f", F.lit(ip_field)).alias("ip"))
 
 
+def interval_counts(
+    rows: DataFrame, key: str, ts: str = "ts", minutes: int = C.WINDOW_SLIDE_MINUTES
+) -> DataFrame:
+    """(interval_start, key, n) for intervals that follow one another. Also for streams."""
+    return (
+        rows.where(F.col(ts).isNotNull())
+        .groupBy(F.window(ts, f"{minutes} minutes").alias("_w"), key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("_w.start").alias("interval_start"), key, "n")
+    )
+
+
+def sum_intervals(
+    counts: DataFrame,
+    key: str,
+    length_minutes: int = C.WINDOW_LENGTH_MINUTES,
+    slide_minutes: int = C.WINDOW_SLIDE_MINUTES,
+) -> DataFrame:
+    """(window_start, key, n) for sliding windows over counts per slide interval."""
+    if length_minutes % slide_minutes:
+        raise ValueError("the window length must be a multiple of the slide")
+    last = F.col("interval_start")
+    first = last - F.expr(f"interval {length_minutes - slide_minutes} minutes")
+    starts = F.sequence(first, last, F.expr(f"interval {slide_minutes} minutes"))
+    return (
+        counts.select(F.explode(starts).alias("window_start"), key, "n")
+        .groupBy("window_start", key)
+        .agg(F.sum("n").alias("n"))
+    )
+
+
 def sliding_counts(
     rows: DataFrame,
     key: str,
@@ -37,18 +68,5 @@ def sliding_counts(
     into the windows that cover them: a hot key costs one count per interval
     and not one copy of each of its rows per window.
     """
-    if length_minutes % slide_minutes:
-        raise ValueError("the window length must be a multiple of the slide")
-    slide = F.expr(f"interval {slide_minutes} minutes")
-    panes = (
-        rows.where(F.col(ts).isNotNull())
-        .groupBy(F.window(ts, f"{slide_minutes} minutes").alias("_pane"), key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    first = F.col("_pane.start") - F.expr(f"interval {length_minutes - slide_minutes} minutes")
-    starts = F.explode(F.sequence(first, F.col("_pane.start"), slide))
-    return (
-        panes.select(starts.alias("window_start"), key, "_n")
-        .groupBy("window_start", key)
-        .agg(F.sum("_n").alias("n"))
-    )
+    counts = interval_counts(rows, key, ts, slide_minutes)
+    return sum_intervals(counts, key, length_minutes, slide_minutes)

@@ -97,21 +97,19 @@ RUNNING_SQL = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
 
 def stream_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.access_log_lines(_stream(spark, sf_dir, "events"))
-    counts = jobs.sliding_windows(windows.access_hits(lines, keep=["ts"]), "ip")
+    hits = windows.access_hits(lines, keep=["ts"])
     changes = _run(
-        spark,
-        "windows",
-        lambda out, ck: write_per_batch(counts, lambda b: b, out, ck, None, "update"),
+        spark, "windows", lambda out, ck: jobs.interval_state(hits, "ip", out, ck, interval=None)
     )
-    state = latest_state(changes, ["window_start", "ip"], ["n"])
-    return state.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    counts = windows.sum_intervals(latest_state(changes, ["interval_start", "ip"], ["n"]), "ip")
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def stream_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per customer segment of each batch."""
-    events = _stream(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"))
+    events = _stream(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"), "event_id")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    joined = jobs.with_lookup(events, customers, ["c_custkey"])
+    joined = jobs.with_lookup(events, customers, ["c_custkey"], F.col("event_id"))
     return _run(
         spark,
         "lookup",

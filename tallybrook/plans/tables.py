@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.functions.text import once
+
 
 class Query(NamedTuple):
     """A registered query and, where SQL can say the same, its SQL."""
@@ -36,7 +38,7 @@ def api_log_lines(events: DataFrame) -> DataFrame:
         F.struct("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).alias("contextMap"),
         F.col("event_id").cast("string").alias("traceId"),
     )
-    return events.select(F.to_json(line).alias("value"))
+    return events.select(once(F.to_json(line)).alias("value"))
 
 
 # Lines of api_log_lines that carry a marker, as columns.
@@ -60,14 +62,15 @@ def merchant_log_lines(events: DataFrame) -> DataFrame:
         F.floor("value").cast("string"),
         F.lit("ms>"),
     )
-    return events.select(F.when(F.col("event_type") == "error", time).otherwise(whole).alias("value"))
+    line = F.when(F.col("event_type") == "error", time).otherwise(whole)
+    return events.select(once(line).alias("value"))
 
 
 def behavior_messages(events: DataFrame) -> DataFrame:
     """`user,behaviour,type,type` messages; errors are of another behaviour."""
     kind = F.when(F.col("event_type") == "error", "AUDIO").otherwise("VIDEO_DY")
     tier = F.concat(F.lit("tier"), F.floor(F.col("value") / 10).cast("string"))
-    return events.select(F.concat_ws(",", "user_id", kind, "event_type", tier).alias("value"))
+    return events.select(once(F.concat_ws(",", "user_id", kind, "event_type", tier)).alias("value"))
 
 
 BEHAVIOR_SQL = """
@@ -83,7 +86,7 @@ def access_log_lines(events: DataFrame) -> DataFrame:
     path = path.otherwise(F.concat(F.lit("/"), "event_type"))
     head = F.concat(F.lit("10.0.0."), "user_id", F.lit(" - - t z GET"))
     code = F.when(F.col("event_type") == "signup", F.lit(" ")).otherwise(F.lit(" 200 "))
-    return events.select("ts", F.concat(head, code, path).alias("value"))
+    return events.select("ts", once(F.concat(head, code, path)).alias("value"))
 
 
 ACCESS_SQL = """

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings that matter for the jobs in this package. The caller owns the
-# session and may override any of them.
+# session and may override any of them. Streaming state is kept by RocksDB,
+# which holds more than fits in executor memory.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook import constants as C
-from tallybrook.operators import behavior, text
+from tallybrook.operators import behavior, relational, text, windows
 from tallybrook.streaming.runner import write_per_batch
 
 
@@ -91,7 +91,32 @@ def running_counts(
     return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update")
 
 
-def sliding_windows(
+def _timed(rows: DataFrame, ts: str, lateness: str, *keep: str) -> DataFrame:
+    """Times with a watermark. Times without a zone are taken as session time."""
+    return rows.select(F.col(ts).cast("timestamp").alias(ts), *keep).withWatermark(ts, lateness)
+
+
+def interval_state(
+    rows: DataFrame,
+    key: str,
+    out: str,
+    checkpoint: str,
+    ts: str = "ts",
+    lateness: str = "10 minutes",
+    slide_minutes: int = C.WINDOW_SLIDE_MINUTES,
+    interval: str | None = C.ACCESS_LOG_INTERVAL,
+) -> StreamingQuery:
+    """Counts per key and slide interval: the changed counts of every batch.
+
+    The state is one count per interval. The sliding windows follow from its
+    newest values by `windows.sum_intervals`; keeping the windows themselves
+    would hold every count once per window that covers it.
+    """
+    counts = windows.interval_counts(_timed(rows, ts, lateness, key), key, ts, slide_minutes)
+    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update")
+
+
+def closed_windows(
     rows: DataFrame,
     key: str,
     ts: str = "ts",
@@ -99,24 +124,27 @@ def sliding_windows(
     length_minutes: int = C.WINDOW_LENGTH_MINUTES,
     slide_minutes: int = C.WINDOW_SLIDE_MINUTES,
 ) -> DataFrame:
-    """(window_start, key, n) as a stream: event time, late rows after the watermark dropped.
+    """(window_start, key, n) as a stream to append: each window once, when it is final.
 
-    Times without a zone are taken as session time, which the watermark needs.
+    Rows that come after the watermark has passed their window are dropped.
     """
-    timed = rows.select(F.col(ts).cast("timestamp").alias("_ts"), key).withWatermark(
-        "_ts", lateness
-    )
-    window = F.window("_ts", f"{length_minutes} minutes", f"{slide_minutes} minutes")
+    window = F.window(ts, f"{length_minutes} minutes", f"{slide_minutes} minutes")
     return (
-        timed.groupBy(window.alias("_w"), key)
+        _timed(rows, ts, lateness, key)
+        .groupBy(window.alias("_w"), key)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("_w.start").alias("window_start"), key, "n")
     )
 
 
-def with_lookup(rows: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
-    """Join a stream with a table. The table has no hint: Spark sizes it."""
-    return rows.join(lookup, on)
+def with_lookup(
+    rows: DataFrame, lookup: DataFrame, on: list[str], spread: Column, salts: int = 8
+) -> DataFrame:
+    """Join a stream with a table, a hot key of the stream spread over `salts` tasks.
+
+    The table has no broadcast hint: Spark sizes it.
+    """
+    return relational.salted_join(rows, lookup, on, spread, salts)
 
 
 def window_cogroup(
@@ -131,9 +159,9 @@ def window_cogroup(
     stacked = left.select(key, ts, F.lit(True).alias("_left")).union(
         right.select(key, ts, F.lit(False).alias("_left"))
     )
-    timed = stacked.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
     return (
-        timed.groupBy(F.window(ts, window).alias("_w"), key)
+        _timed(stacked, ts, lateness, key, "_left")
+        .groupBy(F.window(ts, window).alias("_w"), key)
         .agg(
             F.count_if(F.col("_left")).alias("n_left"),
             F.count_if(~F.col("_left")).alias("n_right"),

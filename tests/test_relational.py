@@ -62,12 +62,12 @@ def test_union_keeps_duplicates_and_counts_them(people):
     assert {x.n for x in r.count_by_value(both).collect()} == {2}
 
 
-def test_sort_and_top(people):
+def test_sort_and_top(people, capsys):
     assert [x.age for x in r.sort_desc(people, "age").collect()] == [28, 27, 26, 25, 24, 23]
     top = r.top_n(people, 2, "age", "name")
     assert [x.name for x in top.collect()] == ["f", "e"]
-    plan = top._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
+    top.explain()
+    assert "TakeOrderedAndProject" in capsys.readouterr().out
 
 
 def test_numbers_given_as_text_sort_as_numbers(spark):

@@ -14,7 +14,6 @@ from tallybrook.streaming.runner import (
     read_per_batch,
     stop_after_batch,
     write_closed,
-    write_per_batch,
 )
 
 
@@ -102,7 +101,7 @@ def hits(spark, folders, minutes_by_file):
 
 def test_closed_windows_equal_batch(spark, folders):
     stream = hits(spark, folders, [range(0, 30), range(30, 60), range(60, 90), [200]])
-    closed = jobs.sliding_windows(stream, "ip", lateness="30 minutes")
+    closed = jobs.closed_windows(stream, "ip", lateness="30 minutes")
     write_closed(closed, folders["out"], folders["ck"]).awaitTermination()
     found = spark.read.parquet(folders["out"]).withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")
@@ -117,18 +116,17 @@ def test_closed_windows_equal_batch(spark, folders):
 
 def test_window_state_equals_batch(spark, folders):
     stream = hits(spark, folders, [range(0, 15), range(10, 25)])
-    counts = jobs.sliding_windows(stream, "ip")
-    write_per_batch(
-        counts, lambda b: b, folders["out"], folders["ck"], None, "update"
-    ).awaitTermination()
+    query = jobs.interval_state(stream, "ip", folders["out"], folders["ck"], interval=None)
+    query.awaitTermination()
     changes = read_per_batch(spark, folders["out"])
-    state = latest_state(changes, ["window_start", "ip"], ["n"]).withColumn(
+    state = latest_state(changes, ["interval_start", "ip"], ["n"])
+    found = windows.sum_intervals(state, "ip").withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")
     )
     batch = windows.sliding_counts(spark.read.parquet(folders["in"]), "ip")
     columns = ("window_start", "ip", "n")
     assert changes.select("batch_id").distinct().count() >= 2
-    assert rows(state, *columns) == rows(batch, *columns)
+    assert rows(found, *columns) == rows(batch, *columns)
 
 
 def test_running_counts(spark, folders):
@@ -141,7 +139,7 @@ def test_running_counts(spark, folders):
 def test_stream_joins_a_table(spark, folders):
     stream = hits(spark, folders, [range(0, 5)])
     lookup = spark.createDataFrame([("a", "home"), ("c", "away")], "ip string, place string")
-    joined = jobs.with_lookup(stream, lookup, ["ip"])
+    joined = jobs.with_lookup(stream, lookup, ["ip"], F.col("ts"))
     write_closed(joined, folders["out"], folders["ck"]).awaitTermination()
     assert rows(spark.read.parquet(folders["out"]), "ip", "place") == [("a", "home")] * 3
 
