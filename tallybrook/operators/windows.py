@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook import constants as C
 from tallybrook.functions import text as tf
 
+# Sliding windows are worked out per key and block of so many window lengths.
+BLOCK_LENGTHS = 6
+
 
 def access_hits(
     lines: DataFrame,
@@ -42,17 +45,43 @@ def sum_intervals(
     length_minutes: int = C.WINDOW_LENGTH_MINUTES,
     slide_minutes: int = C.WINDOW_SLIDE_MINUTES,
 ) -> DataFrame:
-    """(window_start, key, n) for sliding windows over counts per slide interval."""
+    """(window_start, key, n) for sliding windows over counts per slide interval.
+
+    A count raises the windows from the first to the last one that covers its
+    interval, and lowers the one after. Summed up in time order, these changes
+    give the count of every window between one change and the next, and only
+    then are windows written out: no count is copied per window.
+
+    Changes are sorted per key and block of time, so a hot key has one group
+    per block, of at most one change per interval at either end. A count whose
+    windows start in two blocks goes to both.
+    """
     if length_minutes % slide_minutes:
         raise ValueError("the window length must be a multiple of the slide")
-    last = F.col("interval_start")
-    first = last - F.expr(f"interval {length_minutes - slide_minutes} minutes")
-    starts = F.sequence(first, last, F.expr(f"interval {slide_minutes} minutes"))
-    return (
-        counts.select(F.explode(starts).alias("window_start"), key, "n")
-        .groupBy("window_start", key)
-        .agg(F.sum("n").alias("n"))
-    )
+    minutes = lambda n: F.expr(f"interval {n} minutes")
+    block_minutes = BLOCK_LENGTHS * length_minutes
+    slide, block = minutes(slide_minutes), F.col("_block")
+    last, block_end = F.col("interval_start"), block + minutes(block_minutes)
+    first = last - minutes(length_minutes - slide_minutes)
+
+    own = counts.select("*", F.window(last, f"{block_minutes} minutes").start.alias("_own"))
+    blocks = F.when(first < F.col("_own"), F.array(F.col("_own") - minutes(block_minutes), "_own"))
+    placed = own.select(
+        "interval_start", key, "n", F.explode(blocks.otherwise(F.array("_own"))).alias("_block")
+    ).repartition(F.col(key), block)
+
+    rise = F.struct(F.greatest(first, block).alias("at"), F.col("n").alias("by"))
+    fall = F.struct(F.least(last + slide, block_end).alias("at"), (-F.col("n")).alias("by"))
+    changes = placed.select(key, "_block", F.inline(F.array(rise, fall)))
+    in_order = Window.partitionBy(key, "_block").orderBy("at")
+    steps = changes.select(
+        key,
+        "at",
+        F.lead("at").over(in_order).alias("_next"),
+        F.sum("by").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("n"),
+    ).where((F.col("_next") > F.col("at")) & (F.col("n") > 0))
+    starts = F.sequence("at", F.col("_next") - slide, slide)
+    return steps.select(F.explode(starts).alias("window_start"), key, "n")
 
 
 def sliding_counts(

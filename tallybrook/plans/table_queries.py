@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import numeric
+from tallybrook.functions.text import once
 from tallybrook.operators import groups, relational
 from tallybrook.plans.tables import Query, table
 
@@ -110,10 +111,9 @@ def distinct_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    props = F.from_json("props", "k int").alias("p")
-    return table(spark, sf_dir, "events").select("event_id", props).select(
-        "event_id", "p.k"
-    ).where("k > 26")
+    props = once(F.from_json("props", "k int")).alias("p")
+    parsed = table(spark, sf_dir, "events").select("event_id", props)
+    return parsed.select("event_id", "p.k").where("k > 26")
 
 
 JSON_FILTER_SQL = """
