@@ -12,8 +12,12 @@ WHITESPACE = " \t\n\r\f\x0b"
 
 
 def non_blank(text: Column) -> Column:
-    """True when the string holds something besides whitespace."""
-    return F.coalesce(F.trim(text, F.lit(WHITESPACE)) != "", F.lit(False))
+    """True when the string holds something besides whitespace.
+
+    Most lines show it by their first character and are not trimmed.
+    """
+    trimmed = F.trim(text, F.lit(WHITESPACE)) != ""
+    return F.when(F.substring(text, 1, 1) > " ", True).otherwise(F.coalesce(trimmed, F.lit(False)))
 
 
 def contains_any(text: Column, tokens: list[str]) -> Column:

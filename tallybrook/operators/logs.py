@@ -28,29 +28,29 @@ def parse_call_lines(
 ) -> DataFrame:
     """Marked JSON lines as `uri`, `context`, `ts`, `level`, `trace_id`, `bad_line`.
 
-    Lines that are blank or carry no marker are dropped before the JSON is
-    parsed. A line that is not JSON, or has no usable time, keeps its text in
+    Lines without a marker, blank ones among them, are dropped before the JSON
+    is parsed. A line that is not JSON, or has no usable time, keeps its text in
     `bad_line` and never fails the job.
     """
-    marked = lines.where(tf.non_blank(F.col(text)) & tf.contains_any(F.col(text), markers))
+    marked = lines.where(tf.contains_any(F.col(text), markers))
     schema = T.StructType([*LOG_LINE.fields, _CORRUPT])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT.name}
     parsed = marked.select(
         F.col(text).alias("_text"), tf.once(F.from_json(text, schema, options)).alias("log")
-    ).select(
-        "_text",
+    )
+    timed = parsed.select(
+        "_text", "log", tf.once(clock.parse_log_time(F.col("log.logTime"))).alias("ts")
+    )
+    bad = F.col("log._corrupt").isNotNull() | F.col("ts").isNull()
+    return timed.select(
         F.when(tf.non_blank(F.col("log.message")), tf.first_field(F.col("log.message"), " "))
         .otherwise(F.lit(""))
         .alias("uri"),
         F.col("log.contextMap").alias("context"),
-        clock.parse_log_time(F.col("log.logTime")).alias("ts"),
+        "ts",
         F.col("log.level").alias("level"),
         F.col("log.traceId").alias("trace_id"),
-        F.col("log._corrupt").alias("_corrupt"),
-    )
-    bad = F.col("_corrupt").isNotNull() | F.col("ts").isNull()
-    return parsed.select(
-        "uri", "context", "ts", "level", "trace_id", F.when(bad, F.col("_text")).alias("bad_line")
+        F.when(bad, F.col("_text")).alias("bad_line"),
     )
 
 

@@ -9,6 +9,7 @@ from tallybrook.functions import clock, numeric
 from tallybrook.operators import behavior, logs, windows
 from tallybrook.plans import tables as t
 from tallybrook.plans.tables import Query, table
+from tallybrook.sinks.files import tuple_lines
 
 DAY_MS = 86_400_000
 
@@ -128,6 +129,16 @@ FROM events GROUP BY merchant ORDER BY n DESC, merchant
 """
 
 
+def merchant_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(merchant,count)` lines, most first."""
+    return tuple_lines(merchant_count(spark, sf_dir), "merchant", "n")
+
+
+MERCHANT_LINES_SQL = f"""
+SELECT '(' || coalesce(merchant, 'null') || ',' || n || ')' AS value FROM ({MERCHANT_SQL})
+"""
+
+
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behavior.user_profiles(t.behavior_messages(table(spark, sf_dir, "events")))
 
@@ -174,6 +185,7 @@ QUERIES = {
     "avg_sum_by_key": Query(avg_sum_by_key, AVG_SUM_SQL),
     "log_time_millis": Query(log_time_millis, LOG_TIME_SQL),
     "merchant_count": Query(merchant_count, MERCHANT_SQL),
+    "merchant_lines": Query(merchant_lines, MERCHANT_LINES_SQL),
     "user_profile": Query(user_profile, _PROFILE_SQL),
     "preference_counts": Query(preference_counts, PREFERENCE_SQL),
     "sliding_count": Query(sliding_count, _sliding_sql("FROM events", "user_id")),

@@ -125,6 +125,22 @@ FROM events JOIN customer ON user_id = c_custkey GROUP BY c_mktsegment
 """
 
 
+def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls of two streams: an event starts one, its value is the cost in millis."""
+    events = _stream(spark, sf_dir, "events")
+    millis = F.floor("value").cast("decimal(18,3)") / 1000
+    later = F.col("ts") + F.make_dt_interval(secs=millis.cast("decimal(18,6)"))
+    responses = _stream(spark, sf_dir, "events").select("event_id", later.alias("ts"))
+    costs = jobs.join_calls(events, responses, "event_id")
+    found = _run(
+        spark, "join", lambda out, ck: write_per_batch(costs, lambda b: b, out, ck)
+    )
+    return found.drop("batch_id")
+
+
+STREAM_JOIN_SQL = "SELECT event_id, CAST(floor(value) AS BIGINT) AS cost_ms FROM events"
+
+
 def stream_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks and purchases per user and day, from two streams."""
     clicks = _stream(spark, sf_dir, "events").where("event_type = 'click'")
@@ -156,5 +172,6 @@ QUERIES = {
     "stream_running_count": Query(stream_running_count, RUNNING_SQL),
     "stream_ip_count": Query(stream_ip_count, _sliding_sql(t.ACCESS_SQL, "ip")),
     "stream_lookup_join": Query(stream_lookup_join, STREAM_LOOKUP_SQL),
+    "stream_join": Query(stream_join, STREAM_JOIN_SQL),
     "stream_cogroup": Query(stream_cogroup, STREAM_COGROUP_SQL),
 }

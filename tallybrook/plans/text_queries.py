@@ -9,6 +9,7 @@ from tallybrook import constants as C
 from tallybrook.functions import text as tf
 from tallybrook.operators import relational, text
 from tallybrook.plans.tables import Query, table
+from tallybrook.sinks.files import tab_lines
 
 # Sentences are joined into texts of about this many bytes.
 PART_BYTES = 32 * 1024
@@ -42,6 +43,18 @@ WHERE ch <> '' AND ch NOT IN {_MARKS_SQL} GROUP BY ch ORDER BY n DESC, ch
 """
 
 
+def char_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`character TAB count` lines in byte order of the character."""
+    counts = text.char_count(table(spark, sf_dir, "documents"), "text").orderBy("ch")
+    return tab_lines(counts, "ch", "n")
+
+
+CHAR_LINES_SQL = f"""
+SELECT ch || chr(9) || count(*) AS value FROM ({_CHARS_SQL})
+WHERE ch <> '' AND ch NOT IN {_MARKS_SQL} GROUP BY ch ORDER BY ch
+"""
+
+
 def mark_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.mark_count(table(spark, sf_dir, "documents"), "text")
 
@@ -133,6 +146,7 @@ WHERE trim(line) <> '' AND (contains(line, 'the') OR contains(line, 'qu')) GROUP
 
 QUERIES = {
     "char_count": Query(char_count, CHAR_SQL),
+    "char_lines": Query(char_lines, CHAR_LINES_SQL),
     "mark_count": Query(mark_count, MARK_SQL),
     "mark_vs_word": Query(mark_vs_word, MARK_WORD_SQL),
     "char_count_ignore_case": Query(char_count_ignore_case, CHAR_IGNORE_CASE_SQL),

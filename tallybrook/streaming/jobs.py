@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook import constants as C
+from tallybrook.functions import clock
 from tallybrook.operators import behavior, relational, text, windows
 from tallybrook.streaming.runner import write_per_batch
 
@@ -147,6 +148,33 @@ def with_lookup(
     return relational.salted_join(rows, lookup, on, spread, salts)
 
 
+def join_calls(
+    requests: DataFrame,
+    responses: DataFrame,
+    key: str,
+    ts: str = "ts",
+    max_cost_ms: int = C.MAX_COST_MS,
+    lateness: str = "10 minutes",
+) -> DataFrame:
+    """Join two streams: (key, cost_ms) of each request and its response.
+
+    The key is that of one call, so either side has it once. The bound on the
+    cost lets Spark drop a call from the state when no response can follow.
+    """
+    asked = _timed(requests, ts, lateness, key).withColumnRenamed(ts, "_asked")
+    answered = _timed(responses, ts, lateness, key).withColumnsRenamed(
+        {ts: "_answered", key: "_key"}
+    )
+    bound = F.expr(f"make_dt_interval(0, 0, 0, {max_cost_ms / 1000:.3f})")
+    in_time = (F.col("_answered") >= F.col("_asked")) & (
+        F.col("_answered") <= F.col("_asked") + bound
+    )
+    cost = clock.millis_between(F.col("_asked"), F.col("_answered"))
+    return asked.join(answered, (F.col(key) == F.col("_key")) & in_time).select(
+        key, cost.alias("cost_ms")
+    )
+
+
 def window_cogroup(
     left: DataFrame, right: DataFrame, key: str, ts: str, window: str, lateness: str
 ) -> DataFrame:

@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert normal(found) == normal(expected)
 
 
-@pytest.mark.parametrize("name", ["sort_desc", "topn_orders", "delimited_rows", "char_count"])
+@pytest.mark.parametrize("name", ["sort_desc", "topn_orders", "delimited_rows", "char_count", "char_lines", "pair_latency"])
 def test_order_equals_sql(spark, duck, sf_dir, name):
     result = QUERIES[name](spark, sf_dir)
     cursor = duck.execute(SQL[name])

@@ -144,6 +144,20 @@ def test_stream_joins_a_table(spark, folders):
     assert rows(spark.read.parquet(folders["out"]), "ip", "place") == [("a", "home")] * 3
 
 
+def test_stream_joins_stream(spark, folders):
+    asked = [("a", 0), ("b", 0), ("c", 5), ("d", 7), ("late", 600)]
+    answered = [("a", 10), ("b", 1000), ("c", 1006), ("x", 9)]
+    streams = []
+    for name, calls in (("asked", asked), ("answered", answered)):
+        data = [(key, START + timedelta(seconds=s)) for key, s in calls]
+        schema = "call string, ts timestamp_ntz"
+        spark.createDataFrame(data, schema).write.parquet(f"{folders['in']}/{name}")
+        streams.append(parquet_stream(spark, f"{folders['in']}/{name}", schema))
+    write_closed(jobs.join_calls(*streams, "call"), folders["out"], folders["ck"]).awaitTermination()
+    found = rows(spark.read.parquet(folders["out"]), "call", "cost_ms")
+    assert found == [("a", 10_000), ("b", 1_000_000)]
+
+
 def test_two_streams_per_window(spark, folders):
     stream = hits(spark, folders, [range(0, 30), [300]])
     even = stream.where("minute(ts) % 3 = 0")
