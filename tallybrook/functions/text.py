@@ -25,7 +25,7 @@ def contains_any(text: Column, tokens: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(t) for t in tokens])
 
 
-def fields(text: Column, separator: str, limit: int = -1) -> Column:
+def fields(text: Column, separator: str) -> Column:
     """Split on a one-character separator, without trailing empty fields.
 
     An empty string has one empty field; a string of separators alone has none.
@@ -37,7 +37,7 @@ def fields(text: Column, separator: str, limit: int = -1) -> Column:
     return (
         F.when(text == "", F.array(F.lit("")))
         .when(kept == "", nothing)
-        .otherwise(F.split(kept, re.escape(separator), limit))
+        .otherwise(F.split(kept, re.escape(separator)))
     )
 
 
@@ -46,6 +46,13 @@ def first_field(text: Column, separator: str) -> Column:
     return F.substring_index(text, separator, 1)
 
 
+def second_field(text: Column, separator: str) -> Column:
+    """The second of `fields`, null when there is none."""
+    kept = F.rtrim(text) if separator == " " else F.rtrim(text, F.lit(separator))
+    head = F.substring_index(kept, separator, 2)
+    return F.when(kept.contains(separator), F.substring_index(head, separator, -1))
+
+
 def pieces(text: Column, stop: str) -> Column:
     """Split at line ends and at a one-character stop mark; may hold empty pieces."""
     return F.split(text, f"[\n{re.escape(stop)}]")

@@ -71,6 +71,7 @@ def concat_groups(
         joined = F.concat(joined, F.lit(separator))
     return (
         split_hot_groups(rows.where(F.col(value).isNotNull()), keys, weight, spread, max_bytes)
+        .repartition(*keys, "part")
         .groupBy(*keys, "part")
         .agg(F.count(F.lit(1)).alias("n_values"), joined.alias("joined"))
     )

@@ -118,7 +118,7 @@ def report_lines(report: DataFrame, uri: str = "uri") -> DataFrame:
 
 def merchant_of(lines: DataFrame, text: str = "value") -> DataFrame:
     """`merchant` of every line: its second word without brackets, else null."""
-    second = F.get(tf.fields(F.col(text), " ", 3), 1)
+    second = tf.second_field(F.col(text), " ")
     name = F.when(tf.non_blank(F.col(text)), F.translate(second, "[]", ""))
     return lines.select(name.alias("merchant"))
 

@@ -17,11 +17,11 @@ def _source_of(path: str) -> F.Column:
     return F.regexp_extract(path, "source=([^/]+)", 1).alias("source")
 
 
-def _text_files(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """The documents as text files, in one folder per source."""
+def _text_files(spark: SparkSession, sf_dir: str, name: str, max_texts: int = 0) -> str:
+    """The documents as text files, in one folder per source, any number per file or few."""
     out = run_dir(spark, name)
     docs = table(spark, sf_dir, "documents").select("source", F.col("text").alias("value"))
-    docs.write.partitionBy("source").text(out)
+    docs.write.partitionBy("source").option("maxRecordsPerFile", max_texts).text(out)
     return out
 
 
@@ -47,7 +47,7 @@ SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GRO
 
 def whole_file_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Characters per source in text files that are read as one value each."""
-    files = sources.whole_files(spark, _text_files(spark, sf_dir, "whole"))
+    files = sources.whole_files(spark, _text_files(spark, sf_dir, "whole", 5000))
     return files.groupBy(_source_of("file_path")).agg(
         F.sum(F.length("value").cast("bigint")).alias("n_chars")
     )

@@ -23,7 +23,7 @@ def _plain(report: DataFrame) -> DataFrame:
 
 
 def _daily_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     return logs.pair_cost(events, ["user_id", "event_type", "day"])
 
 
@@ -49,7 +49,8 @@ ORDER BY avg_cost DESC, event_type
 
 def pair_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     costs = _daily_costs(spark, sf_dir)
-    return logs.rank_costs(costs, ["user_id", "event_type", "day"])
+    ranked = logs.rank_costs(costs, ["user_id", "event_type", "day"])
+    return ranked.withColumn("day", F.col("day").cast("string"))
 
 
 PAIR_SQL = f"{_DAILY_SQL} ORDER BY cost_ms DESC, user_id, event_type, day"

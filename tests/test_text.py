@@ -33,9 +33,16 @@ def as_dict(frame, key):
 @given(st.lists(st.text(alphabet="ab, #", max_size=8), min_size=1, max_size=20))
 def test_fields_drop_trailing_empties(lines, values):
     for separator in (" ", ",", "#"):
-        frame = lines(values).select("value", tf.fields(F.col("value"), separator).alias("f"))
+        value = F.col("value")
+        frame = lines(values).select(
+            "value",
+            tf.fields(value, separator).alias("f"),
+            tf.second_field(value, separator).alias("second"),
+        )
         for row in frame.collect():
-            assert row.f == split_without_trailing(row.value, separator)
+            expected = split_without_trailing(row.value, separator)
+            assert row.f == expected
+            assert row.second == (expected[1] if len(expected) > 1 else None)
 
 
 def test_non_blank(lines):
