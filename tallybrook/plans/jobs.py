@@ -68,8 +68,9 @@ def keyword_report(
     """
     lines = files.named_lines(spark, path)
     found = text.keyword_sentences(lines, ["file_name"], "value", keyword, stop)
-    spread = F.xxhash64("sentence", "pos")
-    return text.sentences_by_key(found, ["file_name"], spread, trailing=True)
+    # Numbers of rows straight from a scan: the same when a task is run again.
+    numbered = found.withColumn("row", F.monotonically_increasing_id())
+    return text.sentences_by_key(numbered, ["file_name"], F.col("row"), trailing=True)
 
 
 def department_totals(spark: SparkSession, employees: str, departments: str) -> DataFrame:
@@ -85,10 +86,15 @@ def department_totals(spark: SparkSession, employees: str, departments: str) ->
 
 
 def newest_dictionary_rows(
-    spark: SparkSession, connection: jdbc.Connection, table: str, n: int = 10
+    spark: SparkSession,
+    connection: jdbc.Connection,
+    table: str,
+    n: int = 10,
+    slices: jdbc.Slices | None = None,
 ) -> DataFrame:
-    """The n rows with the largest id of a database table."""
-    return relational.top_n(jdbc.read_table(spark, connection, table=table), n, "id")
+    """The n rows with the largest id of a database table, read in slices if given."""
+    rows = jdbc.read_table(spark, connection, table=table, slices=slices)
+    return relational.top_n(rows, n, "id")
 
 
 def profile_report(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook import constants as C
 from tallybrook.functions import clock, numeric
 from tallybrook.operators import behavior, logs, windows
 from tallybrook.plans import tables as t
@@ -106,8 +107,8 @@ SELECT event_type, {_AVG} AS avg_cost, s AS sum_cost, n AS n_calls FROM (
 
 
 def log_time_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    millis = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    seconds = F.date_format("ts", C.LOG_TIME_FORMAT_NO_MILLIS)
+    millis = F.date_format("ts", C.LOG_TIME_FORMAT)
     shown = F.when(F.col("event_type") == "signup", seconds).otherwise(millis)
     parsed = clock.epoch_millis(clock.parse_log_time(shown))
     return table(spark, sf_dir, "events").select("event_id", parsed.alias("millis"))

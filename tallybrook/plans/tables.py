@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook import constants as C
 from tallybrook.functions.text import once
 
 
@@ -22,14 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _log_time(pattern: str):
-    return F.date_format("ts", pattern)
-
-
 def api_log_lines(events: DataFrame) -> DataFrame:
     """JSON API log lines: errors carry no marker, signups have no millis."""
-    millis = _log_time("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    seconds = _log_time("yyyy-MM-dd'T'HH:mm:ss'Z'")
+    millis = F.date_format("ts", C.LOG_TIME_FORMAT)
+    seconds = F.date_format("ts", C.LOG_TIME_FORMAT_NO_MILLIS)
     marker = F.when(F.col("event_type") == "error", "@X").when(F.col("value") < 10, "@P")
     line = F.struct(
         F.when(F.col("event_type") == "signup", seconds).otherwise(millis).alias("logTime"),
@@ -51,7 +48,7 @@ API_LOG_SQL = """
 
 def merchant_log_lines(events: DataFrame) -> DataFrame:
     """Space-delimited log lines; those of errors hold the time alone."""
-    time = _log_time("yyyy-MM-dd'T'HH:mm:ss.SSS")
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
     whole = F.concat(
         time,
         F.lit(" ["),
@@ -68,7 +65,7 @@ def merchant_log_lines(events: DataFrame) -> DataFrame:
 
 def behavior_messages(events: DataFrame) -> DataFrame:
     """`user,behaviour,type,type` messages; errors are of another behaviour."""
-    kind = F.when(F.col("event_type") == "error", "AUDIO").otherwise("VIDEO_DY")
+    kind = F.when(F.col("event_type") == "error", "AUDIO").otherwise(C.KEPT_BEHAVIOR)
     tier = F.concat(F.lit("tier"), F.floor(F.col("value") / 10).cast("string"))
     return events.select(once(F.concat_ws(",", "user_id", kind, "event_type", tier)).alias("value"))
 

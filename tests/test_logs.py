@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tallybrook import constants as C
 from tallybrook.functions import clock, numeric
 from tallybrook.operators import behavior, logs, windows
 
@@ -95,6 +96,16 @@ def test_log_time_formats(lines):
     assert {r.value: r.ms for r in frame.collect()} == good
 
 
+def test_log_time_reads_what_the_formats_write(spark):
+    frame = spark.sql("SELECT timestamp'2024-05-22 01:02:03.045' AS ts")
+    for pattern, kept in ((C.LOG_TIME_FORMAT, 45), (C.LOG_TIME_FORMAT_NO_MILLIS, 0)):
+        shown = F.date_format("ts", pattern)
+        row = frame.select(
+            (clock.epoch_millis(clock.parse_log_time(shown)) % 1000).alias("ms")
+        ).first()
+        assert row.ms == kept
+
+
 def test_millis_are_cut_after_subtracting(spark):
     frame = spark.sql(
         "SELECT timestamp'2024-01-01 00:00:00.000900' a, timestamp'2024-01-01 00:00:00.002100' b"
@@ -196,14 +207,35 @@ def test_access_hits(lines):
     assert sorted(r.ip for r in rows) == ["1.1.1.1", "1.1.1.4"]
 
 
-def test_sliding_counts_brute_force(spark):
-    times = [START + timedelta(seconds=s) for s in (0, 59, 60, 61, 600, 3000, 3000)]
-    rows = [(k, t) for k in ("a", "b") for t in times[: 5 if k == "b" else 7]]
-    frame = spark.createDataFrame(rows, "ip string, ts timestamp_ntz")
-    found = {(r.window_start, r.ip): r.n for r in windows.sliding_counts(frame, "ip").collect()}
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 400 * 60)), min_size=1, max_size=60),
+    st.sampled_from([(10, 1), (6, 2), (60, 15), (3, 3)]),
+    st.sampled_from(["timestamp", "timestamp_ntz"]),
+)
+def test_sliding_counts_brute_force(spark, hits, shape, kind):
+    length, slide = shape
+    midnight = datetime(2024, 1, 14)
+    rows = [(k, midnight + timedelta(seconds=s)) for k, s in hits]
+    frame = spark.createDataFrame(rows, f"ip string, ts {kind}")
+    result = windows.sliding_counts(frame, "ip", "ts", length, slide)
+    found = [(r.window_start, r.ip, r.n) for r in result.collect()]
     expected = defaultdict(int)
     for k, t in rows:
-        minute = t.replace(second=0)
-        for back in range(10):
-            expected[minute - timedelta(minutes=back), k] += 1
-    assert found == expected
+        own = t - timedelta(seconds=(t - midnight).total_seconds() % (slide * 60))
+        for back in range(0, length, slide):
+            expected[own - timedelta(minutes=back), k] += 1
+    assert sorted(found) == sorted((*key, n) for key, n in expected.items())
+
+
+def test_sliding_counts_of_a_hot_key(spark):
+    frame = spark.range(20_000).selectExpr(
+        "if(id % 3 = 0, 0, id % 997) AS ip",
+        "timestamp_ntz'2024-01-14' + make_dt_interval(0, 0, 0, id % 7200) AS ts",
+    )
+    found = windows.sliding_counts(frame, "ip")
+    plain = frame.groupBy(F.window("ts", "10 minutes", "1 minute").start.alias("window_start"), "ip")
+    expected = plain.agg(F.count("*").alias("n"))
+    assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
