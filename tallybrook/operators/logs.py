@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,39 @@ def pair_cost(calls: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     )
 
 
+def folded_cost(calls: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
+    """`cost_ms` as the absolute differences folded over each key's times in order.
+
+    For two rows that is the gap; for four it is the first gap plus the second,
+    as of two calls with the same key; for an odd number it is close to a time
+    itself and falls outside any cost range. All of these are the alternating
+    sum of the times: a time that occurs an even number of times cancels out,
+    and every other time counts once, with the sign of its rank.
+
+    Ranks are taken per key and minute, where there are at most 60,000 different
+    times, and then over a key's minutes, so a hot key is never sorted as a whole.
+    """
+    millis, minute = F.unix_millis(F.col(ts).cast("timestamp")), F.expr("_ms div 60000")
+    times = calls.select(*keys, millis.alias("_ms")).where(F.col("_ms").isNotNull())
+    single = times.groupBy(*keys, "_ms").agg((F.count(F.lit(1)) % 2).alias("_odd"))
+    by_time = Window.partitionBy(*keys, "_minute").orderBy("_ms")
+    ranked = single.withColumn("_minute", minute).withColumn(
+        "_rank", F.sum("_odd").over(by_time.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    sign = F.when(F.col("_rank") % 2 == 1, F.col("_odd")).otherwise(-F.col("_odd"))
+    minutes = ranked.groupBy(*keys, "_minute").agg(
+        F.sum(sign * F.col("_ms")).alias("_sum"), F.sum("_odd").alias("_n")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    signed = F.when(before % 2 == 0, F.col("_sum")).otherwise(-F.col("_sum"))
+    return (
+        minutes.select(*keys, signed.alias("_sum"))
+        .groupBy(*keys)
+        .agg(F.abs(F.sum("_sum")).alias("cost_ms"))
+    )
+
+
 def in_cost_range(costs: DataFrame, max_cost_ms: int = C.MAX_COST_MS) -> DataFrame:
     """Costs above zero and up to the bound, both as milliseconds."""
     return costs.where((F.col("cost_ms") > 0) & (F.col("cost_ms") <= max_cost_ms))

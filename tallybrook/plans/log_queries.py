@@ -57,6 +57,21 @@ def pair_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAIR_SQL = f"{_DAILY_SQL} ORDER BY cost_ms DESC, user_id, event_type, day"
 
 
+def folded_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Costs of all calls of a user and type, repeated calls added up."""
+    events = table(spark, sf_dir, "events")
+    costs = logs.folded_cost(events, ["user_id", "event_type"])
+    return logs.in_cost_range(costs, 1000 * DAY_MS)
+
+
+FOLDED_SQL = f"""
+SELECT user_id, event_type, CAST(abs(sum(CASE WHEN r % 2 = 1 THEN ms ELSE -ms END)) AS BIGINT) AS cost_ms
+FROM (SELECT user_id, event_type, ms, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ms) AS r
+      FROM (SELECT user_id, event_type, epoch_us(date_trunc('millisecond', ts)) // 1000 AS ms FROM events))
+GROUP BY user_id, event_type HAVING cost_ms > 0 AND cost_ms <= {1000 * DAY_MS}
+"""
+
+
 def json_log_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.api_log_lines(table(spark, sf_dir, "events"))
     calls = logs.good_calls(logs.parse_call_lines(lines))
@@ -182,6 +197,7 @@ def access_log_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "latency_report": Query(latency_report, LATENCY_SQL),
     "pair_latency": Query(pair_latency, PAIR_SQL),
+    "folded_latency": Query(folded_latency, FOLDED_SQL),
     "json_log_report": Query(json_log_report, JSON_LOG_SQL),
     "json_log_costs": Query(json_log_costs, JSON_COSTS_SQL),
     "avg_sum_by_key": Query(avg_sum_by_key, AVG_SUM_SQL),

@@ -2,6 +2,7 @@ import json
 from collections import defaultdict
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
+from functools import reduce
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -147,6 +148,21 @@ def test_pair_cost_brute_force(spark):
     assert {r.k: r.cost_ms for r in found} == expected
 
 
+def test_folded_cost_brute_force(spark):
+    rows = [
+        (k, START + timedelta(milliseconds=(i * 7919 + k * 31) % 400_000 // (k + 1)))
+        for k in range(12)
+        for i in range(k * 5 + 1)
+    ]
+    rows += [(20, START)] * 4 + [(21, START)] * 3
+    found = logs.folded_cost(spark.createDataFrame(rows, "k int, ts timestamp"), ["k"]).collect()
+    times = defaultdict(list)
+    for k, ts in rows:
+        times[k].append((ts - datetime(1970, 1, 1)) // timedelta(milliseconds=1))
+    expected = {k: reduce(lambda a, b: abs(a - b), sorted(v)) for k, v in times.items()}
+    assert {r.k: r.cost_ms for r in found} == expected
+
+
 def test_merchants(lines):
     values = [
         "2024-05-22T00:00:02.999 [25] </api/v3>, <0>, <138ms>, xxx",
