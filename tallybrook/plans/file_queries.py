@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.operators import relational, text
 from tallybrook.plans.tables import Query, table
-from tallybrook.plans.text_queries import KEYWORD_SQL
+from tallybrook.plans.text_queries import KEYWORD_SQL, WORD_SQL
 from tallybrook.session import run_dir
 from tallybrook.sinks import files as sinks
 from tallybrook.sources import files as sources
@@ -58,6 +58,16 @@ SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars FROM documents G
 """
 
 
+def charset_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts over text files in ISO-8859-1, which holds all the documents' characters."""
+    out = run_dir(spark, "charset")
+    lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")))
+    plain = {"sep": "\x01", "quote": "\x00", "emptyValue": "", "encoding": "ISO-8859-1"}
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(**plain, **kept).csv(out)
+    return text.word_count(sources.charset_lines(spark, out, "ISO-8859-1"))
+
+
 def delimited_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as tab-separated lines, read back typed, filtered, sorted."""
     out = run_dir(spark, "delimited")
@@ -89,6 +99,7 @@ QUERIES = {
     "file_keyword_search": Query(file_keyword_search, KEYWORD_SQL),
     "file_listing": Query(file_listing, LISTING_SQL),
     "whole_file_chars": Query(whole_file_chars, WHOLE_SQL),
+    "charset_words": Query(charset_words, WORD_SQL),
     "delimited_rows": Query(delimited_rows, DELIMITED_SQL),
     "json_line_rows": Query(json_line_rows, JSON_LINES_SQL),
 }

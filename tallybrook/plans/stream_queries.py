@@ -17,7 +17,12 @@ from tallybrook.plans.text_queries import WORDS_SQL
 from tallybrook.session import run_dir
 from tallybrook.sources.streams import parquet_stream
 from tallybrook.streaming import jobs
-from tallybrook.streaming.runner import latest_state, read_per_batch, write_per_batch
+from tallybrook.streaming.runner import (
+    latest_state,
+    read_per_batch,
+    write_closed,
+    write_per_batch,
+)
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +110,21 @@ def stream_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows that the watermark has passed, each written once."""
+    folder = run_dir(spark, "closed")
+    windowed = jobs.closed_windows(_stream(spark, sf_dir, "events"), "user_id")
+    write_closed(windowed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    counts = spark.read.parquet(f"{folder}/out")
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+CLOSED_SQL = f"""
+SELECT * FROM ({_sliding_sql("FROM events", "user_id")})
+WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+"""
+
+
 def stream_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per customer segment of each batch."""
     events = _stream(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"), "event_id")
@@ -171,6 +191,7 @@ QUERIES = {
     "stream_preference_totals": Query(stream_preference_totals, PREFERENCE_SQL),
     "stream_running_count": Query(stream_running_count, RUNNING_SQL),
     "stream_ip_count": Query(stream_ip_count, _sliding_sql(t.ACCESS_SQL, "ip")),
+    "stream_closed_windows": Query(stream_closed_windows, CLOSED_SQL),
     "stream_lookup_join": Query(stream_lookup_join, STREAM_LOOKUP_SQL),
     "stream_join": Query(stream_join, STREAM_JOIN_SQL),
     "stream_cogroup": Query(stream_cogroup, STREAM_COGROUP_SQL),

@@ -71,6 +71,20 @@ def test_latency_report(lines):
     assert sorted(r.bad_line for r in bad) == sorted(values[-2:])
 
 
+def test_results_are_the_same_for_any_partitioning(lines):
+    calls = [x for i in range(40) for x in call(f"/u{i % 5}", i, i % 7 + 1, str(i))]
+    log = [f"t [{i % 9}] x" for i in range(60)]
+    messages = [f"u{i % 4},VIDEO_DY,t{i % 6},t{i % 5}" for i in range(60)]
+    jobs = {
+        report: calls,
+        logs.merchant_count: log,
+        lambda frame: behavior.user_profiles(frame).orderBy("user_id", "part"): messages,
+    }
+    for job, values in jobs.items():
+        one, four = (job(lines(values, n)).collect() for n in (1, 4))
+        assert one == four and one
+
+
 def test_context_stays_json_text(lines):
     row = logs.parse_call_lines(lines([line("/a", "@P", 0, "q")])).first()
     assert json.loads(row.context) == {"trace.id": "q"} and row.bad_line is None
