@@ -160,7 +160,7 @@ def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behavior.user_profiles(t.behavior_messages(table(spark, sf_dir, "events")))
 
 
-_PROFILE_SQL = f"""
+PROFILE_SQL = f"""
 SELECT user_id, CAST(0 AS BIGINT) AS part, count(*) AS n_types,
        string_agg(info_type || ':' || n, ',' ORDER BY info_type || ':' || n) AS profile
 FROM (SELECT user_id, info_type, count(*) AS n FROM ({t.BEHAVIOR_SQL}) GROUP BY ALL)
@@ -182,7 +182,7 @@ def sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.sliding_counts(table(spark, sf_dir, "events"), "user_id")
 
 
-def _sliding_sql(source: str, key: str) -> str:
+def sliding_sql(source: str, key: str) -> str:
     return f"""
 SELECT date_trunc('minute', ts) - to_minutes(CAST(back AS INTEGER)) AS window_start, {key}, count(*) AS n
 FROM ({source}), generate_series(0, 9) AS g(back) GROUP BY ALL
@@ -204,8 +204,8 @@ QUERIES = {
     "log_time_millis": Query(log_time_millis, LOG_TIME_SQL),
     "merchant_count": Query(merchant_count, MERCHANT_SQL),
     "merchant_lines": Query(merchant_lines, MERCHANT_LINES_SQL),
-    "user_profile": Query(user_profile, _PROFILE_SQL),
+    "user_profile": Query(user_profile, PROFILE_SQL),
     "preference_counts": Query(preference_counts, PREFERENCE_SQL),
-    "sliding_count": Query(sliding_count, _sliding_sql("FROM events", "user_id")),
-    "access_log_count": Query(access_log_count, _sliding_sql(t.ACCESS_SQL, "ip")),
+    "sliding_count": Query(sliding_count, sliding_sql("FROM events", "user_id")),
+    "access_log_count": Query(access_log_count, sliding_sql(t.ACCESS_SQL, "ip")),
 }

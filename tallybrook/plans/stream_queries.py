@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.operators import relational, windows
 from tallybrook.plans import tables as t
-from tallybrook.plans.log_queries import _PROFILE_SQL, PREFERENCE_SQL, _sliding_sql
+from tallybrook.plans.log_queries import PROFILE_SQL, PREFERENCE_SQL, sliding_sql
 from tallybrook.plans.tables import Query, table
 from tallybrook.plans.text_queries import WORDS_SQL
 from tallybrook.session import run_dir
@@ -78,7 +78,7 @@ def stream_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STREAM_PROFILE_SQL = f"SELECT CAST(0 AS BIGINT) AS batch_id, * FROM ({_PROFILE_SQL})"
+STREAM_PROFILES_SQL = f"SELECT CAST(0 AS BIGINT) AS batch_id, * FROM ({PROFILE_SQL})"
 
 
 def stream_preference_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +120,7 @@ def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CLOSED_SQL = f"""
-SELECT * FROM ({_sliding_sql("FROM events", "user_id")})
+SELECT * FROM ({sliding_sql("FROM events", "user_id")})
 WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """
 
@@ -187,10 +187,10 @@ QUERIES = {
     "stream_word_count": Query(stream_word_count, STREAM_WORDS_SQL),
     "stream_char_count": Query(stream_char_count, STREAM_CHARS_SQL),
     "stream_word_total": Query(stream_word_total, STREAM_TOTAL_SQL),
-    "stream_user_profile": Query(stream_user_profile, STREAM_PROFILE_SQL),
+    "stream_user_profile": Query(stream_user_profile, STREAM_PROFILES_SQL),
     "stream_preference_totals": Query(stream_preference_totals, PREFERENCE_SQL),
     "stream_running_count": Query(stream_running_count, RUNNING_SQL),
-    "stream_ip_count": Query(stream_ip_count, _sliding_sql(t.ACCESS_SQL, "ip")),
+    "stream_ip_count": Query(stream_ip_count, sliding_sql(t.ACCESS_SQL, "ip")),
     "stream_closed_windows": Query(stream_closed_windows, CLOSED_SQL),
     "stream_lookup_join": Query(stream_lookup_join, STREAM_LOOKUP_SQL),
     "stream_join": Query(stream_join, STREAM_JOIN_SQL),
