@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Adaptive execution only merges partitions, so shuffles begin with many. It does not
+    # rule streams: their state keeps the spark.sql.shuffle.partitions of its first run.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,17 +42,27 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by `spark.checkpoint.dir`.
 
-    A local folder is made only for a local master with the setting unset, as
-    in tests; on a cluster the setting is required.
+    Where that is unset, as in tests, it is the session's warehouse folder, which
+    every session has and all executors share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tallybrook-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared one, for one run of one job."""
     return f"{shared_dir(spark)}/tallybrook/{name}-{uuid.uuid4().hex}"
+
+
+def remove_runs(spark: SparkSession, *folders: str) -> None:
+    """Remove finished runs: the folders named, or every run under the shared folder.
+
+    Only what `run_dir` has made is removed; do it when no result that reads
+    those folders is needed any more.
+    """
+    top = f"{shared_dir(spark)}/tallybrook"
+    for folder in folders or (top,):
+        if folder != top and not folder.startswith(f"{top}/"):
+            raise ValueError(f"not a run folder: {folder}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
