@@ -6,5 +6,6 @@ from tallybrook.llm import queries
 from tallybrook.plans.tables import Query
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": Query(queries.op1_quality_rules),
     "op5_byte_bpe": Query(queries.op5_byte_bpe),
 }

@@ -6,10 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import byte_bpe
+from tallybrook.llm import byte_bpe, quality_rules
 from tallybrook.plans.tables import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text, and the verdict of base rules and learned rules."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.learn(docs, table(spark, sf_dir, "labels"))
+    judged = quality_rules.judged(docs, rules)
+    counts = [F.col("stats")[name].alias(name) for name in quality_rules.COUNTS]
+    return judged.select("row.doc_id", *counts, "base_failed", "kept", "rule")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, and digests of the ids and of what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -40,7 +40,7 @@ def row_key(id_column: str, text_column: str | None = None) -> Column:
 def words(text: Column) -> Column:
     """The runs of characters other than the six spaces; no text has none."""
     parts = F.split(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+")
-    return F.filter(parts, lambda word: word != "")
+    return F.array_remove(parts, "")
 
 
 def ranked(
