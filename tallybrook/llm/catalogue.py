@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallybrook.llm import queries
+from tallybrook.llm import line_dedup, queries
 from tallybrook.plans.tables import Query
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(queries.op1_quality_rules),
     "op5_byte_bpe": Query(queries.op5_byte_bpe),
+    "op6_line_dedup": Query(queries.op6_line_dedup, line_dedup.SQL),
 }

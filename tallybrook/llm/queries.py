@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import byte_bpe, quality_rules
+from tallybrook.llm import byte_bpe, line_dedup, quality_rules
 from tallybrook.plans.tables import table
 
 
@@ -30,3 +30,8 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of three or more lines that occur before."""
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents"))
