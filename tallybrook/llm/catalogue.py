@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallybrook.llm import line_dedup, queries
+from tallybrook.llm import line_dedup, queries, url_filter
 from tallybrook.plans.tables import Query
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(queries.op1_quality_rules),
+    "op3_url_filter": Query(queries.op3_url_filter, url_filter.SQL),
     "op5_byte_bpe": Query(queries.op5_byte_bpe),
     "op6_line_dedup": Query(queries.op6_line_dedup, line_dedup.SQL),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import byte_bpe, line_dedup, quality_rules
+from tallybrook.llm import byte_bpe, line_dedup, quality_rules, url_filter
 from tallybrook.plans.tables import table
 
 
@@ -19,6 +19,21 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *counts, "base_failed", "kept", "rule")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every url; a page is bad where its document is labelled so.
+
+    The number in a page's path is the id of the document it was made from.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    known = table(spark, sf_dir, "labels").where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    known = known.groupBy("doc_id").agg((F.min("quality") == 0).alias("bad"))
+    path = url_filter.with_host_and_path(pages).select("row.*", "path")
+    doc_id = F.regexp_extract("path", "/([0-9]+)", 1).try_cast("bigint")
+    labelled = path.select("page_id", "url", doc_id.alias("doc_id")).join(known, "doc_id", "left")
+    judged = url_filter.judged(labelled.select("page_id", "url", "bad"))
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, and digests of the ids and of what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
