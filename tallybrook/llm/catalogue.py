@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybrook.llm import line_dedup, queries, url_filter
+from tallybrook.llm import line_dedup, mixing, queries, url_filter
 from tallybrook.plans.tables import Query
 
 QUERIES: dict[str, Query] = {
@@ -10,4 +10,6 @@ QUERIES: dict[str, Query] = {
     "op3_url_filter": Query(queries.op3_url_filter, url_filter.SQL),
     "op5_byte_bpe": Query(queries.op5_byte_bpe),
     "op6_line_dedup": Query(queries.op6_line_dedup, line_dedup.SQL),
+    "op8_sharding": Query(queries.op8_sharding),
+    "op10_source_mixing": Query(queries.op10_source_mixing, mixing.SQL),
 }

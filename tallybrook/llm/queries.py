@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import byte_bpe, line_dedup, quality_rules, url_filter
+from tallybrook.llm import byte_bpe, line_dedup, mixing, quality_rules, sharding, url_filter
 from tallybrook.plans.tables import table
 
 
@@ -50,3 +50,15 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages of three or more lines that occur before."""
     return line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and place in it, equal texts kept together."""
+    placed = sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block, slot and position in the mix of sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs)

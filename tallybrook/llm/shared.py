@@ -12,8 +12,8 @@ from tallybrook.session import run_dir
 # The six characters that part words.
 SPACES = " \t\n\x0b\x0c\r"
 
-# Rows of one group are ranked in this many parts, so that no task sorts a whole group.
-RANK_PARTS = 256
+# Rows of one group are ranked in 2**RANK_BITS parts, so that no task sorts a whole group.
+RANK_BITS = 8
 
 
 def settled(rows: DataFrame, name: str) -> DataFrame:
@@ -43,18 +43,21 @@ def words(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
-def ranked(
-    rows: DataFrame, by: list[str], order: list[Column], name: str, parts: int = RANK_PARTS
-) -> DataFrame:
-    """Add `name`: the place of a row in its group, gapless from 0.
+def spread(value: Column) -> Column:
+    """A long from 0 to 2**60 that values are spread over evenly; null counts as empty text."""
+    digest = F.md5(F.coalesce(value.cast("string"), F.lit("")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
-    Groups may be of any size. Each is dealt by the first of `order`, a long of
-    even spread such as a hash, into `parts` ranges; the ranges are counted, and
-    rows are ranked within their range only. Rows equal in all of `order` take
-    the places they share in any order.
+
+def ranked(rows: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Add `name`: the place of a row in its group by `order`, gapless from 0.
+
+    Groups may be of any size. Each is dealt by the first column of `order`,
+    which must come from `spread`, into 2**RANK_BITS ranges; the ranges are
+    counted, and rows are ranked within their range only. Rows equal in all of
+    `order` share out their places in any order.
     """
-    width = 2**64 // parts
-    part = F.floor((order[0].cast("decimal(20,0)") + F.lit(2**63)) / F.lit(width)).cast("int")
+    part = F.shiftright(F.col(order[0]), 60 - RANK_BITS).cast("int")
     dealt = rows.withColumn("_part", part)
     counts = dealt.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
