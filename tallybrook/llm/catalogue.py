@@ -8,6 +8,7 @@ from tallybrook.plans.tables import Query
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(queries.op1_quality_rules),
     "op3_url_filter": Query(queries.op3_url_filter, url_filter.SQL),
+    "op4_near_duplicates": Query(queries.op4_near_duplicates),
     "op5_byte_bpe": Query(queries.op5_byte_bpe),
     "op6_line_dedup": Query(queries.op6_line_dedup, line_dedup.SQL),
     "op8_sharding": Query(queries.op8_sharding),

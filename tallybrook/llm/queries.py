@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import byte_bpe, line_dedup, mixing, quality_rules, sharding, url_filter
+from tallybrook.llm import byte_bpe, line_dedup, mixing, near_dup, quality_rules, sharding, url_filter
 from tallybrook.plans.tables import table
 
 
@@ -34,6 +34,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document, by four-word shingles and a similarity of 0.8."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dup.near_duplicates(docs, width=4)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, and digests of the ids and of what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
