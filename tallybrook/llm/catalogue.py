@@ -7,6 +7,7 @@ from tallybrook.plans.tables import Query
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(queries.op1_quality_rules),
+    "op2_language_id": Query(queries.op2_language_id),
     "op3_url_filter": Query(queries.op3_url_filter, url_filter.SQL),
     "op4_near_duplicates": Query(queries.op4_near_duplicates),
     "op5_byte_bpe": Query(queries.op5_byte_bpe),

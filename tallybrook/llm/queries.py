@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import byte_bpe, line_dedup, mixing, near_dup, quality_rules, sharding, url_filter
+from tallybrook.llm import (
+    byte_bpe,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dup,
+    quality_rules,
+    sharding,
+    url_filter,
+)
 from tallybrook.plans.tables import table
 
 
@@ -19,6 +28,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *counts, "base_failed", "kept", "rule")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from three folds of four."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = language_id.fold(F.col("doc_id"), 4)
+    model = language_id.fit(docs.where(fold != 2))
+    found = language_id.predicted(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(language_id.fold(F.col("row.doc_id"), 4) == 2, F.lit(False))
+    return found.select(
+        "row.doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
+    )
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every url; a page is bad where its document is labelled so.
 
