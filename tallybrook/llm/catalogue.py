@@ -12,6 +12,7 @@ QUERIES: dict[str, Query] = {
     "op4_near_duplicates": Query(queries.op4_near_duplicates),
     "op5_byte_bpe": Query(queries.op5_byte_bpe),
     "op6_line_dedup": Query(queries.op6_line_dedup, line_dedup.SQL),
+    "op7_lattice_lm": Query(queries.op7_lattice_lm),
     "op8_sharding": Query(queries.op8_sharding),
     "op10_source_mixing": Query(queries.op10_source_mixing, mixing.SQL),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallybrook.llm import (
     byte_bpe,
     language_id,
+    lattice_lm,
     line_dedup,
     mixing,
     near_dup,
@@ -79,6 +80,15 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every text, learned from six folds of seven."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = lattice_lm.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    scored = lattice_lm.scored(docs, pieces, language_id.fold(F.col("doc_id"), 7) != 2)
+    held_out = F.coalesce(language_id.fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    return scored.withColumn("held_out", held_out)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and place in it, equal texts kept together."""
     placed = sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
