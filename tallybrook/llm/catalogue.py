@@ -14,5 +14,6 @@ QUERIES: dict[str, Query] = {
     "op6_line_dedup": Query(queries.op6_line_dedup, line_dedup.SQL),
     "op7_lattice_lm": Query(queries.op7_lattice_lm),
     "op8_sharding": Query(queries.op8_sharding),
+    "op9_prefix_forest": Query(queries.op9_prefix_forest),
     "op10_source_mixing": Query(queries.op10_source_mixing, mixing.SQL),
 }

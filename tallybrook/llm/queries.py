@@ -13,6 +13,7 @@ from tallybrook.llm import (
     line_dedup,
     mixing,
     near_dup,
+    prefix_forest,
     quality_rules,
     sharding,
     url_filter,
@@ -95,6 +96,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth, by inner product."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return prefix_forest.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block, slot and position in the mix of sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
