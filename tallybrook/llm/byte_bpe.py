@@ -71,18 +71,21 @@ def decode_ids(encoder: tiktoken.Encoding, ids: np.ndarray) -> bytes:
 
 
 def _with_columns(frame: DataFrame, source: str, work, added: list[T.StructField]) -> DataFrame:
-    """Map Arrow batches, adding the columns that `work(values)` makes of `source`."""
-    if clash := {f.name for f in added} & set(frame.columns):
-        raise ValueError(f"the table already has {sorted(clash)}")
-    schema = T.StructType([*frame.schema.fields, *added])
+    """Map Arrow batches, adding the columns that `work(values)` makes of `source`.
+
+    A given column with the name of an added one gives way to it.
+    """
+    named = {f.name for f in added}
+    kept = [f for f in frame.schema.fields if f.name not in named]
+    schema = T.StructType([*kept, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # A batch of long texts is worked on in slices, so that what is made of it stays small.
             for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
                 columns = work(part.column(part.schema.get_field_index(source)))
-                names = [*part.schema.names, *(f.name for f in added)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=names)
+                given = [part.column(part.schema.get_field_index(f.name)) for f in kept]
+                yield pa.RecordBatch.from_arrays([*given, *columns], names=schema.names)
 
     return frame.mapInArrow(run, schema)
 
@@ -93,7 +96,7 @@ def encode(
     """Add `ids`: the token ids as packed unsigned 32-bit numbers, little end first.
 
     A null or empty text has no ids (an empty value, not null). Special tokens
-    are ordinary text. All columns stay; one named like `ids` is refused.
+    are ordinary text. All columns stay, but one named like `ids` is replaced.
     """
 
     def work(values):

@@ -62,21 +62,25 @@ def repeated_windows(
 
 
 def without_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LINES
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LINES, counts: bool = True
 ) -> DataFrame:
     """The documents with repeated passages taken out of `text`, and two columns more.
 
     `n_lines` counts the lines of the given text (0 for a null text, 1 for an
     empty one) and `n_removed` those taken out. Every document stays, also one
     of which no line is left (its text is then empty); null texts stay null.
-    Rows that repeat an id and its text count as one document, and stay.
+    Rows that repeat an id and its text count as one document, and stay. Given
+    columns of those two names are replaced; without `counts` there are no others
+    than the given columns.
     """
-    if clash := {"n_lines", "n_removed"} & set(docs.columns):
-        raise ValueError(f"the table already has {sorted(clash)}")
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(key, text).alias("_key"))
+    # The given columns go by their places, so that no name meets another.
+    places = {c: f"_given{i}" for i, c in enumerate(docs.columns)}
+    own = list(places.values())
+    renamed = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in places.items()])
+    given = renamed.select(*own, row_key(places[key], places[text]).alias("_key"))
     found = repeated_windows(docs, key, text, length)
     lines = given.join(found, "_key", "left").select(
-        "row", "starts", once(F.split(F.col("row")[text], "\n")).alias("lines")
+        *own, "starts", once(F.split(F.col(places[text]), "\n")).alias("lines")
     )
     # Merged spans from the sorted starts: a span begins where no window reaches from before,
     # and ends with the last window that the ones before reach.
@@ -88,23 +92,24 @@ def without_repeats(
         starts,
         lambda start, i: F.coalesce(F.get(F.col("starts"), i + 1) > start + length, F.lit(True)),
     )
-    spans = lines.select("row", "lines", once(F.struct(begins.alias("begins"), ends.alias("ends"))).alias("spans"))
+    spans = lines.select(*own, "lines", once(F.struct(begins.alias("begins"), ends.alias("ends"))).alias("spans"))
     begins, ends = F.col("spans.begins"), F.col("spans.ends")
     # What stays lies between the spans: from the end of one to the beginning of the next.
     n = F.size("lines")
     froms = F.concat(F.array(F.lit(0)), F.transform(ends, lambda e: e + length))
     upto = F.concat(begins, F.array(n))
-    gaps = spans.select("row", "lines", F.when(begins.isNotNull(), F.arrays_zip(froms.alias("a"), upto.alias("b"))).alias("gaps"))
+    gaps = spans.select(*own, "lines", F.when(begins.isNotNull(), F.arrays_zip(froms.alias("a"), upto.alias("b"))).alias("gaps"))
     kept = F.flatten(F.transform("gaps", lambda g: F.slice("lines", g["a"] + 1, g["b"] - g["a"])))
-    result = gaps.select("row", "lines", "gaps", once(F.when(F.col("gaps").isNotNull(), kept)).alias("kept"))
-    new_text = F.when(F.col("kept").isNull(), F.col("row")[text]).otherwise(F.array_join("kept", "\n"))
+    result = gaps.select(*own, "lines", "gaps", once(F.when(F.col("gaps").isNotNull(), kept)).alias("kept"))
+    new_text = F.when(F.col("kept").isNull(), F.col(places[text])).otherwise(F.array_join("kept", "\n"))
+    added = ("n_lines", "n_removed") if counts else ()
     columns = [
-        (new_text if c == text else F.col("row")[c]).alias(c) for c in docs.columns
+        (new_text if c == text else F.col(places[c])).alias(c) for c in docs.columns if c not in added
     ]
-    n_lines = F.coalesce(F.size("lines"), F.lit(0))
-    n_lines = F.when(F.col("row")[text].isNull(), 0).otherwise(n_lines)
+    n_lines = F.when(F.col(places[text]).isNull(), 0).otherwise(F.size("lines"))
     n_removed = F.when(F.col("kept").isNull(), 0).otherwise(F.size("lines") - F.size("kept"))
-    return result.select(*columns, n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed"))
+    counted = [n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed")]
+    return result.select(*columns, *(counted if counts else ()))
 
 
 # The same in SQL: windows compared as text, spans by position.

@@ -78,10 +78,8 @@ def mixed(
 
     One row per source is brought to the driver, and the period is made longer
     where there are more sources than a tenth of it. Rows that repeat take places
-    of their own.
+    of their own. A given column named like an added one is replaced.
     """
-    if clash := {"block", "slot", "position", "on_target"} & set(rows.columns):
-        raise ValueError(f"the table already has {sorted(clash)}")
     spark = rows.sparkSession
     counted = rows.groupBy(F.col(source).cast("string").alias("source")).agg(F.count(F.lit(1)).alias("n")).collect()
     counted.sort(key=lambda r: (r["source"] is not None, r["source"] or ""))
@@ -115,8 +113,9 @@ def mixed(
         + F.least(c["rows"], (F.col("turn") * c["parts"] + c["before"]) * F.lit(block_rows)),
     )
     slot = F.col("turn") * F.lit(sum(parts)) + F.col("at")
+    added = ("block", "slot", "position", "on_target")
     return joined.select(
-        "row.*",
+        *[F.col("row")[c].alias(c) for c in rows.columns if c not in added],
         "block",
         slot.alias("slot"),
         (before + F.col("rank") % block_rows).alias("position"),
@@ -124,6 +123,15 @@ def mixed(
     )
 
 
+def in_mixed_order(
+    rows: DataFrame, targets: dict[str | None, float] | None = None, source: str = "source", key: str = "doc_id"
+) -> DataFrame:
+    """All rows with their own columns, sorted into the mix, so that files hold it in order."""
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    packed = rows.select(row, F.col(source).alias("source"), F.col(key).alias("key"))
+    return mixed(packed, targets, "source", "key").orderBy("position").select("row.*")
+
+
 def _schedule(
     spark: SparkSession, sources: list[str | None], rows: list[int], parts: list[int], block_rows: int
 ) -> tuple[DataFrame, DataFrame, int]:

@@ -341,10 +341,10 @@ def _left_over(
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents with one row of each component left: that of its smallest key.
 
-    A repeated row of the same key and text is a copy too. Of null keys without
-    text, one stays.
+    Of rows that repeat a key, one stays, and so of null keys.
     """
     found = near_duplicates(docs, key, text, **options)
     ids = found.where("kept").select(F.struct(F.col(key).alias("id")).alias("_id")).distinct()
-    rows = docs.withColumn("_id", F.struct(F.col(key).alias("id")))
-    return rows.join(ids, "_id", "left_semi").drop("_id").dropDuplicates([key])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.struct(F.col(key).alias("id")).alias("_id"))
+    return rows.join(ids, "_id", "left_semi").dropDuplicates(["_id"]).select("row.*")
