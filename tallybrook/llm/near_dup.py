@@ -273,7 +273,7 @@ def near_duplicates(
     classes = settled(
         sig.where("n > 0")
         .groupBy("cls")
-        .agg(F.min("_key").alias("rep"), *[F.first(c).alias(c) for c in ("n", "s0", "s1", "bands")]),
+        .agg(F.min("_key").alias("rep"), F.min("_key.id").alias("least"), *[F.first(c).alias(c) for c in ("n", "s0", "s1", "bands")]),
         "classes",
     )
     buckets = settled(classes.select("cls", F.explode("bands").alias("bucket")), "buckets")
@@ -299,9 +299,9 @@ def near_duplicates(
     if not large.isEmpty():
         links = links.unionByName(settled(_left_over(large, whole, links, width, percent, parts), "near-links"))
     roots = components(links)
-    nodes = classes.select("cls", "rep").join(roots, F.col("cls") == F.col("node"), "left")
-    nodes = nodes.select("cls", "rep", F.coalesce("root", "cls").alias("root"))
-    ids = nodes.groupBy("root").agg(F.min("rep.id").alias("component_id"))
+    nodes = classes.select("cls", "least").join(roots, F.col("cls") == F.col("node"), "left")
+    nodes = nodes.select("cls", "least", F.coalesce("root", "cls").alias("root"))
+    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = nodes.select("cls", "root").join(ids, "root").select("cls", "component_id")
     result = sig.join(of_class, "cls", "left")
     id_ = F.col("_key.id")

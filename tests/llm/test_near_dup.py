@@ -1,0 +1,124 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallybrook.llm import graph, near_dup
+
+
+def shingles(text, width):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    take = min(width, len(words))
+    return frozenset(tuple(words[i : i + take]) for i in range(len(words) - take + 1))
+
+
+def brute(rows, width, percent=80):
+    """{id: (n, component)} by comparing everything; every id once."""
+    sets = {key: shingles(text, width) for key, text in rows}
+    parent = {key: key for key in sets}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    keys = sorted(k for k in sets if sets[k])
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {k: (len(sets[k]), root(k)) for k in sets}
+
+
+def found(docs, **options):
+    rows = near_dup.near_duplicates(docs, **options).collect()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Groups of copies, near copies around the limit, chains, and texts that share passages."""
+    rnd = random.Random(5)
+    word = lambda: f"w{rnd.randrange(4000)}"
+    rows, key = [], 0
+    passage = [word() for _ in range(25)]
+    for _ in range(40):
+        base = [word() for _ in range(rnd.choice([3, 8, 40, 120]))]
+        for _ in range(rnd.choice([1, 1, 2, 5])):
+            text = list(base)
+            for _ in range(rnd.choice([0, 0, 1, 2, 3])):
+                text[rnd.randrange(len(text))] = word()
+            if rnd.random() < 0.4:
+                text += passage
+            rows.append((key, " ".join(text)))
+            key += 1
+    base = [word() for _ in range(100)]
+    for _ in range(60):  # similar to the first, hardly to each other
+        text = list(base)
+        for at in rnd.sample(range(100), 2):
+            text[at] = word()
+        rows.append((key, " ".join(text)))
+        key += 1
+    rows.append((key, " ".join(base)))
+    return rows
+
+
+@pytest.mark.parametrize("width", [4, 5])
+def test_planted_groups(spark, planted, width):
+    docs = spark.createDataFrame(planted, "doc_id bigint, text string").repartition(5)
+    assert found(docs, width=width) == brute(planted, width)
+
+
+def test_large_buckets_lose_no_link(spark, planted, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK", 6)
+    docs = spark.createDataFrame(planted, "doc_id bigint, text string")
+    assert found(docs, width=4) == brute(planted, 4)
+
+
+def test_edges(edge, nothing):
+    unique = edge.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    rows = [(r.doc_id, r.text) for r in unique.collect()]
+    assert found(unique, width=4) == brute(rows, 4)
+    every = near_dup.near_duplicates(edge, width=4).collect()
+    assert len(every) == edge.count()
+    # A null key takes its group's smallest key; without words it has none.
+    assert sorted((r.n_shingles, r.component_id) for r in every if r.doc_id is None and r.n_shingles) == [(3, 1)]
+    assert near_dup.near_duplicates(nothing).count() == 0
+    left = near_dup.without_copies(edge.withColumn("_id", F.lit(1)))
+    assert left.columns == [*edge.columns, "_id"]
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 3, 4, 5, 6, 8, 10, 11, 12, 13]
+
+
+def test_very_many_copies(spark):
+    text = F.concat(F.lit("a b c d e f g h "), (F.col("id") % 2).cast("string"))
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    rows = near_dup.near_duplicates(docs, width=4).groupBy("component_id").count().collect()
+    assert {r.component_id: r["count"] for r in rows} == {0: 2000, 1: 2000}
+
+
+def test_signature_agreement_estimates_similarity():
+    rnd = np.random.default_rng(3)
+    shared = rnd.integers(0, 2**63, 800, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([shared, rnd.integers(0, 2**63, 100, dtype=np.uint64)])) for _ in range(2)]
+    a, b = near_dup.signatures(sets)
+    assert abs(np.mean(a == b) - 0.8) < 0.12
+    one = near_dup.sketches(np.stack([a, b])).view(np.uint64)
+    assert np.bitwise_count(one[0] ^ one[1]).sum() < near_dup.MOST_BITS
+
+
+@pytest.mark.parametrize("n", [1, 2, 40])
+def test_components_of_chains(spark, n):
+    chain = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    more = chain.select((F.col("a") + 100).alias("a"), (F.col("b") + 100).alias("b"))
+    links = chain.unionByName(more).unionByName(chain).unionByName(spark.createDataFrame([(7, 7), (None, 3)], "a bigint, b bigint"))
+    roots = {r.node: r.root for r in graph.components(links).collect()}
+    assert roots == {i: 0 for i in range(n + 1)} | {i + 100: 100 for i in range(n + 1)}
+
+
+def test_components_without_links(spark):
+    assert graph.components(spark.createDataFrame([], "a string, b string")).count() == 0
