@@ -101,14 +101,14 @@ class Model:
     log_probs: list[np.ndarray]
     contexts: list[np.ndarray]
     log_backoffs: list[np.ndarray]
-    log_unknown: np.ndarray
+    log_uniform: float
     sharpness: float = 1.0
     limits: np.ndarray | None = None
 
     def log_probability(self, grams: np.ndarray, order: int = ORDER) -> np.ndarray:
         """One row per n-gram, one column per language."""
         if order == 0:
-            return np.broadcast_to(self.log_unknown, (len(grams), len(self.languages))).copy()
+            return np.full((len(grams), len(self.languages)), self.log_uniform)
         known = self.grams[order - 1]
         at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
         out = self.log_probs[order - 1][at]
@@ -167,7 +167,7 @@ def _one_language(top: np.ndarray, counts: np.ndarray, characters: int) -> list[
 def _joined(models: dict[str, list[dict]], characters: int) -> Model:
     """The languages' arrays over all their n-grams; where one lacks an n-gram, its backed-off value."""
     languages = sorted(models)
-    model = Model(languages, [], [], [], [], np.array([m[0]["log_backoffs"][0] - np.log(characters) for _, m in sorted(models.items())]))
+    model = Model(languages, [], [], [], [], -np.log(characters))
     for order in range(1, ORDER + 1):
         levels = [models[name][order - 1] for name in languages]
         grams = np.unique(np.concatenate([x["grams"] for x in levels]))
@@ -176,8 +176,7 @@ def _joined(models: dict[str, list[dict]], characters: int) -> Model:
         probs = model.log_probability(grams & ((1 << (BITS * (order - 1))) - 1), order - 1)
         for i, x in enumerate(levels):
             backoffs[np.searchsorted(contexts, x["contexts"]), i] = x["log_backoffs"]
-            if order > 1:
-                probs[:, i] += backoffs[np.searchsorted(contexts, grams >> BITS), i]
+            probs[:, i] += backoffs[np.searchsorted(contexts, grams >> BITS), i]
             probs[np.searchsorted(grams, x["grams"]), i] = x["log_probs"]
         model.grams.append(grams)
         model.log_probs.append(probs)
