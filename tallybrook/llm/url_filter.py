@@ -22,7 +22,7 @@ from tallybrook.llm.shared import settled
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Suffixes of two labels, under which domains are registered.
 DEEP_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
-# The lower bound lies so many standard deviations under the posterior mean (95 percent, one side).
+# The lower bound lies so many standard deviations under the middle (95 percent, one side).
 DEVIATIONS = 1.645
 MAX_BAD_SHARE = 0.5
 # The strength of a prior, in pages, lies between these.
@@ -119,12 +119,13 @@ def reputations(
     weight = F.lit(_strength(under))
     alpha = F.col("bad") + weight * F.col("prior")
     beta = F.col("n") - F.col("bad") + weight * (1 - F.col("prior"))
-    both = F.col("alpha") + F.col("beta")
-    deviation = F.sqrt(F.col("alpha") * F.col("beta") / (both * both * (both + 1)))
+    # The bound is taken of the log odds, whose posterior is nearer to normal for few pages.
+    log_odds = F.log(F.col("alpha") / F.col("beta")) - deviations * F.sqrt(1 / F.col("alpha") + 1 / F.col("beta"))
+    lower = F.when(F.col("alpha") <= 0, 0.0).when(F.col("beta") <= 0, 1.0).otherwise(1 / (1 + F.exp(-log_odds)))
     return (
         under.select("host", "n", "bad", alpha.alias("alpha"), beta.alias("beta"))
-        .withColumn("mean", F.col("alpha") / both)
-        .withColumn("lower", F.greatest(F.lit(0.0), F.col("mean") - deviations * deviation))
+        .withColumn("mean", F.col("alpha") / (F.col("alpha") + F.col("beta")))
+        .withColumn("lower", lower)
     )
 
 
@@ -213,7 +214,8 @@ ruled AS (
 SELECT r.page_id, r.host, r.path, r.rule,
        CASE WHEN r.rule IN ('com/', 'www.example.com/en/') THEN 'allow'
             WHEN r.rule IS NOT NULL THEN 'block'
-            WHEN mean - {DEVIATIONS} * sqrt(alpha * beta / ((alpha + beta) ** 2 * (alpha + beta + 1))) > {MAX_BAD_SHARE}
+            WHEN alpha <= 0 THEN 'allow' WHEN beta <= 0 THEN 'block'
+            WHEN 1 / (1 + exp({DEVIATIONS} * sqrt(1 / alpha + 1 / beta) - ln(alpha / beta))) > {MAX_BAD_SHARE}
             THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled r JOIN hosts_out USING (host)
 """

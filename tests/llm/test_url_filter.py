@@ -1,0 +1,83 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tallybrook.llm import url_filter
+
+
+def judged(spark, urls, bad=None):
+    rows = [(i, u, None if bad is None else bad[i]) for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, bad boolean")
+    return {r.row.page_id: r for r in url_filter.judged(pages).collect()}
+
+
+CASES = [
+    ("https://WWW.Example.COM/en/x?q#f", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
+    ("https://example.com/en/", "example.com", "/en/", "example.com/en/", "block"),
+    ("http://a.b.example.com/en/1", "a.b.example.com", "/en/1", "example.com/en/", "block"),
+    ("http://a.www.example.com/en/1", "a.www.example.com", "/en/1", "www.example.com/en/", "allow"),
+    ("http://badexample.com/en/1", "badexample.com", "/en/1", "com/", "allow"),
+    ("http://example.com/fr/", "example.com", "/fr/", "com/", "allow"),
+    ("http://x.net/es/1", "x.net", "/es/1", "net/es/", "block"),
+    ("http://net/fr/", "net", "/fr/", "net/fr/", "block"),
+    ("http://x.net/en/", "x.net", "/en/", None, "allow"),
+    ("http://x.com", "x.com", "", None, "allow"),
+    ("http://x.com?/a://b", "x.com", "", None, "allow"),
+    ("a/b://h#x", "h", "", None, "allow"),
+    ("//h/p", "", "", None, "allow"),
+    ("", "", "", None, "allow"),
+    (None, "", "", None, "allow"),
+    ("http://ÄH.org/Ä\nx", "Äh.org", "/Ä\nx", None, "allow"),
+    ("http:///p", "", "/p", None, "allow"),
+]
+
+
+def test_hosts_paths_and_rules(spark):
+    rows = judged(spark, [c[0] for c in CASES])
+    for i, case in enumerate(CASES):
+        assert (rows[i].host, rows[i].path, rows[i].rule, rows[i].verdict) == case[1:]
+
+
+def test_reputation_blocks_a_bad_host_only(spark):
+    urls = ["http://bad.one.org/a"] * 60 + ["http://good.one.org/a"] * 60 + ["http://few.two.org/a"] * 2 + ["http://bad.one.org/new"]
+    bad = [True] * 60 + [False] * 60 + [True, True] + [None]
+    rows = judged(spark, urls, bad)
+    assert {rows[i].verdict for i in [*range(60), 122]} == {"block"}
+    assert {rows[i].verdict for i in range(60, 122)} == {"allow"}
+
+
+def test_posterior_by_hand(spark):
+    hosts = spark.createDataFrame([("a.x.org", 10, 8), ("b.x.org", 10, 1), ("y.net", 5, 0)], "host string, n bigint, bad bigint")
+    rows = {r.host: r for r in url_filter.reputations(hosts).collect()}
+
+    def strength(groups):
+        seen = sum((b - n * p) ** 2 for n, b, p in groups)
+        least = sum(n * p * (1 - p) for n, b, p in groups)
+        most = sum(n * (n - 1) * p * (1 - p) for n, b, p in groups)
+        alike = (seen - least) / most
+        return 1000.0 if alike <= 0 else min(1000.0, max(1.0, 1 / alike - 1))
+
+    base = 9 / 25
+    k = strength([(20, 9, base), (5, 0, base)])
+    org, net = (9 + k * base) / (20 + k), k * base / (5 + k)
+    k = strength([(20, 9, org), (5, 0, net)])
+    x, y = (9 + k * org) / (20 + k), k * net / (5 + k)
+    k = strength([(10, 8, x), (10, 1, x), (5, 0, y)])
+    assert rows["a.x.org"].mean == pytest.approx((8 + k * x) / (10 + k))
+    assert rows["y.net"].mean == pytest.approx(k * y / (5 + k))
+    assert all(0 <= r.lower <= r.mean for r in rows.values())
+
+
+def test_domains(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "uk", "a.b.c.org", ""]
+    rows = spark.createDataFrame([(h,) for h in hosts], "h string").select(url_filter.domain_of(F.col("h")), url_filter.suffix_of(F.col("h")))
+    assert [tuple(r) for r in rows.collect()] == [
+        ("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("uk", "uk"), ("c.org", "org"), ("", ""),
+    ]
+
+
+def test_no_rows_and_other_columns(spark):
+    pages = spark.createDataFrame([], "page_id int, url string, bad boolean")
+    assert url_filter.judged(pages).count() == 0
+    pages = spark.createDataFrame([(1, "http://x.net/", "h", "l")] * 2, "page_id int, url string, host string, lower string")
+    rows = url_filter.judged(pages.withColumn("bad", F.lit(None).cast("boolean"))).collect()
+    assert [(r.row.host, r.row.lower, r.host) for r in rows] == [("h", "l", "x.net")] * 2
