@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tallybrook.llm.shared import ranked, settled, spread
 
 SHARDS = 16
-ROUNDS = 8
-# A shard in which fewer than this share of its rows is free to go takes no more members.
-LEAST_ROOM = 0.01
+ROUNDS = 10
+# A shard that can take no more than this share of those who want to come is full.
+LEAST_SHARE = 0.02
 
 
 def text_hub(text: Column) -> Column:
@@ -43,31 +43,39 @@ def propagated(rows: DataFrame, key: str, hub: str, shards: int = SHARDS, rounds
         ),
         "shards",
     )
+    closed: set[int] = set()
     for _ in range(rounds):
-        moved = _round(state, shards)
-        if moved is None:
+        known = set(closed)
+        moved = _round(state, shards, closed)
+        if moved is None and closed == known:
             break
-        state = moved
+        state = state if moved is None else moved
     return state
 
 
-def _round(state: DataFrame, shards: int) -> DataFrame | None:
-    """The state after one round of moves; None when nothing can move."""
-    sizes = state.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("hub").isNull()).alias("free")).collect()
-    free = {r["shard"]: r["free"] for r in sizes}
-    open_shards = [r["shard"] for r in sizes if r["free"] >= max(1, LEAST_ROOM * r["n"])]
-    counts = state.where("hub IS NOT NULL").groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
+def _round(state: DataFrame, shards: int, closed: set[int]) -> DataFrame | None:
+    """The state after one round of moves; None when nothing can move.
+
+    Shards that can take in next to nothing are added to `closed`, and no hub
+    chooses them any more.
+    """
+    counts = settled(state.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n")), "hub-counts")
+    free = {r["shard"]: r["n"] for r in counts.where("hub IS NULL").groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    free = {s: free.get(s, 0) for s in range(shards)}
+    linked = counts.where("hub IS NOT NULL")
+    is_open = ~F.col("shard").isin(sorted(closed)) if closed else F.lit(True)
     # The open shard where most members are; equal counts are decided by a hash.
     choice = F.struct("n", F.xxhash64("hub", "shard").alias("tie"), "shard")
     homes = (
-        counts.groupBy("hub")
-        .agg(F.max(F.when(F.col("shard").isin(open_shards), choice)).alias("home"))
+        linked.groupBy("hub")
+        .agg(F.max(F.when(is_open, choice)).alias("home"))
         .select(F.col("hub").alias("_hub"), F.col("home.shard").alias("home"), F.col("home.n").alias("home_n"), F.col("home.tie").alias("home_tie"))
     )
-    # A member stays where as many others are.
-    gains = counts.join(homes, F.col("hub") == F.col("_hub")).where(
-        "home <> shard AND (n < home_n OR n = home_n AND xxhash64(hub, shard) < home_tie)"
+    # A member stays where more others are.
+    fewer = (F.col("n") < F.col("home_n")) | (
+        (F.col("n") == F.col("home_n")) & (~is_open | (F.xxhash64("hub", "shard") < F.col("home_tie")))
     )
+    gains = linked.join(homes, F.col("hub") == F.col("_hub")).where((F.col("home") != F.col("shard")) & fewer)
     gains = gains.select("_hub", F.col("shard").alias("_shard"), "home")
     wishes = state.join(
         gains, (F.col("hub") == F.col("_hub")) & (F.col("shard") == F.col("_shard")), "left"
@@ -75,6 +83,12 @@ def _round(state: DataFrame, shards: int) -> DataFrame | None:
     wishes = settled(wishes, "wishes")
     wanted = {(r["shard"], r["to"]): r["n"] for r in wishes.where("to >= 0").groupBy("shard", "to").agg(F.count(F.lit(1)).alias("n")).collect()}
     moves = quotas(wanted, free)
+    for s in range(shards):
+        coming = sum(n for (_, to), n in wanted.items() if to == s)
+        taken = sum(high - low for _, to, low, high, _ in moves if to == s)
+        # Also full is a shard that gave all its free rows away and still could not take everyone.
+        if coming and (taken <= LEAST_SHARE * coming or 0 < free[s] and taken < coming):
+            closed.add(s)
     if not moves:
         return None
     spark = state.sparkSession
@@ -112,10 +126,15 @@ def quotas(
         if not over:
             break
         for s in over:
-            coming = sum(n for (_, to), n in taken.items() if to == s)
-            share = max(0.0, (coming - (net[s] - free[s])) / coming)
-            for pair in [p for p in taken if p[1] == s]:
-                taken[pair] = int(taken[pair] * share)
+            pairs = sorted(p for p, n in taken.items() if p[1] == s and n)
+            coming, cut = sum(taken[p] for p in pairs), net[s] - free[s]
+            # In proportion, rounded so that what is cut adds up.
+            done = seen = 0
+            for p in pairs:
+                seen += taken[p]
+                part = seen * cut // coming - done
+                taken[p] -= part
+                done += part
     moves = [(shard, to, 0, n, to) for (shard, to), n in sorted(taken.items()) if n]
     places = dict.fromkeys(free, 0)
     short = [[s, -n] for s, n in sorted(net.items()) if n < 0]
