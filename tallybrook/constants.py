@@ -29,6 +29,7 @@ KEPT_BEHAVIOR = "VIDEO_DY"
 ACCESS_MIN_FIELDS = 8
 ACCESS_IP_FIELD = 0
 ACCESS_PATH_FIELD = 7
+ACCESS_TIME_FIELD = 3
 ACCESS_PATH_PREFIX = "/"
 WINDOW_LENGTH_MINUTES = 10
 WINDOW_SLIDE_MINUTES = 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# `2024-05-22T00:00:02.999Z` or the same without millis.
+# A day, a time to the millisecond or to the second, in UTC.
 _LOG_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{3})?Z$"
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook import constants as C
+from tallybrook.functions import clock
 from tallybrook.functions import text as tf
 
 # Sliding windows are worked out per key and block of so many window lengths.
@@ -27,6 +28,15 @@ def access_hits(
     return split.where(wanted).select(*(keep or []), F.get("_f", F.lit(ip_field)).alias("ip"))
 
 
+def timed_access_hits(
+    lines: DataFrame, text: str = "value", time_field: int = C.ACCESS_TIME_FIELD, **layout
+) -> DataFrame:
+    """`ip` and `ts` of every line that `access_hits` takes; a line without a log time is dropped."""
+    stamp = F.get(tf.fields(F.col(text), " "), F.lit(time_field))
+    timed = lines.select(F.col(text), tf.once(clock.parse_log_time(stamp)).alias("ts"))
+    return access_hits(timed.where(F.col("ts").isNotNull()), text, ["ts"], **layout)
+
+
 def interval_counts(
     rows: DataFrame, key: str, ts: str = "ts", minutes: int = C.WINDOW_SLIDE_MINUTES
 ) -> DataFrame:

@@ -1,7 +1,8 @@
 """Registered queries: streaming jobs run to the end of the given tables.
 
 Each reads its table as a stream of files, writes batch results under the
-shared folder, and returns them.
+shared folder, and returns them. The stream runs when the query is called; its
+folder stays until `session.remove_runs`.
 """
 
 from __future__ import annotations
@@ -15,13 +16,17 @@ from tallybrook.plans.log_queries import PROFILE_SQL, PREFERENCE_SQL, sliding_sq
 from tallybrook.plans.tables import Query, table
 from tallybrook.plans.text_queries import WORDS_SQL
 from tallybrook.session import run_dir
-from tallybrook.sources.streams import parquet_stream
+from tallybrook.sinks.files import write_lines
+from tallybrook.sources.streams import parquet_stream, text_stream
 from tallybrook.streaming import jobs
 from tallybrook.streaming.runner import (
-    latest_state,
+    State,
+    newest_folders,
     read_per_batch,
+    read_state,
     write_closed,
     write_per_batch,
+    write_snapshot,
 )
 
 
@@ -37,6 +42,19 @@ def _run(spark: SparkSession, name: str, start) -> DataFrame:
     return read_per_batch(spark, f"{folder}/out")
 
 
+def _run_state(spark: SparkSession, name: str, state: State, start) -> DataFrame:
+    """Start a job, wait, gather a snapshot, and return the newest values from it."""
+    folder = run_dir(spark, name)
+    start(f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    _, batches = newest_folders(spark, f"{folder}/out")
+    last = max(int(b.rsplit("=", 1)[1]) for b in batches)
+    write_snapshot(spark, f"{folder}/out", last, state)
+    return read_state(spark, f"{folder}/out", state)
+
+
+INTERVALS = State(("interval_start", "ip"), ("n",))
+
+
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _stream(spark, sf_dir, "documents")
     return _run(spark, "words", lambda out, ck: jobs.words_per_batch(docs, out, ck, None, "text"))
@@ -83,18 +101,22 @@ STREAM_PROFILES_SQL = f"SELECT CAST(0 AS BIGINT) AS batch_id, * FROM ({PROFILE_S
 
 def stream_preference_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = t.behavior_messages(_stream(spark, sf_dir, "events"))
-    changes = _run(
-        spark, "preferences", lambda out, ck: jobs.preference_totals(messages, out, ck, None)
+    return _run_state(
+        spark,
+        "preferences",
+        State(("user_id", "info_type"), ("n",)),
+        lambda out, ck: jobs.preference_totals(messages, out, ck, None),
     )
-    return latest_state(changes, ["user_id", "info_type"], ["n"])
 
 
 def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events")
-    changes = _run(
-        spark, "running", lambda out, ck: jobs.running_counts(events, ["event_type"], out, ck)
+    return _run_state(
+        spark,
+        "running",
+        State(("event_type",), ("n",)),
+        lambda out, ck: jobs.running_counts(events, ["event_type"], out, ck),
     )
-    return latest_state(changes, ["event_type"], ["n"])
 
 
 RUNNING_SQL = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
@@ -103,13 +125,38 @@ RUNNING_SQL = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
 def stream_ip_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.access_log_lines(_stream(spark, sf_dir, "events"))
     hits = windows.access_hits(lines, keep=["ts"])
-    changes = _run(
-        spark, "windows", lambda out, ck: jobs.interval_state(hits, "ip", out, ck, interval=None)
+    state = _run_state(
+        spark,
+        "windows",
+        INTERVALS,
+        lambda out, ck: jobs.interval_state(hits, "ip", out, ck, interval=None),
+    )
+    counts = windows.sum_intervals(state, "ip")
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def stream_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding counts per address from a directory of text files, by the time in each line."""
+    folder = run_dir(spark, "access-lines")
+    write_lines(t.access_log_lines(table(spark, sf_dir, "events")).select("value"), folder)
+    state = _run_state(
+        spark,
+        "access",
+        INTERVALS,
+        lambda out, ck: jobs.access_log_state(text_stream(spark, folder), out, ck, interval=None),
     )
-    counts = windows.sum_intervals(latest_state(changes, ["interval_start", "ip"], ["n"]), "ip")
+    counts = windows.sum_intervals(state, "ip")
     return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def stream_text_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts per batch from a directory of text files."""
+    folder = run_dir(spark, "text-lines")
+    write_lines(table(spark, sf_dir, "documents").select(F.col("text").alias("value")), folder)
+    stream = text_stream(spark, folder)
+    return _run(spark, "text-words", lambda out, ck: jobs.words_per_batch(stream, out, ck, None))
+
+
 def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding windows that the watermark has passed, each written once."""
     folder = run_dir(spark, "closed")
@@ -166,12 +213,13 @@ def stream_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks = _stream(spark, sf_dir, "events").where("event_type = 'click'")
     purchases = _stream(spark, sf_dir, "events").where("event_type = 'purchase'")
     counts = jobs.window_cogroup(clicks, purchases, "user_id", "ts", "1 day", "1 hour")
-    changes = _run(
+    kept = State(("window_start", "user_id"), ("n_left", "n_right"))
+    state = _run_state(
         spark,
         "cogroup",
-        lambda out, ck: write_per_batch(counts, lambda b: b, out, ck, None, "update"),
+        kept,
+        lambda out, ck: write_per_batch(counts, lambda b: b, out, ck, None, "update", kept),
     )
-    state = latest_state(changes, ["window_start", "user_id"], ["n_left", "n_right"])
     return state.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -191,6 +239,8 @@ QUERIES = {
     "stream_preference_totals": Query(stream_preference_totals, PREFERENCE_SQL),
     "stream_running_count": Query(stream_running_count, RUNNING_SQL),
     "stream_ip_count": Query(stream_ip_count, sliding_sql(t.ACCESS_SQL, "ip")),
+    "stream_access_log": Query(stream_access_log, sliding_sql(t.ACCESS_SQL, "ip")),
+    "stream_text_words": Query(stream_text_words, STREAM_WORDS_SQL),
     "stream_closed_windows": Query(stream_closed_windows, CLOSED_SQL),
     "stream_lookup_join": Query(stream_lookup_join, STREAM_LOOKUP_SQL),
     "stream_join": Query(stream_join, STREAM_JOIN_SQL),

@@ -38,6 +38,13 @@ def api_log_lines(events: DataFrame) -> DataFrame:
     return events.select(once(F.to_json(line)).alias("value"))
 
 
+def damaged_api_log_lines(events: DataFrame) -> DataFrame:
+    """API log lines of which every tenth breaks off, and is no JSON any more."""
+    whole = api_log_lines(events.where("event_id % 10 <> 0"))
+    start = F.concat(F.lit('{"message":"/api/'), "event_type", F.lit(" @P "), "event_id")
+    return whole.unionByName(events.where("event_id % 10 = 0").select(start.alias("value")))
+
+
 # Lines of api_log_lines that carry a marker, as columns.
 API_LOG_SQL = """
   SELECT '/api/' || event_type AS uri, user_id, CAST(ts AS DATE) AS day,
@@ -81,7 +88,8 @@ def access_log_lines(events: DataFrame) -> DataFrame:
     """Access-log lines with `ts`; signups lack a field, errors lack the path."""
     path = F.when(F.col("event_type") == "error", F.lit("-"))
     path = path.otherwise(F.concat(F.lit("/"), "event_type"))
-    head = F.concat(F.lit("10.0.0."), "user_id", F.lit(" - - t z GET"))
+    time = F.date_format("ts", C.LOG_TIME_FORMAT)
+    head = F.concat(F.lit("10.0.0."), "user_id", F.lit(" - - "), time, F.lit(" z GET"))
     code = F.when(F.col("event_type") == "signup", F.lit(" ")).otherwise(F.lit(" 200 "))
     return events.select("ts", once(F.concat(head, code, path)).alias("value"))
 

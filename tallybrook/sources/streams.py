@@ -4,24 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 
 def _as_glob(path: str) -> str:
     """The path as a pattern with one match, so a single file works like a folder."""
+    if any(c in path for c in "*?[]{}"):
+        return path
     return f"{path[:-1]}[{path[-1]}]"
 
 
-def text_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """`value` per line of every file that appears; each file is read once."""
-    return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+def _limited(reader: DataStreamReader, max_files: int | None) -> DataStreamReader:
+    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+
+
+def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """`value` per line of every file that appears; each file is read once.
+
+    A batch takes all files that are there, or `max_files` where that rate limit
+    is asked for; what is counted per batch then depends on it.
+    """
+    return _limited(spark.readStream, max_files).text(path)
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None
 ) -> DataFrame:
-    """Rows of every Parquet file in a table folder, or of a single file."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    return reader.parquet(_as_glob(path.rstrip("/")))
+    """Rows of every Parquet file in a table folder, of a single file, or of a pattern's matches."""
+    return _limited(spark.readStream.schema(schema), max_files).parquet(_as_glob(path.rstrip("/")))
 
 
 def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:

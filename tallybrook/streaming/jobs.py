@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybrook import constants as C
 from tallybrook.functions import clock
 from tallybrook.operators import behavior, relational, text, windows
-from tallybrook.streaming.runner import write_per_batch
+from tallybrook.streaming.runner import State, write_per_batch
 
 
 def words_per_batch(
@@ -31,11 +31,15 @@ def characters_per_batch(
     checkpoint: str,
     interval: str | None = C.DIRECTORY_INTERVAL,
     column: str = "value",
+    blank_lines: bool = False,
 ) -> StreamingQuery:
-    """Character counts of each micro-batch by itself, marks included."""
+    """Character counts of each micro-batch by itself, marks included.
+
+    With `blank_lines`, lines without a character are counted under the empty string.
+    """
     return write_per_batch(
         lines,
-        lambda batch: text.char_count(batch, column, exclude=[]),
+        lambda batch: text.char_count(batch, column, exclude=[], blank_lines=blank_lines),
         out,
         checkpoint,
         interval,
@@ -81,7 +85,8 @@ def preference_totals(
 ) -> StreamingQuery:
     """Preference counts since the start: the changed counts of every batch."""
     counts = behavior.preference_counts(behavior.preferences(messages, column))
-    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update")
+    state = State(("user_id", "info_type"), ("n",))
+    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", state)
 
 
 def running_counts(
@@ -89,7 +94,8 @@ def running_counts(
 ) -> StreamingQuery:
     """Rows per key since the start: the changed counts of every batch."""
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update")
+    state = State(tuple(keys), ("n",))
+    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", state)
 
 
 def _timed(rows: DataFrame, ts: str, lateness: str, *keep: str) -> DataFrame:
@@ -114,7 +120,19 @@ def interval_state(
     would hold every count once per window that covers it.
     """
     counts = windows.interval_counts(_timed(rows, ts, lateness, key), key, ts, slide_minutes)
-    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update")
+    state = State(("interval_start", key), ("n",))
+    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", state)
+
+
+def access_log_state(
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    lateness: str = "10 minutes",
+    interval: str | None = C.ACCESS_LOG_INTERVAL,
+) -> StreamingQuery:
+    """Access-log lines of a text stream to counts per address and minute, by the time in each line."""
+    return interval_state(windows.timed_access_hits(lines), "ip", out, checkpoint, "ts", lateness, interval=interval)
 
 
 def closed_windows(
@@ -127,23 +145,29 @@ def closed_windows(
 ) -> DataFrame:
     """(window_start, key, n) as a stream to append: each window once, when it is final.
 
-    Rows that come after the watermark has passed their window are dropped.
+    Rows that come after the watermark has passed their window are dropped. Rows
+    are counted per slide interval, and only the counts are copied into windows.
     """
-    window = F.window(ts, f"{length_minutes} minutes", f"{slide_minutes} minutes")
-    return (
+    intervals = (
         _timed(rows, ts, lateness, key)
-        .groupBy(window.alias("_w"), key)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.window(ts, f"{slide_minutes} minutes").alias("_m"), key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    window = F.window("_m", f"{length_minutes} minutes", f"{slide_minutes} minutes")
+    return (
+        intervals.groupBy(window.alias("_w"), key)
+        .agg(F.sum("_n").alias("n"))
         .select(F.col("_w.start").alias("window_start"), key, "n")
     )
 
 
 def with_lookup(
-    rows: DataFrame, lookup: DataFrame, on: list[str], spread: Column, salts: int = 8
+    rows: DataFrame, lookup: DataFrame, on: list[str], spread: Column, salts: int = 1
 ) -> DataFrame:
-    """Join a stream with a table, a hot key of the stream spread over `salts` tasks.
+    """Join a stream with a table, which has no broadcast hint: Spark sizes it.
 
-    The table has no broadcast hint: Spark sizes it.
+    For a table too large to broadcast, `salts` spreads a hot key of the stream
+    over so many tasks, at the price of as many copies of the table.
     """
     return relational.salted_join(rows, lookup, on, spread, salts)
 
@@ -158,13 +182,14 @@ def join_calls(
 ) -> DataFrame:
     """Join two streams: (key, cost_ms) of each request and its response.
 
-    The key is that of one call, so either side has it once. The bound on the
+    The key is that of one call. A key that comes again on a side within the
+    lateness is taken once, so repeated lines do not give pairs. The bound on the
     cost lets Spark drop a call from the state when no response can follow.
     """
-    asked = _timed(requests, ts, lateness, key).withColumnRenamed(ts, "_asked")
-    answered = _timed(responses, ts, lateness, key).withColumnsRenamed(
-        {ts: "_answered", key: "_key"}
-    )
+    asked = _timed(requests, ts, lateness, key).dropDuplicatesWithinWatermark([key])
+    asked = asked.withColumnRenamed(ts, "_asked")
+    answered = _timed(responses, ts, lateness, key).dropDuplicatesWithinWatermark([key])
+    answered = answered.withColumnsRenamed({ts: "_answered", key: "_key"})
     bound = F.expr(f"make_dt_interval(0, 0, 0, {max_cost_ms / 1000:.3f})")
     in_time = (F.col("_answered") >= F.col("_asked")) & (
         F.col("_answered") <= F.col("_asked") + bound

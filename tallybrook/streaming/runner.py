@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,20 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 Operator = Callable[[DataFrame], DataFrame]
 
 
+class State(NamedTuple):
+    """What a stream of changes is about, and after how many batches it is gathered anew.
+
+    `keep` is a predicate for keys that still matter, such as days not closed yet;
+    what does not meet it leaves the next snapshot.
+    """
+
+    keys: tuple[str, ...]
+    values: tuple[str, ...]
+    every: int = 100
+    keep: str | None = None
+
+
+
 def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """Every interval, or, without one, until all present input is read."""
     if interval is None:
@@ -26,15 +41,22 @@ def write_per_batch(
     checkpoint: str,
     interval: str | None = None,
     output_mode: str = "append",
+    state: State | None = None,
 ) -> StreamingQuery:
     """Apply a batch operator to every micro-batch and keep its result by batch.
 
     A batch overwrites its own folder `batch_id=N`, so a batch that is run again
-    after a failure leaves the same files as one that ran once.
+    after a failure leaves the same files as one that ran once. The rows are
+    first moved into as few files as their size asks for: a stateful operator
+    has as many tasks as its state has parts, however little changed. With
+    `state`, the newest values are gathered into a snapshot every so many batches.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        operator(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        result = operator(batch).hint("rebalance")
+        result.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if state is not None and (batch_id + 1) % state.every == 0:
+            write_snapshot(batch.sparkSession, out, batch_id, state)
 
     writer = stream.writeStream.foreachBatch(write).outputMode(output_mode)
     return _triggered(writer.option("checkpointLocation", checkpoint), interval).start()
@@ -53,6 +75,65 @@ def read_per_batch(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers N of the sub-folders `name=N`; their contents are not listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    found = [status.getPath().getName() for status in system.listStatus(path)]
+    return sorted(int(f.split("=")[1]) for f in found if f.startswith(f"{name}="))
+
+
+def _snapshots(out: str) -> str:
+    return f"{out}-state"
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def newest_folders(spark: SparkSession, out: str, upto: int | None = None) -> tuple[int, list[str]]:
+    """The number of the newest finished snapshot (-1 if none), and the batch folders after it."""
+    through = -1
+    for number in reversed(_numbers(spark, _snapshots(out), "through")):
+        if (upto is None or number <= upto) and _complete(spark, f"{_snapshots(out)}/through={number}"):
+            through = number
+            break
+    batches = [n for n in _numbers(spark, out, "batch_id") if n > through and (upto is None or n <= upto)]
+    return through, [f"{out}/batch_id={n}" for n in batches]
+
+
+def read_state(spark: SparkSession, out: str, state: State, upto: int | None = None) -> DataFrame:
+    """The newest values per key: the newest snapshot and the batches since, and nothing before it."""
+    through, folders = newest_folders(spark, out, upto)
+    parts = []
+    if through >= 0:
+        kept = spark.read.parquet(f"{_snapshots(out)}/through={through}")
+        parts.append(kept.withColumn("batch_id", F.lit(through).cast("bigint")))
+    if folders:
+        tail = spark.read.option("basePath", out).parquet(*folders)
+        parts.append(tail.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if not parts:
+        raise ValueError(f"no batch has been written to {out}")
+    columns = [*state.keys, *state.values, "batch_id"]
+    whole = parts[0].select(*columns)
+    for part in parts[1:]:
+        whole = whole.unionByName(part.select(*columns))
+    return latest_state(whole, list(state.keys), list(state.values))
+
+
+def write_snapshot(spark: SparkSession, out: str, batch_id: int, state: State) -> None:
+    """Gather the newest values through a batch; a repeated batch writes the same again."""
+    newest = read_state(spark, out, state, upto=batch_id)
+    if state.keep is not None:
+        newest = newest.where(state.keep)
+    folder = f"{_snapshots(out)}/through={batch_id}"
+    if not _complete(spark, folder):
+        newest.write.mode("overwrite").parquet(folder)
+
+
 def latest_state(changes: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """The newest values per key out of the changes of all batches."""
     newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("_state")

@@ -1,5 +1,7 @@
 """Streams over folders of files, compared with the batch operators."""
 
+import os
+import shutil
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -7,13 +9,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import behavior, text, windows
-from tallybrook.sources.streams import parquet_stream, text_stream
+from tallybrook.sources.streams import _as_glob, parquet_stream, text_stream
 from tallybrook.streaming import jobs
 from tallybrook.streaming.runner import (
+    State,
     latest_state,
+    newest_folders,
     read_per_batch,
+    read_state,
     stop_after_batch,
     write_closed,
+    write_per_batch,
+    write_snapshot,
 )
 
 
@@ -34,13 +41,13 @@ def rows(frame, *columns):
 
 
 def test_words_and_totals_per_batch(spark, folders):
-    put(folders, "1.txt", "spark streaming test 1\n\nspark  x \n")
+    put(folders, "1.txt", "river over stone 9\n\nriver  x \n")
     stream = text_stream(spark, folders["in"])
     jobs.words_per_batch(stream, folders["out"], folders["ck"], None).awaitTermination()
-    put(folders, "2.txt", "spark\n")
+    put(folders, "2.txt", "river\n")
     jobs.words_per_batch(stream, folders["out"], folders["ck"], None).awaitTermination()
     found = read_per_batch(spark, folders["out"])
-    assert rows(found.where("word = 'spark'"), "batch_id", "n") == [(0, 2), (1, 1)]
+    assert rows(found.where("word = 'river'"), "batch_id", "n") == [(0, 2), (1, 1)]
     assert rows(found.where("batch_id = 0 and word = ''"), "n") == [(2,)]
     total = folders["out"] + "-total"
     jobs.word_total_per_batch(stream, total, folders["ck"] + "-total", None).awaitTermination()
@@ -183,3 +190,77 @@ def test_stop_after_batch(spark, folders):
     stop_after_batch(query)
     assert not query.isActive
     assert rows(read_per_batch(spark, folders["out"]), "word", "n") == [("a", 1), ("b", 1)]
+
+
+def test_state_is_read_from_the_snapshot_and_what_follows(spark, folders):
+    stream = hits(spark, folders, [range(0, 4), range(4, 8), range(8, 12), range(12, 16), range(16, 19)])
+    counts = stream.groupBy("ip").agg(F.count(F.lit(1)).alias("n"))
+    state = State(("ip",), ("n",), every=2)
+    write_per_batch(counts, lambda b: b, folders["out"], folders["ck"], None, "update", state).awaitTermination()
+    through, batches = newest_folders(spark, folders["out"])
+    assert through == 3 and [b.rsplit("=", 1)[1] for b in batches] == ["4"]
+    # The folders before the snapshot are not read: the state is whole without them.
+    for n in range(4):
+        shutil.rmtree(f"{folders['out']}/batch_id={n}")
+    assert rows(read_state(spark, folders["out"], state), "ip", "n") == [("a", 10), ("b", 9)]
+    write_snapshot(spark, folders["out"], 4, State(("ip",), ("n",), keep="ip = 'a'"))
+    assert newest_folders(spark, folders["out"]) == (4, [])
+    assert rows(read_state(spark, folders["out"], state), "ip", "n") == [("a", 10)]
+    with pytest.raises(ValueError):
+        read_state(spark, folders["out"] + "-none", state)
+
+
+def test_a_snapshot_cut_short_is_not_read(spark, folders):
+    for n, value in enumerate((1, 5)):
+        spark.createDataFrame([("a", value)], "k string, n int").write.parquet(f"{folders['out']}/batch_id={n}")
+    state = State(("k",), ("n",))
+    write_snapshot(spark, folders["out"], 0, state)
+    write_snapshot(spark, folders["out"], 1, state)
+    os.remove(f"{folders['out']}-state/through=1/_SUCCESS")
+    assert newest_folders(spark, folders["out"])[0] == 0
+    assert rows(read_state(spark, folders["out"], state), "k", "n") == [("a", 5)]
+
+
+def test_all_files_are_one_batch_unless_limited(spark, folders):
+    for i in range(1100):
+        put(folders, f"{i}.txt", "w\n")
+    jobs.word_total_per_batch(text_stream(spark, folders["in"]), folders["out"], folders["ck"], None).awaitTermination()
+    assert rows(read_per_batch(spark, folders["out"]), "batch_id", "n") == [(0, 1100)]
+    limited = folders["out"] + "-limited"
+    stream = text_stream(spark, folders["in"], max_files=600)
+    jobs.word_total_per_batch(stream, limited, folders["ck"] + "-limited", None).awaitTermination()
+    assert rows(read_per_batch(spark, limited), "batch_id", "n") == [(0, 600), (1, 500)]
+
+
+def test_a_repeated_call_gives_one_cost(spark, folders):
+    schema = "call string, ts timestamp_ntz"
+    streams = []
+    for name, seconds in (("asked", (0, 1, 2)), ("answered", (10, 11))):
+        data = [("a", START + timedelta(seconds=s)) for s in seconds]
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folders['in']}/{name}")
+        streams.append(parquet_stream(spark, f"{folders['in']}/{name}", schema))
+    write_closed(jobs.join_calls(*streams, "call"), folders["out"], folders["ck"]).awaitTermination()
+    assert spark.read.parquet(folders["out"]).count() == 1
+
+
+def test_access_log_stream_equals_batch(spark, folders):
+    for i in range(3):
+        lines = [f"10.0.0.{m % 2} - - 2023-11-05T08:{m:02d}:30.000Z z GET 200 /x" for m in range(10 * i, 10 * i + 12)]
+        put(folders, f"{i}.txt", "\n".join(lines) + "\n")
+    stream = text_stream(spark, folders["in"], max_files=1)
+    jobs.access_log_state(stream, folders["out"], folders["ck"], interval=None).awaitTermination()
+    state = read_state(spark, folders["out"], State(("interval_start", "ip"), ("n",)))
+    batch = windows.sliding_counts(windows.timed_access_hits(spark.read.text(folders["in"])), "ip")
+    columns = ("window_start", "ip", "n")
+    assert rows(windows.sum_intervals(state, "ip"), *columns) == rows(batch, *columns)
+
+
+def test_a_pattern_stays_a_pattern():
+    assert _as_glob("/x/*") == "/x/*" and _as_glob("/x/ab") == "/x/a[b]"
+
+
+def test_blank_lines_per_batch(spark, folders):
+    put(folders, "1.txt", "ab\n\n\n")
+    stream = text_stream(spark, folders["in"])
+    jobs.characters_per_batch(stream, folders["out"], folders["ck"], None, blank_lines=True).awaitTermination()
+    assert rows(read_per_batch(spark, folders["out"]), "ch", "n") == [("", 2), ("a", 1), ("b", 1)]
