@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybrook import constants as C
 from tallybrook.functions import text as tf
-from tallybrook.operators.groups import MAX_GROUP_BYTES, concat_groups
+from tallybrook.operators.groups import concat_groups
 
 
 def preferences(
@@ -33,19 +33,18 @@ def preference_counts(prefs: DataFrame) -> DataFrame:
     return prefs.groupBy("user_id", "info_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def profiles(counts: DataFrame, max_bytes: int = MAX_GROUP_BYTES) -> DataFrame:
+def profiles(counts: DataFrame, parts: int = 1) -> DataFrame:
     """Per user, `type:n` joined with commas, sorted.
 
-    The counting before this has already reduced a user to one row per type; a
-    user with very many types gets several parts.
+    The counting before this has already reduced a user to one row per type, so
+    one part per user holds as many entries as there are types. Where there are
+    more types than fit in a row, ask for more parts.
     """
     shown = counts.select(
         "user_id", "info_type", F.concat_ws(":", "info_type", "n").alias("_shown")
     )
-    parts = concat_groups(
-        shown, ["user_id"], "_shown", F.xxhash64("info_type"), ",", max_bytes=max_bytes
-    )
-    return parts.withColumnsRenamed({"n_values": "n_types", "joined": "profile"})
+    joined = concat_groups(shown, ["user_id"], "_shown", F.xxhash64("info_type"), ",", parts=parts)
+    return joined.withColumnsRenamed({"n_values": "n_types", "joined": "profile"})
 
 
 def user_profiles(messages: DataFrame, text: str = "value") -> DataFrame:

@@ -1,53 +1,21 @@
-"""Groups that may be too large for one task."""
+"""Groups that may be too large for one task.
+
+A group is cut into `parts` by an argument, the same for every key and whatever
+its size: results keep their shape as data grows. Rows are read once and
+shuffled once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_GROUP_BYTES = 8 * 1024 * 1024
-SALTS = 32
 
-
-def split_hot_groups(
-    rows: DataFrame,
-    keys: list[str],
-    weight: Column,
-    spread: Column,
-    max_weight: int = MAX_GROUP_BYTES,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Add `part`, so that (keys, part) groups weigh about max_weight at most.
-
-    A key whose rows weigh more in total gets as many parts as it needs; every
-    other key has the single part 0. `spread` is a bigint that differs between
-    the rows of one key, and decides the part by its remainder.
-
-    Only the heavy keys are joined back, at most total weight / max_weight of
-    them, and that join is salted: the rows of one key sit in `salts` tasks.
-    The side of heavy keys carries no broadcast hint, Spark sizes it at run time.
-    """
-    heavy = (
-        rows.groupBy(*keys)
-        .agg(F.sum(weight).alias("_weight"))
-        .where(F.col("_weight") > max_weight)
-        .select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            F.ceil(F.col("_weight") / max_weight).cast("bigint").alias("_parts"),
-            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_heavy_salt"),
-        )
-    )
-    salted = rows.withColumns(
-        {
-            "_spread": spread.cast("bigint"),
-            "_salt": F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"),
-        }
-    )
-    same = F.col("_salt") == F.col("_heavy_salt")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    part = F.coalesce(F.pmod(F.col("_spread"), F.col("_parts")), F.lit(0).cast("bigint"))
-    return salted.join(heavy, same, "left").select(*rows.columns, part.alias("part"))
+def part_of(spread: Column, parts: int) -> Column:
+    """Which of `parts` a row belongs to; `spread` is a bigint that differs between a key's rows."""
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
+    return F.pmod(spread.cast("bigint"), F.lit(parts).cast("bigint"))
 
 
 def concat_groups(
@@ -57,20 +25,21 @@ def concat_groups(
     spread: Column,
     separator: str,
     trailing: bool = False,
-    max_bytes: int = MAX_GROUP_BYTES,
+    parts: int = 1,
 ) -> DataFrame:
     """Join the values of every key into text, sorted within each part.
 
-    One row per (keys, part) with `n_values` and `joined`. Reading the parts of
-    a key one after another gives all its values. `trailing` adds the separator
-    after the last value as well.
+    One row per (keys, part) that has values, with `n_values` and `joined`.
+    Reading the parts of a key one after another gives all its values. Choose
+    `parts` so that a part of the largest key fits in a row. `trailing` adds the
+    separator after the last value as well.
     """
-    weight = F.octet_length(value) + F.lit(len(separator.encode()))
     joined = F.array_join(F.array_sort(F.collect_list(value)), separator)
     if trailing:
         joined = F.concat(joined, F.lit(separator))
     return (
-        split_hot_groups(rows.where(F.col(value).isNotNull()), keys, weight, spread, max_bytes)
+        rows.where(F.col(value).isNotNull())
+        .select(*keys, part_of(spread, parts).alias("part"), value)
         .repartition(*keys, "part")
         .groupBy(*keys, "part")
         .agg(F.count(F.lit(1)).alias("n_values"), joined.alias("joined"))
@@ -78,25 +47,19 @@ def concat_groups(
 
 
 def cogroup_lists(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    value: str,
-    spread: str,
-    max_rows: int = 100_000,
+    left: DataFrame, right: DataFrame, keys: list[str], value: str, spread: str, parts: int = 1
 ) -> DataFrame:
-    """Both sides' values per key as sorted lists, in parts for large keys.
+    """Both sides' values per key and part as sorted lists.
 
     Both sides have the keys, a value and a bigint column that tells the rows
     of one key apart. One shuffle brings the two sides together: they are
     stacked with a side flag rather than joined, so no pairs are formed.
     """
-    columns = [*keys, value, spread]
+    columns = [*keys, part_of(F.col(spread), parts).alias("part"), value]
     stacked = left.select(*columns, F.lit(True).alias("_left")).unionByName(
         right.select(*columns, F.lit(False).alias("_left"))
     )
-    parts = split_hot_groups(stacked, keys, F.lit(1), F.col(spread), max_rows)
-    return parts.groupBy(*keys, "part").agg(
+    return stacked.repartition(*keys, "part").groupBy(*keys, "part").agg(
         F.array_sort(F.collect_list(F.when(F.col("_left"), F.col(value)))).alias("left_values"),
         F.array_sort(F.collect_list(F.when(~F.col("_left"), F.col(value)))).alias("right_values"),
     )

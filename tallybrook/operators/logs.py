@@ -20,20 +20,25 @@ LOG_LINE = T.StructType(
         T.StructField("traceId", T.StringType()),
     ]
 )
+CALL_FIELDS = T.StructType(LOG_LINE.fields[:2] + LOG_LINE.fields[3:4])
 _CORRUPT = T.StructField("_corrupt", T.StringType())
 
 
 def parse_call_lines(
-    lines: DataFrame, text: str = "value", markers: list[str] = C.CALL_MARKERS
+    lines: DataFrame,
+    text: str = "value",
+    markers: list[str] = C.CALL_MARKERS,
+    fields: T.StructType = LOG_LINE,
 ) -> DataFrame:
     """Marked JSON lines as `uri`, `context`, `ts`, `level`, `trace_id`, `bad_line`.
 
     Lines without a marker, blank ones among them, are dropped before the JSON
     is parsed. A line that is not JSON, or has no usable time, keeps its text in
-    `bad_line` and never fails the job.
+    `bad_line` and never fails the job. Only the given `fields` are parsed; those
+    of LOG_LINE that are left out are null. CALL_FIELDS is what costs need.
     """
     marked = lines.where(tf.contains_any(F.col(text), markers))
-    schema = T.StructType([*LOG_LINE.fields, _CORRUPT])
+    schema = T.StructType([*fields.fields, _CORRUPT])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT.name}
     parsed = marked.select(
         F.col(text).alias("_text"), tf.once(F.from_json(text, schema, options)).alias("log")
@@ -48,8 +53,8 @@ def parse_call_lines(
         .alias("uri"),
         F.col("log.contextMap").alias("context"),
         "ts",
-        F.col("log.level").alias("level"),
-        F.col("log.traceId").alias("trace_id"),
+        (F.col("log.level") if "level" in fields.names else F.lit(None).cast("string")).alias("level"),
+        (F.col("log.traceId") if "traceId" in fields.names else F.lit(None).cast("string")).alias("trace_id"),
         F.when(bad, F.col("_text")).alias("bad_line"),
     )
 
@@ -76,6 +81,17 @@ def pair_cost(calls: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     )
 
 
+def unpaired(calls: DataFrame, keys: list[str], uri: str = "uri") -> DataFrame:
+    """Per URI, the keys with other than two rows, which have no cost: `n_keys`, `n_lines`."""
+    return (
+        calls.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") != 2)
+        .groupBy(uri)
+        .agg(F.count(F.lit(1)).alias("n_keys"), F.sum("_n").alias("n_lines"))
+    )
+
+
 def folded_cost(calls: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     """`cost_ms` as the absolute differences folded over each key's times in order.
 

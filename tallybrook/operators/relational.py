@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,6 +105,16 @@ def top_n(rows: DataFrame, n: int, by: str, *tie_break: str) -> DataFrame:
     return rows.orderBy(F.col(by).desc(), *[F.col(t).desc() for t in tie_break]).limit(n)
 
 
+def sample_by_key(rows: DataFrame, key: list[str], fraction: float) -> DataFrame:
+    """The rows whose key's digest lies below a bound: about the fraction of the keys.
+
+    The same keys are drawn however the rows lie in files, and in any table that has them.
+    """
+    text = F.concat_ws("/", *[F.col(k).cast("string") for k in key])
+    bound = f"{round(fraction * 16**8):08x}" if fraction < 1 else "g"
+    return rows.where(F.substring(F.md5(text), 1, 8) < bound)
+
+
 def first_match(rows: DataFrame, predicate: Column | str) -> DataFrame:
     """One row that meets the predicate, or none; reading stops once one is found."""
     return rows.where(predicate).limit(1)
@@ -113,14 +123,16 @@ def first_match(rows: DataFrame, predicate: Column | str) -> DataFrame:
 def sample_rows(
     rows: DataFrame, fraction: float, seed: int, with_replacement: bool = False
 ) -> DataFrame:
-    """A random share of the rows. Apply it to a scan, whose row order is fixed."""
+    """A random share of the rows, with replacement if asked; it depends on how they lie in files.
+
+    `sample_by_key` draws the same rows whatever the layout.
+    """
     return rows.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
 
 
-def sql_over(rows: DataFrame, view: str, statement: str) -> DataFrame:
-    """Run SQL text over a DataFrame registered as a temporary view."""
-    rows.createOrReplaceTempView(view)
-    return rows.sparkSession.sql(statement)
+def sql_over(spark: SparkSession, statement: str, **frames: DataFrame) -> DataFrame:
+    """Run SQL text over DataFrames, each named in it as `{name}`; no view stays behind."""
+    return spark.sql(statement, **frames)
 
 
 def rows_as_json(rows: DataFrame) -> DataFrame:
@@ -136,3 +148,15 @@ def drop_listed(
     rows: DataFrame, column: str, members: list[str], ignore_case: bool = False
 ) -> DataFrame:
     return rows.where(~tf.in_list(F.col(column), members, ignore_case))
+
+
+def dictionary_rows(lines: DataFrame, text: str = "value") -> DataFrame:
+    """`type code name parent_code sort status` lines as rows ready to append to a table.
+
+    Lines with other than six fields, or a `sort` that is no number, are no rows.
+    """
+    split = lines.select(tf.once(tf.fields(F.col(text), " ")).alias("_f")).where(F.size("_f") == 6)
+    names = ["type", "code", "name", "parent_code", "sort", "status"]
+    rows = split.select(*[F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    number = F.col("sort").try_cast("int")
+    return rows.withColumn("sort", number).where(F.col("sort").isNotNull())

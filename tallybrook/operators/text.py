@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallybrook import constants as C
 from tallybrook.functions import text as tf
-from tallybrook.operators.groups import MAX_GROUP_BYTES, concat_groups
+from tallybrook.operators.groups import concat_groups
 
 _PIECE_BYTES = 4 * 1024 * 1024
 _CODE_POINTS = 0x110000
@@ -101,13 +101,17 @@ def mark_count(texts: DataFrame, text: str = "value", marks: list[str] = C.MARKS
     return all_char_counts(texts, text).where(tf.in_list(F.col("ch"), marks))
 
 
-def mark_vs_word(texts: DataFrame, text: str = "value", marks: list[str] = C.MARKS) -> DataFrame:
-    """One row: how many characters are marks and how many are not."""
+def mark_vs_word(
+    texts: DataFrame, text: str = "value", marks: list[str] = C.MARKS, blank_lines: bool = False
+) -> DataFrame:
+    """One row: how many characters are marks and how many are not.
+
+    With `blank_lines`, a line without any character counts as one that is not a mark.
+    """
     is_mark = tf.in_list(F.col("ch"), marks)
     n = lambda keep: F.coalesce(F.sum(F.when(keep, F.col("n"))), F.lit(0)).cast("bigint")
     return (
-        all_char_counts(texts, text)
-        .where(F.col("ch") != "\n")
+        char_count(texts, text, exclude=[], blank_lines=blank_lines)
         .agg(n(is_mark).alias("mark_sum"), n(~is_mark).alias("word_sum"))
     )
 
@@ -146,7 +150,7 @@ def sentences_by_key(
     spread: Column,
     separator: str = C.SENTENCE_SEPARATOR,
     trailing: bool = False,
-    max_bytes: int = MAX_GROUP_BYTES,
+    parts: int = 1,
 ) -> DataFrame:
-    """All found sentences of a key as text, in parts of about max_bytes."""
-    return concat_groups(sentences, keys, "sentence", spread, separator, trailing, max_bytes)
+    """All found sentences of a key as text, in `parts` rows per key (see `concat_groups`)."""
+    return concat_groups(sentences, keys, "sentence", spread, separator, trailing, parts)

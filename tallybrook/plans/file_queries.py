@@ -1,4 +1,8 @@
-"""Registered queries: tables written to files by Spark and read back."""
+"""Registered queries: tables written to files by Spark and read back.
+
+Calling one writes its files at once, under the shared folder, where they stay
+until `session.remove_runs`.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.operators import relational, text
-from tallybrook.plans.tables import Query, table
+from tallybrook.plans import jobs
+from tallybrook.plans.log_queries import sliding_sql
+from tallybrook.plans.tables import ACCESS_SQL, Query, access_log_lines, table
 from tallybrook.plans.text_queries import KEYWORD_SQL, WORD_SQL
 from tallybrook.session import run_dir
 from tallybrook.sinks import files as sinks
@@ -47,7 +53,7 @@ SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GRO
 
 def whole_file_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Characters per source in text files that are read as one value each."""
-    files = sources.whole_files(spark, _text_files(spark, sf_dir, "whole", 5000))
+    files = sources.whole_files(spark, _text_files(spark, sf_dir, "whole", 200))
     return files.groupBy(_source_of("file_path")).agg(
         F.sum(F.length("value").cast("bigint")).alias("n_chars")
     )
@@ -71,15 +77,14 @@ def charset_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delimited_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as tab-separated lines, read back typed, filtered, sorted."""
     out = run_dir(spark, "delimited")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders = table(spark, sf_dir, "orders")
     sinks.write_lines(sinks.tab_lines(orders), out)
-    schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
-    rows = sources.delimited(spark, out, schema, "\t").where("o_totalprice > 100000")
+    rows = sources.delimited(spark, out, orders.schema, "\t").where("o_totalprice > 100000")
     return relational.sort_desc(rows, "o_totalprice", "o_orderkey")
 
 
 DELIMITED_SQL = """
-SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 100000
+SELECT * FROM orders WHERE o_totalprice > 100000
 ORDER BY o_totalprice DESC, o_orderkey
 """
 
@@ -95,6 +100,43 @@ def json_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 JSON_LINES_SQL = "SELECT event_id, user_id, event_type, value FROM events WHERE value > 26"
 
 
+def json_inferred_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as JSON lines and read back without a schema."""
+    out = run_dir(spark, "inferred")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sinks.write_json_lines(customers, out)
+    return sources.json_lines(spark, out).where("c_acctbal > 0 AND c_custkey % 2 = 0")
+
+
+INFERRED_SQL = """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0 AND c_custkey % 2 = 0
+"""
+
+
+def appended_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written, overwritten, appended to, and read back: rows per nation."""
+    out = run_dir(spark, "appended")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    sinks.write_parquet(customers, out)
+    sinks.write_parquet(customers.where("c_nationkey < 10"), out, "overwrite")
+    sinks.write_parquet(customers.where("c_nationkey < 20"), out, "append")
+    return relational.count_by_key(spark.read.parquet(out), "c_nationkey")
+
+
+APPENDED_SQL = """
+SELECT c_nationkey, count(*) * CASE WHEN c_nationkey < 10 THEN 2 ELSE 1 END AS n
+FROM customer WHERE c_nationkey < 20 GROUP BY c_nationkey
+"""
+
+
+def access_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Access-log files to sliding counts per address, by the time in each line."""
+    out = run_dir(spark, "access")
+    sinks.write_lines(access_log_lines(table(spark, sf_dir, "events")).select("value"), out)
+    counts = jobs.access_log_counts(spark, out)
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 QUERIES = {
     "file_keyword_search": Query(file_keyword_search, KEYWORD_SQL),
     "file_listing": Query(file_listing, LISTING_SQL),
@@ -102,4 +144,7 @@ QUERIES = {
     "charset_words": Query(charset_words, WORD_SQL),
     "delimited_rows": Query(delimited_rows, DELIMITED_SQL),
     "json_line_rows": Query(json_line_rows, JSON_LINES_SQL),
+    "json_inferred_rows": Query(json_inferred_rows, INFERRED_SQL),
+    "appended_rows": Query(appended_rows, APPENDED_SQL),
+    "access_log_files": Query(access_log_files, sliding_sql(ACCESS_SQL, "ip")),
 }

@@ -6,18 +6,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook import constants as C
-from tallybrook.operators import behavior, logs, relational, text
+from tallybrook.operators import behavior, logs, relational, text, windows
 from tallybrook.sinks import files as out_files
 from tallybrook.sources import files, jdbc
 
 
+CALL = ["uri", "context"]
+PAIRINGS = {"two": logs.pair_cost, "fold": logs.folded_cost}
+
+
+def _calls(spark: SparkSession, log_path: str) -> DataFrame:
+    return logs.good_calls(
+        logs.parse_call_lines(files.text_lines(spark, log_path), fields=logs.CALL_FIELDS)
+    )
+
+
+def _costs(spark: SparkSession, log_path: str, max_cost_ms: int, pairing: str) -> DataFrame:
+    return logs.in_cost_range(PAIRINGS[pairing](_calls(spark, log_path), CALL), max_cost_ms)
+
+
 def latency_report(
-    spark: SparkSession, log_path: str, max_cost_ms: int = C.MAX_COST_MS
+    spark: SparkSession, log_path: str, max_cost_ms: int = C.MAX_COST_MS, pairing: str = "two"
 ) -> DataFrame:
-    """JSON API log to average, sum and number of calls per URI, slowest first."""
-    calls = logs.good_calls(logs.parse_call_lines(files.text_lines(spark, log_path)))
-    costs = logs.in_cost_range(logs.pair_cost(calls, ["uri", "context"]), max_cost_ms)
-    return logs.cost_report(costs)
+    """JSON API log to average, sum and number of calls per URI, slowest first.
+
+    `pairing` "two" costs calls with exactly two lines; "fold" also takes calls
+    that are repeated, as differences folded in the order of their times.
+    `left_out` and `malformed_lines` give what is in neither.
+    """
+    return logs.cost_report(_costs(spark, log_path, max_cost_ms, pairing))
+
+
+def left_out(spark: SparkSession, log_path: str) -> DataFrame:
+    """Per URI, how many calls with other than two lines there are, and their lines."""
+    return logs.unpaired(_calls(spark, log_path), CALL)
+
+
+def malformed_lines(spark: SparkSession, log_path: str) -> DataFrame:
+    """Marked lines that are no JSON or have no usable time."""
+    return logs.bad_lines(logs.parse_call_lines(files.text_lines(spark, log_path)))
 
 
 def write_latency_report(
@@ -25,18 +52,31 @@ def write_latency_report(
     log_path: str,
     out_path: str,
     max_cost_ms: int = C.MAX_COST_MS,
-    single_file: bool = False,
+    pairing: str = "two",
+    malformed_path: str | None = None,
+    left_out_path: str | None = None,
 ) -> None:
-    """The report as `(uri,avg#sum)` lines."""
-    lines = logs.report_lines(latency_report(spark, log_path, max_cost_ms))
-    out_files.write_lines(lines, out_path, single_file=single_file)
+    """The report as `(uri,avg#sum)` lines, and what it leaves out where paths are given for it."""
+    report = latency_report(spark, log_path, max_cost_ms, pairing)
+    out_files.write_lines(logs.report_lines(report), out_path)
+    if malformed_path is not None:
+        out_files.write_lines(malformed_lines(spark, log_path), malformed_path)
+    if left_out_path is not None:
+        counts = left_out(spark, log_path).orderBy("uri")
+        out_files.write_lines(out_files.tab_lines(counts, "uri", "n_keys", "n_lines"), left_out_path)
+
+
+def call_costs(
+    spark: SparkSession, log_path: str, max_cost_ms: int = C.MAX_COST_MS, pairing: str = "two"
+) -> DataFrame:
+    """JSON API log to the cost of every paired call, largest first."""
+    return logs.rank_costs(_costs(spark, log_path, max_cost_ms, pairing), CALL)
 
 
-def call_costs(spark: SparkSession, log_path: str, max_cost_ms: int = C.MAX_COST_MS) -> DataFrame:
-    """JSON API log to the cost of every paired call, largest first."""
-    calls = logs.good_calls(logs.parse_call_lines(files.text_lines(spark, log_path)))
-    costs = logs.in_cost_range(logs.pair_cost(calls, ["uri", "context"]), max_cost_ms)
-    return logs.rank_costs(costs, ["uri", "context"])
+def access_log_counts(spark: SparkSession, log_path: str) -> DataFrame:
+    """Access-log lines to hits per address and sliding window, by the time in each line."""
+    hits = windows.timed_access_hits(files.text_lines(spark, log_path))
+    return windows.sliding_counts(hits, "ip")
 
 
 def merchant_report(spark: SparkSession, log_path: str) -> DataFrame:
@@ -61,16 +101,14 @@ def keyword_report(
     path: str,
     keyword: str = C.SEARCH_KEYWORD,
     stop: str = C.SENTENCE_STOP,
+    parts: int = 1,
 ) -> DataFrame:
-    """Text files to the sentences with the keyword, joined per file name.
-
-    A file of any size may be one group, so its sentences come in parts.
-    """
+    """Text files to the sentences with the keyword, joined per file name, in `parts` rows each."""
     lines = files.named_lines(spark, path)
     found = text.keyword_sentences(lines, ["file_name"], "value", keyword, stop)
     # Numbers of rows straight from a scan: the same when a task is run again.
     numbered = found.withColumn("row", F.monotonically_increasing_id())
-    return text.sentences_by_key(numbered, ["file_name"], F.col("row"), trailing=True)
+    return text.sentences_by_key(numbered, ["file_name"], F.col("row"), trailing=True, parts=parts)
 
 
 def department_totals(spark: SparkSession, employees: str, departments: str) -> DataFrame:
@@ -90,11 +128,9 @@ def newest_dictionary_rows(
     connection: jdbc.Connection,
     table: str,
     n: int = 10,
-    slices: jdbc.Slices | None = None,
 ) -> DataFrame:
-    """The n rows with the largest id of a database table, read in slices if given."""
-    rows = jdbc.read_table(spark, connection, table=table, slices=slices)
-    return relational.top_n(rows, n, "id")
+    """The n rows with the largest id of a database table, picked by the database."""
+    return jdbc.read_table(spark, connection, query=jdbc.newest_query(table, n))
 
 
 def profile_report(spark: SparkSession, path: str) -> DataFrame:

@@ -74,7 +74,7 @@ GROUP BY user_id, event_type HAVING cost_ms > 0 AND cost_ms <= {1000 * DAY_MS}
 
 def json_log_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.api_log_lines(table(spark, sf_dir, "events"))
-    calls = logs.good_calls(logs.parse_call_lines(lines))
+    calls = logs.good_calls(logs.parse_call_lines(lines, fields=logs.CALL_FIELDS))
     costs = logs.in_cost_range(logs.pair_cost(calls, ["uri", "context"]), DAY_MS)
     return _plain(logs.cost_report(costs))
 
@@ -93,7 +93,7 @@ ORDER BY avg_cost DESC, uri
 def json_log_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Costs within the default bound, largest first."""
     lines = t.api_log_lines(table(spark, sf_dir, "events"))
-    calls = logs.good_calls(logs.parse_call_lines(lines))
+    calls = logs.good_calls(logs.parse_call_lines(lines, fields=logs.CALL_FIELDS))
     costs = logs.in_cost_range(logs.pair_cost(calls, ["uri", "context"]))
     return logs.rank_costs(costs, ["uri", "context"])
 
@@ -107,6 +107,51 @@ ORDER BY cost_ms DESC, uri, context
 """
 
 
+def json_log_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = t.damaged_api_log_lines(table(spark, sf_dir, "events"))
+    return logs.bad_lines(logs.parse_call_lines(lines))
+
+
+BAD_LINES_SQL = """
+SELECT '{"message":"/api/' || event_type || ' @P ' || event_id AS bad_line FROM events WHERE event_id % 10 = 0
+"""
+
+
+def json_log_unpaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the report leaves out: calls with other than two lines, per URI."""
+    lines = t.api_log_lines(table(spark, sf_dir, "events"))
+    return logs.unpaired(logs.good_calls(logs.parse_call_lines(lines, fields=logs.CALL_FIELDS)), ["uri", "context"])
+
+
+UNPAIRED_SQL = f"""
+SELECT uri, count(*) AS n_keys, CAST(sum(n) AS BIGINT) AS n_lines FROM (
+  SELECT uri, count(*) AS n FROM ({t.API_LOG_SQL}) GROUP BY uri, user_id, day HAVING count(*) <> 2)
+GROUP BY uri
+"""
+
+
+def json_log_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report with repeated calls folded in the order of their times."""
+    lines = t.api_log_lines(table(spark, sf_dir, "events"))
+    calls = logs.good_calls(logs.parse_call_lines(lines, fields=logs.CALL_FIELDS))
+    costs = logs.in_cost_range(logs.folded_cost(calls, ["uri", "context"]), DAY_MS)
+    return _plain(logs.cost_report(costs))
+
+
+JSON_FOLDED_SQL = f"""
+WITH ranked AS (
+  SELECT uri, user_id, day, ms, row_number() OVER (PARTITION BY uri, user_id, day ORDER BY ms) AS r
+  FROM (SELECT uri, user_id, day, epoch_us(ts) // 1000 AS ms FROM ({t.API_LOG_SQL}))),
+costs AS (
+  SELECT uri, CAST(abs(sum(CASE WHEN r % 2 = 1 THEN ms ELSE -ms END)) AS BIGINT) AS cost_ms
+  FROM ranked GROUP BY uri, user_id, day)
+SELECT uri, {_AVG} AS avg_cost, s AS sum_cost, n AS n_calls FROM (
+  SELECT uri, CAST(sum(cost_ms) AS BIGINT) AS s, count(*) AS n
+  FROM costs WHERE cost_ms > 0 AND cost_ms <= {DAY_MS} GROUP BY uri)
+ORDER BY avg_cost DESC, uri
+"""
+
+
 def avg_sum_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     amounts = table(spark, sf_dir, "events").select(
         "event_type", numeric.cents(F.col("value")).alias("amount")
@@ -200,6 +245,9 @@ QUERIES = {
     "folded_latency": Query(folded_latency, FOLDED_SQL),
     "json_log_report": Query(json_log_report, JSON_LOG_SQL),
     "json_log_costs": Query(json_log_costs, JSON_COSTS_SQL),
+    "json_log_bad_lines": Query(json_log_bad_lines, BAD_LINES_SQL),
+    "json_log_unpaired": Query(json_log_unpaired, UNPAIRED_SQL),
+    "json_log_folded": Query(json_log_folded, JSON_FOLDED_SQL),
     "avg_sum_by_key": Query(avg_sum_by_key, AVG_SUM_SQL),
     "log_time_millis": Query(log_time_millis, LOG_TIME_SQL),
     "merchant_count": Query(merchant_count, MERCHANT_SQL),

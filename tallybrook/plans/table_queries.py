@@ -68,7 +68,7 @@ FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id
 def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts of both kinds per user, shown as text."""
     clicks, purchases = _kind(spark, sf_dir, "click"), _kind(spark, sf_dir, "purchase")
-    lists = groups.cogroup_lists(clicks, purchases, ["user_id"], "amount", "event_id")
+    lists = groups.cogroup_lists(clicks, purchases, ["user_id"], "amount", "event_id", parts=1)
     shown = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in lists.columns[2:]}
     return lists.withColumns(shown)
 
@@ -123,15 +123,15 @@ WHERE CAST(json_extract(props, '$.k') AS INTEGER) > 26
 
 
 def rows_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    return relational.rows_as_json(
-        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    )
+    """Every order as JSON; the price in its two places and the date as a day."""
+    shown = {"o_totalprice": F.format_string("%.2f", "o_totalprice"), "o_orderdate": F.to_date("o_orderdate")}
+    return relational.rows_as_json(table(spark, sf_dir, "orders").withColumns(shown))
 
 
 ROWS_AS_JSON_SQL = """
 SELECT CAST(to_json({'o_orderkey': o_orderkey, 'o_custkey': o_custkey,
-  'o_orderstatus': o_orderstatus, 'o_orderpriority': o_orderpriority}) AS VARCHAR) AS value
+  'o_orderstatus': o_orderstatus, 'o_totalprice': printf('%.2f', o_totalprice),
+  'o_orderdate': strftime(o_orderdate, '%Y-%m-%d'), 'o_orderpriority': o_orderpriority}) AS VARCHAR) AS value
 FROM orders
 """
 
@@ -146,12 +146,41 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 10
 """
 
-_VIEW_SQL = "SELECT * FROM {} ORDER BY c_custkey DESC LIMIT 10"
+_VIEW_SQL = "SELECT * FROM {customer} ORDER BY c_custkey DESC LIMIT 10"
 
 
 def sql_view_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = "customer_dictionary"
-    return relational.sql_over(table(spark, sf_dir, "customer"), view, _VIEW_SQL.format(view))
+    return relational.sql_over(spark, _VIEW_SQL, customer=table(spark, sf_dir, "customer"))
+
+
+_JOIN_SQL = """
+SELECT n.n_name, c.c_mktsegment, count(*) AS n_orders
+FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+WHERE o.o_totalprice > 1000 GROUP BY n.n_name, c.c_mktsegment
+"""
+
+
+def sql_view_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several tables joined in SQL text."""
+    frames = {name: table(spark, sf_dir, name) for name in ("orders", "customer", "nation")}
+    return relational.sql_over(spark, _JOIN_SQL, **frames)
+
+
+def dictionary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Space-separated lines to the six fields of a dictionary row."""
+    customers = table(spark, sf_dir, "customer")
+    kind = F.concat(F.lit("kind"), "c_nationkey")
+    fields = [kind, F.col("c_custkey"), F.concat(F.lit("n"), "c_custkey"), F.col("c_nationkey"), F.col("c_custkey") % 7]
+    status = F.when(F.col("c_acctbal") > 0, "NORMAL").otherwise("FROZEN")
+    return relational.dictionary_rows(customers.select(F.concat_ws(" ", *fields, status).alias("value")))
+
+
+DICTIONARY_SQL = """
+SELECT 'kind' || c_nationkey AS type, CAST(c_custkey AS VARCHAR) AS code, 'n' || c_custkey AS name,
+       CAST(c_nationkey AS VARCHAR) AS parent_code, CAST(c_custkey % 7 AS INTEGER) AS sort,
+       CASE WHEN c_acctbal > 0 THEN 'NORMAL' ELSE 'FROZEN' END AS status
+FROM customer
+"""
 
 
 def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,12 +205,23 @@ SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('click', 'view
 
 
 def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some order above a price; which one is not defined."""
-    return relational.first_match(table(spark, sf_dir, "orders"), F.col("o_totalprice") > 300_000)
+    """Whether the order found meets the predicate; which order it is is not defined."""
+    dear = F.col("o_totalprice") > 1000
+    return relational.first_match(table(spark, sf_dir, "orders"), dear).select(dear.alias("meets"))
+
+
+FIRST_MATCH_SQL = "SELECT o_totalprice > 1000 AS meets FROM orders WHERE o_totalprice > 1000 LIMIT 1"
 
 
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relational.sample_rows(table(spark, sf_dir, "lineitem"), 0.1, seed=7)
+    """About a tenth of the line items, drawn by their key."""
+    return relational.sample_by_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], 0.1)
+
+
+SAMPLE_SQL = """
+SELECT * FROM lineitem
+WHERE substr(md5(CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR)), 1, 8) < '1999999a'
+"""
 
 
 QUERIES = {
@@ -195,9 +235,11 @@ QUERIES = {
     "json_filter": Query(json_filter, JSON_FILTER_SQL),
     "rows_as_json": Query(rows_as_json, ROWS_AS_JSON_SQL),
     "topn_orders": Query(topn_orders, TOPN_SQL),
-    "sql_view_topn": Query(sql_view_topn, _VIEW_SQL.format("customer")),
+    "sql_view_topn": Query(sql_view_topn, _VIEW_SQL.format(customer="customer")),
+    "sql_view_join": Query(sql_view_join, _JOIN_SQL.format(orders="orders", customer="customer", nation="nation")),
+    "dictionary_rows": Query(dictionary_rows, DICTIONARY_SQL),
     "sort_desc": Query(sort_desc, SORT_SQL),
     "listed_events": Query(listed_events, LISTED_SQL),
-    "first_match": Query(first_match),
-    "sample_rows": Query(sample_rows),
+    "first_match": Query(first_match, FIRST_MATCH_SQL),
+    "sample_rows": Query(sample_rows, SAMPLE_SQL),
 }

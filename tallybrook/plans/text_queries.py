@@ -11,8 +11,8 @@ from tallybrook.operators import relational, text
 from tallybrook.plans.tables import Query, table
 from tallybrook.sinks.files import tab_lines
 
-# Sentences are joined into texts of about this many bytes.
-PART_BYTES = 32 * 1024
+# The sentences of a source are joined into so many texts.
+PARTS = 8
 
 _MARKS_SQL = "(" + ", ".join(f"'{m}'" for m in C.MARKS) + ")"
 _CHARS_SQL = """
@@ -66,6 +66,18 @@ def mark_vs_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.mark_vs_word(table(spark, sf_dir, "documents"), "text")
 
 
+def mark_vs_word_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank lines count as one character that is not a mark."""
+    return text.mark_vs_word(table(spark, sf_dir, "documents"), "text", blank_lines=True)
+
+
+MARK_WORD_BLANKS_SQL = f"""
+SELECT CAST(count(*) FILTER (WHERE ch IN {_MARKS_SQL}) AS BIGINT) AS mark_sum,
+       CAST(count(*) FILTER (WHERE ch NOT IN {_MARKS_SQL}) AS BIGINT) AS word_sum
+FROM (SELECT unnest(CASE WHEN line = '' THEN [''] ELSE string_split(line, '') END) AS ch
+      FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))
+"""
+
 MARK_WORD_SQL = f"""
 SELECT CAST(count(*) FILTER (WHERE ch IN {_MARKS_SQL}) AS BIGINT) AS mark_sum,
        CAST(count(*) FILTER (WHERE ch NOT IN {_MARKS_SQL} AND ch <> '') AS BIGINT) AS word_sum
@@ -109,22 +121,15 @@ def keyword_sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentence_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All found sentences of a source, in parts of about PART_BYTES."""
+    """All found sentences of a source, in PARTS parts."""
     spread = F.col("doc_id") + F.col("pos")
-    return text.sentences_by_key(
-        _found(spark, sf_dir), ["source"], spread, max_bytes=PART_BYTES
-    )
+    return text.sentences_by_key(_found(spark, sf_dir), ["source"], spread, parts=PARTS)
 
 
 CONCAT_SQL = f"""
-WITH found AS ({SENTENCES_SQL}),
-sizes AS (
-  SELECT source, CASE WHEN bytes > {PART_BYTES} THEN CAST(ceil(bytes / {PART_BYTES}) AS BIGINT)
-                 ELSE 1 END AS parts
-  FROM (SELECT source, sum(strlen(sentence) + 7) AS bytes FROM found GROUP BY source))
-SELECT source, (doc_id + pos) % parts AS part, count(*) AS n_values,
+SELECT source, (doc_id + pos) % {PARTS} AS part, count(*) AS n_values,
        string_agg(sentence, '---|---' ORDER BY sentence) AS joined
-FROM found JOIN sizes USING (source) GROUP BY source, part
+FROM ({SENTENCES_SQL}) GROUP BY source, part
 """
 
 
@@ -149,6 +154,7 @@ QUERIES = {
     "char_lines": Query(char_lines, CHAR_LINES_SQL),
     "mark_count": Query(mark_count, MARK_SQL),
     "mark_vs_word": Query(mark_vs_word, MARK_WORD_SQL),
+    "mark_vs_word_blanks": Query(mark_vs_word_blanks, MARK_WORD_BLANKS_SQL),
     "char_count_ignore_case": Query(char_count_ignore_case, CHAR_IGNORE_CASE_SQL),
     "word_count": Query(word_count, WORD_SQL),
     "keyword_sentences": Query(keyword_sentences, KEYWORD_SQL),

@@ -28,14 +28,20 @@ SETTINGS = {
 
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
-    """A session with SETTINGS applied; keyword settings use `__` for `.`."""
+    """A session with SETTINGS applied; keyword settings use `__` for `.`.
+
+    A given number of shuffle partitions is also what adaptive execution begins with.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
+    settings = {name.replace("__", "."): value for name, value in settings.items()}
+    if shuffles := settings.get("spark.sql.shuffle.partitions"):
+        settings.setdefault("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffles)
     for name, value in settings.items():
-        builder = builder.config(name.replace("__", "."), value)
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_parquet(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The default sink. Mode `append` adds part files, `overwrite` replaces all."""
@@ -20,34 +18,29 @@ def tuple_lines(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def tab_lines(rows: DataFrame, *columns: str) -> DataFrame:
-    """Columns separated by tabs, without quoting; a missing value is empty."""
-    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns or rows.columns]
+    """Columns separated by tabs, without quoting; a missing value is empty.
+
+    The job fails on a value that holds a tab or a line end, which no reader
+    could tell from the end of the field.
+    """
+
+    def shown_as(column: str):
+        value = F.coalesce(F.col(column).cast("string"), F.lit(""))
+        message = F.concat(F.lit(f"{column} holds a tab or a line end: "), value)
+        return F.when(value.rlike(r"[\t\n\r]"), F.raise_error(message)).otherwise(value)
+
+    shown = [shown_as(c) for c in columns or rows.columns]
     return rows.select(F.concat_ws("\t", *shown).alias("value"))
 
 
 def write_lines(
-    lines: DataFrame,
-    path: str,
-    mode: str = "overwrite",
-    single_file: bool = False,
-    max_rows: int = SINGLE_FILE_ROWS,
-    line_separator: str = "\n",
+    lines: DataFrame, path: str, mode: str = "overwrite", line_separator: str = "\n"
 ) -> None:
-    """One-column text output.
+    """One-column text output, in part files named in the order of the rows.
 
-    `single_file` is for small reports: more than max_rows is refused, because
-    one file means one task.
+    Of sorted rows, the files one after another in name order are one sorted
+    file, however many tasks write it.
     """
-    if single_file:
-        lines = lines.persist()
-        try:
-            if lines.limit(max_rows + 1).count() > max_rows:
-                raise ValueError(f"more than {max_rows} rows: write several files")
-            writer = lines.coalesce(1).write.mode(mode).option("lineSep", line_separator)
-            writer.text(path)
-        finally:
-            lines.unpersist()
-        return
     lines.write.mode(mode).option("lineSep", line_separator).text(path)
 
 

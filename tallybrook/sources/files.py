@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -40,25 +41,30 @@ def charset_lines(spark: SparkSession, path: str | list[str], charset: str) -> D
         )
 
 
+_CHARSET_LOCK = threading.Lock()
+
+
 @contextmanager
 def _any_charset(spark: SparkSession) -> Iterator[None]:
     """Let `decode` take any charset of the JVM and replace invalid bytes.
 
     Spark reads both settings when a column is resolved, which select does at
-    once, so the session is left as it was and other jobs keep their checks.
+    once, so the session is left as it was. One reader at a time changes them,
+    so each restores what was set before the first.
     """
     names = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name in names:
-        spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+    with _CHARSET_LOCK:
+        before = {name: spark.conf.get(name, None) for name in names}
+        for name in names:
+            spark.conf.set(name, "true")
+        try:
+            yield
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
 
 def json_lines(
@@ -77,16 +83,19 @@ def delimited(
     schema: T.StructType | str,
     separator: str = ",",
     mode: str = "PERMISSIVE",
+    quote: str = "",
 ) -> DataFrame:
     """Typed rows from separated text without a header.
 
-    A field that does not fit its type is null; mode FAILFAST fails the job
+    Lines are split at every separator; quotes and backslashes are characters
+    like others unless `quote` names the one that fields are quoted with. A field that does not fit its type is null; mode FAILFAST fails the job
     instead and DROPMALFORMED drops the row.
     """
     return (
         spark.read.schema(schema)
         .option("sep", separator)
         .option("mode", mode)
+        .option("quote", quote)
         .option("encoding", "UTF-8")
         .csv(path)
     )

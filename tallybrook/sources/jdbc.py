@@ -67,6 +67,11 @@ def table_options(
     return options | (slices.options() if slices else {})
 
 
+def newest_query(table: str, n: int, key: str = "id") -> str:
+    """The query for the n rows with the largest key, so that only they leave the database."""
+    return f"SELECT * FROM {table} ORDER BY {key} DESC LIMIT {int(n)}"
+
+
 def read_table(spark: SparkSession, connection: Connection, **kwargs) -> DataFrame:
     """A table or query as a DataFrame; filters and columns go to the database."""
     return spark.read.format("jdbc").options(**table_options(connection, **kwargs)).load()

@@ -77,3 +77,8 @@ def test_kafka_rows(spark):
     rows = spark.createDataFrame([("k", 1)], "k string, n int")
     assert kafka_sink.records(rows).first().value == '{"k":"k","n":1}'
     assert tuple(kafka_sink.records(rows, rows.n, rows.k).first()) == ("k", "1")
+
+
+def test_newest_rows_are_picked_by_the_database():
+    options = jdbc.table_options(PLACE, query=jdbc.newest_query("dict", 10))
+    assert options["query"] == "SELECT * FROM dict ORDER BY id DESC LIMIT 10"

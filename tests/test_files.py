@@ -1,8 +1,11 @@
+import os
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.plans import jobs
-from tallybrook.session import run_dir, shared_dir
+from tallybrook.session import remove_runs, run_dir, shared_dir
 from tallybrook.sinks import files as sinks
 from tallybrook.sources import files as sources
 
@@ -55,21 +58,21 @@ def test_listing_and_whole_files(spark, tmp_path):
 
 
 def test_json_lines(spark, tmp_path):
-    (tmp_path / "p.json").write_text('{"name":"a","age":23}\n{"name":"f","age":28}\n')
+    (tmp_path / "p.json").write_text('{"name":"gus","age":12}\n{"name":"hal","age":73}\n')
     for schema in (None, "name string, age bigint"):
         rows = sources.json_lines(spark, str(tmp_path), schema).where("age > 26")
-        assert [(r.name, r.age) for r in rows.select("name", "age").collect()] == [("f", 28)]
+        assert [(r.name, r.age) for r in rows.select("name", "age").collect()] == [("hal", 73)]
 
 
 def test_delimited_modes(spark, tmp_path):
-    (tmp_path / "p.txt").write_text("a 23\nd 26\nx many\n")
+    (tmp_path / "p.txt").write_text("ivy 12\njim 73\nkay many\n")
     rows = sources.delimited(spark, str(tmp_path), "name string, age int", " ")
     assert sorted((r.name, r.age) for r in rows.where("age > 24 or age is null").collect()) == [
-        ("d", 26),
-        ("x", None),
+        ("jim", 73),
+        ("kay", None),
     ]
     dropped = sources.delimited(spark, str(tmp_path), "name string, age int", " ", "DROPMALFORMED")
-    assert names(dropped, "name") == ["a", "d"]
+    assert names(dropped, "name") == ["ivy", "jim"]
     with pytest.raises(Exception):
         sources.delimited(spark, str(tmp_path), "name string, age int", " ", "FAILFAST").collect()
 
@@ -85,14 +88,36 @@ def test_line_formats_and_modes(spark, tmp_path):
     assert names(spark.read.text(out)) == ["k\t1"]
 
 
-def test_single_file_is_for_small_results(spark, tmp_path):
-    out = tmp_path / "one"
-    lines = spark.range(100).repartition(4).select(F.col("id").cast("string").alias("value"))
-    sinks.write_lines(lines, str(out), single_file=True)
-    assert len(list(out.glob("part-*"))) == 1 and spark.read.text(str(out)).count() == 100
-    with pytest.raises(ValueError):
-        sinks.write_lines(lines, str(out), single_file=True, max_rows=99)
-    assert spark.read.text(str(out)).count() == 100
+def test_part_files_in_name_order_are_the_sorted_file(spark, tmp_path):
+    out = tmp_path / "sorted"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(1000).repartition(5).select(F.format_string("%04d", "id").alias("value"))
+        sinks.write_lines(rows.orderBy("value"), str(out))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(out.glob("part-*"))
+    assert len(parts) > 1
+    assert "".join(p.read_text() for p in parts).split() == [f"{i:04d}" for i in range(1000)]
+
+
+def test_quotes_and_backslashes_come_back(spark, tmp_path):
+    values = ['"x', 'say "y"', "a\\b", "\\", "it's", ' lead', 'z "', "a,b", '""']
+    rows = spark.createDataFrame(list(enumerate(values)), "n int, v string")
+    out = str(tmp_path / "out")
+    sinks.write_lines(sinks.tab_lines(rows, "v", "n"), out)
+    back = sources.delimited(spark, out, "v string, n int", "\t")
+    assert sorted((r.n, r.v) for r in back.collect()) == list(enumerate(values))
+    quoted = tmp_path / "quoted.csv"
+    quoted.write_text('"a,b",1\n')
+    assert sources.delimited(spark, str(quoted), "v string, n int", quote='"').first().v == "a,b"
+
+
+@pytest.mark.parametrize("value", ["a\tb", "a\nb", "a\rb"])
+def test_a_value_that_no_reader_could_split_is_refused(spark, tmp_path, value):
+    rows = spark.createDataFrame([(value, 1)], "v string, n int")
+    with pytest.raises(Exception, match="v holds a tab or a line end"):
+        sinks.write_lines(sinks.tab_lines(rows), str(tmp_path / "out"))
 
 
 def test_parquet_and_json_sinks(spark, tmp_path):
@@ -118,18 +143,62 @@ def test_character_and_merchant_jobs(spark, tmp_path):
     assert jobs.profile_report(spark, str(tmp_path / "b.log")).first().profile == "x:2,y:1"
 
 
+def call(time, uri, key):
+    return f'{{"logTime":"2023-11-05T{time}Z","message":"{uri}","contextMap":{{"t":"{key}"}}}}\n'
+
+
 def test_latency_job(spark, tmp_path):
     (tmp_path / "api.log").write_text(
-        '{"logTime":"2024-01-14T10:00:00.000Z","message":"/a @P","contextMap":{"t":"1"}}\n'
-        '{"logTime":"2024-01-14T10:00:00.125Z","message":"/a @R","contextMap":{"t":"1"}}\n'
+        call("08:00:00.000", "/a @P", 1)
+        + call("08:00:00.125", "/a @R", 1)
+        + "".join(call(f"09:00:0{i}.000", "/b @P", 2) for i in range(4))
+        + call("10:00:00.000", "/b @P", 3)
+        + '{"message":"/c @P\n@R not json\n'
     )
-    out = tmp_path / "out"
-    jobs.write_latency_report(spark, str(tmp_path / "api.log"), str(out), single_file=True)
-    assert names(spark.read.text(str(out))) == ["(/a,125.0#125)"]
-    costs = jobs.call_costs(spark, str(tmp_path / "api.log")).collect()
+    path, out = str(tmp_path / "api.log"), {n: str(tmp_path / n) for n in ("out", "bad", "left", "fold")}
+    jobs.write_latency_report(spark, path, out["out"], malformed_path=out["bad"], left_out_path=out["left"])
+    assert names(spark.read.text(out["out"])) == ["(/a,125.0#125)"]
+    assert names(spark.read.text(out["bad"])) == ["@R not json", '{"message":"/c @P']
+    assert names(spark.read.text(out["left"])) == ["/b\t2\t5"]
+    jobs.write_latency_report(spark, path, out["fold"], pairing="fold")
+    assert names(spark.read.text(out["fold"])) == ["(/a,125.0#125)", "(/b,2000.0#2000)"]
+    costs = jobs.call_costs(spark, path).collect()
     assert [(r.uri, r.context, r.cost_ms) for r in costs] == [("/a", '{"t":"1"}', 125)]
 
 
+def test_access_log_job(spark, tmp_path):
+    (tmp_path / "a.log").write_text("10.9.9.9 - - 2023-11-05T08:15:40.010Z z GET 200 /x\nbroken line\n")
+    rows = jobs.access_log_counts(spark, str(tmp_path)).collect()
+    assert len(rows) == 10 and {(r.ip, r.n) for r in rows} == {("10.9.9.9", 1)}
+
+
+def test_charset_readers_at_once_leave_the_session_as_it_was(spark, tmp_path):
+    (tmp_path / "x.txt").write_bytes("né".encode("latin-1"))
+    with ThreadPoolExecutor(4) as pool:
+        frames = list(pool.map(lambda _: sources.charset_lines(spark, str(tmp_path), "ISO-8859-1"), range(8)))
+    assert all(names(f) == ["né"] for f in frames)
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
+
+
+def test_finished_runs_are_removed(spark, tmp_path):
+    first, second = run_dir(spark, "x"), run_dir(spark, "y")
+    for folder in (first, second):
+        spark.range(3).write.parquet(folder)
+    remove_runs(spark, first)
+    assert not os.path.exists(first) and os.path.exists(second)
+    with pytest.raises(ValueError):
+        remove_runs(spark, str(tmp_path))
+
+
+def test_shared_dir_falls_back_to_the_warehouse(spark):
+    class Conf(dict):
+        def get(self, name, default=None):
+            return super().get(name, default)
+
+    session = type("S", (), {"conf": Conf({"spark.sql.warehouse.dir": "/w/"})})
+    assert shared_dir(session) == "/w"
+
+
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert run_dir(spark, "x") != run_dir(spark, "x")

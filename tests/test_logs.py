@@ -179,7 +179,7 @@ def test_folded_cost_brute_force(spark):
 
 def test_merchants(lines):
     values = [
-        "2024-05-22T00:00:02.999 [25] </api/v3>, <0>, <138ms>, xxx",
+        "2023-11-05T08:15:40.010 [25] </shop>, <3>, <52ms>, end",
         "t [25] </x>",
         "t 25 </x>",
         "t [7] </x>",
@@ -220,8 +220,9 @@ def test_profile_of_very_many_types_is_whole(lines):
     counts = behavior.preference_counts(
         behavior.preferences(lines([f"u,VIDEO_DY,t{i},t{i % 10}" for i in range(300)]))
     )
-    rows = behavior.profiles(counts, max_bytes=200).collect()
-    assert len(rows) > 5
+    assert behavior.profiles(counts).count() == 1
+    rows = behavior.profiles(counts, parts=6).collect()
+    assert len(rows) == 6
     found = sorted(t for r in rows for t in r.profile.split(","))
     assert found == sorted(f"t{i}:{31 if i < 10 else 1}" for i in range(300))
 
@@ -269,3 +270,30 @@ def test_sliding_counts_of_a_hot_key(spark):
     plain = frame.groupBy(F.window("ts", "10 minutes", "1 minute").start.alias("window_start"), "ip")
     expected = plain.agg(F.count("*").alias("n"))
     assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
+
+
+def test_unpaired_calls_are_counted(spark):
+    calls = [("/a", "1"), ("/a", "1"), ("/a", "2"), ("/b", "1"), ("/b", "1"), ("/b", "1"), ("/b", "4")]
+    frame = spark.createDataFrame(calls, "uri string, context string")
+    rows = logs.unpaired(frame, ["uri", "context"]).collect()
+    assert {r.uri: (r.n_keys, r.n_lines) for r in rows} == {"/a": (1, 1), "/b": (2, 4)}
+
+
+def test_only_the_fields_asked_for_are_parsed(lines, capsys):
+    line = '{"logTime":"2023-11-05T08:15:40.010Z","message":"/a @P","level":"INFO","contextMap":{"t":1},"traceId":"x"}'
+    whole = logs.parse_call_lines(lines([line])).first()
+    few = logs.parse_call_lines(lines([line]), fields=logs.CALL_FIELDS)
+    assert few.first() == whole.__class__(**(whole.asDict() | {"level": None, "trace_id": None}))
+    few.explain()
+    assert "traceId" not in capsys.readouterr().out
+
+
+def test_timed_access_hits(lines):
+    values = [
+        "10.1.1.1 - - 2023-11-05T08:15:40.010Z z GET 200 /x",
+        "10.1.1.2 - - yesterday z GET 200 /x",
+        "10.1.1.3 - - 2023-11-05T08:15:41Z z GET 200 x",
+        "",
+    ]
+    rows = windows.timed_access_hits(lines(values)).collect()
+    assert [(r.ip, str(r.ts)) for r in rows] == [("10.1.1.1", "2023-11-05 08:15:40.010000")]

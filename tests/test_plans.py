@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.operators import logs, relational, windows
 from tallybrook.plans.catalogue import QUERIES
+from tallybrook.session import SETTINGS
 from tallybrook.sources import files
 
 
@@ -69,6 +70,18 @@ def test_facts_are_summed_before_the_join(spark, sf_dir, plan):
     assert shown.index("partial_sum(_measure", join) > join
 
 
+@pytest.mark.parametrize(("name", "scans"), [("sentence_concat", 1), ("cogroup_lists", 2), ("user_profile", 1)])
+def test_groups_are_read_once_and_not_joined(spark, sf_dir, plan, name, scans):
+    shown = plan(QUERIES[name].run(spark, sf_dir))
+    assert shown.count("FileScan") == scans and "Join" not in shown
+    if name != "user_profile":
+        assert shown.count("Exchange hashpartitioning") == 1
+
+
+def test_shuffles_begin_with_many_partitions():
+    assert int(SETTINGS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 2000
+
+
 def test_no_broadcast_is_forced(spark, sf_dir, plan):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

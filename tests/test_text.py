@@ -2,6 +2,7 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from tallybrook import constants as C
@@ -118,7 +119,7 @@ def test_hot_group_is_split_and_whole(spark):
     rows = [(None if i % 7 == 0 else "hot" if i % 7 < 5 else f"k{i % 40}", f"s{i % 11}", i)
             for i in range(4000)]
     frame = spark.createDataFrame(rows, "key string, sentence string, id long").repartition(4)
-    result = groups.concat_groups(frame, ["key"], "sentence", F.col("id"), "|", max_bytes=500)
+    result = groups.concat_groups(frame, ["key"], "sentence", F.col("id"), "|", parts=60)
     found = result.collect()
     assert max(len(r.joined) for r in found) < 1000
     per_key = Counter()
@@ -127,16 +128,15 @@ def test_hot_group_is_split_and_whole(spark):
         assert values == sorted(values) and len(values) == r.n_values
         per_key.update((r.key, v) for v in values)
     assert per_key == Counter((k, s) for k, s, _ in rows)
-    assert {r.part for r in found if r.key == "hot"} > {0, 1, 2}
-    assert {r.part for r in found if r.key == "k5"} == {0}
+    assert {r.part for r in found if r.key == "hot"} == set(range(60))
+    # The number of parts is the argument, whatever a key weighs.
+    whole = groups.concat_groups(frame, ["key"], "sentence", F.col("id"), "|").collect()
+    assert len(whole) == frame.select("key").distinct().count() and {r.part for r in whole} == {0}
 
 
-def test_split_groups_are_shuffled_by_key_and_part(spark, capsys):
-    frame = spark.range(100).selectExpr("id % 3 as key", "id")
-    parts = groups.split_hot_groups(frame, ["key"], F.lit(1), F.col("id"), 10)
-    parts.groupBy("key", "part").count().explain()
-    exchanges = [x for x in capsys.readouterr().out.split("\n") if "Exchange hashpart" in x]
-    assert "part" in exchanges[0]
+def test_parts_must_be_positive(spark):
+    with pytest.raises(ValueError):
+        groups.concat_groups(spark.range(1), ["id"], "id", F.col("id"), "|", parts=0)
 
 
 def test_cogroup_lists(spark):
@@ -148,8 +148,15 @@ def test_cogroup_lists(spark):
         (2, 0, [9], []),
         (3, 0, [], [1]),
     ]
-    parts = groups.cogroup_lists(left, right, ["k"], "v", "id", max_rows=1).collect()
+    parts = groups.cogroup_lists(left, right, ["k"], "v", "id", parts=4).collect()
     of_one = [r for r in parts if r.k == 1]
     assert sorted(v for r in of_one for v in r.left_values) == [3, 5]
     assert sorted(v for r in of_one for v in r.right_values) == [7]
     assert len(of_one) > 1
+
+
+def test_blank_lines_count_when_asked(spark):
+    frame = spark.createDataFrame([("a,\n\nb",), ("",), (None,)], "value string")
+    plain = text.mark_vs_word(frame).first()
+    with_blanks = text.mark_vs_word(frame, blank_lines=True).first()
+    assert with_blanks.mark_sum == plain.mark_sum and with_blanks.word_sum == plain.word_sum + 2
