@@ -32,7 +32,8 @@ MOST_BITS = 33
 CHUNK = 512
 # Texts are hashed in groups of about this many words.
 BATCH_WORDS = 1 << 16
-PARTS = 200
+# The hashes of so many words are kept at hand.
+KEPT_WORDS = 100_000
 
 _MASK = 0xFFFFFFFFFFFFFFFF
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -50,7 +51,7 @@ class _WordHashes(dict):
     """Hash of each word; forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= KEPT_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -213,13 +214,13 @@ def links_among(
     return links
 
 
-def _chunk_links(rows: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
+def _chunk_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) within each chunk of rows (bucket, chunk, other, cls, n, s0, s1, grp, side, text).
 
     Chunks are dealt out by Spark and come sorted; one chunk at a time is held.
     """
     names = ["bucket", "chunk", "other", "cls", "n", "s0", "s1", "grp", "side", "text"]
-    dealt = rows.select(*names).repartition(parts, "bucket", "chunk", "other")
+    dealt = rows.select(*names).repartition("bucket", "chunk", "other")
     dealt = dealt.sortWithinPartitions("bucket", "chunk", "other")
 
     def found(held: list[tuple]) -> list[tuple[bytes, bytes]]:
@@ -253,7 +254,6 @@ def near_duplicates(
     text: str = "text",
     width: int = 5,
     percent: int = 80,
-    parts: int = PARTS,
 ) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every document.
 
@@ -294,10 +294,11 @@ def near_duplicates(
     alone = chunked.select(
         "*", F.lit(0).cast("long").alias("other"), F.col("cls").alias("grp"), F.lit(0).alias("side")
     )
-    links = settled(_chunk_links(alone, width, percent, parts), "near-links")
+    links = settled(_chunk_links(alone, width, percent), "near-links", gather=True)
     large = members.where(F.col("members") > CHUNK)
     if not large.isEmpty():
-        links = links.unionByName(settled(_left_over(large, whole, links, width, percent, parts), "near-links"))
+        more = _left_over(large, whole, links, width, percent)
+        links = links.unionByName(settled(more, "near-links", gather=True))
     roots = components(links)
     nodes = classes.select("cls", "least").join(roots, F.col("cls") == F.col("node"), "left")
     nodes = nodes.select("cls", "least", F.coalesce("root", "cls").alias("root"))
@@ -311,9 +312,7 @@ def near_duplicates(
     )
 
 
-def _left_over(
-    large: DataFrame, whole: DataFrame, links: DataFrame, width: int, percent: int, parts: int
-) -> DataFrame:
+def _left_over(large: DataFrame, whole: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
     """Links of large buckets that chunks alone cannot show: the rest against everything."""
     roots = components(links)
     known = large.join(roots, F.col("cls") == F.col("node"), "left").select(
@@ -335,7 +334,7 @@ def _left_over(
     others = others.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
     columns = ["bucket", "chunk", "other", "cls", "grp"]
     both = every.select(*columns, F.lit(0).alias("side")).unionByName(others.select(*columns, F.lit(1).alias("side")))
-    return _chunk_links(both.join(whole, "cls"), width, percent, parts)
+    return _chunk_links(both.join(whole, "cls"), width, percent)
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

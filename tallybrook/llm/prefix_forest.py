@@ -160,7 +160,7 @@ def nearest(
     sums = classes.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("longest")).first()
     asked = queries.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("query_id"), numbers.alias("vec"))
     asked = asked.where(_sound(F.col("vec"))).groupBy("query_id").agg(F.min("vec").alias("vec"))
-    asked = settled(_with_symbols(asked.withColumn("width", F.size("vec")), "vec", 1.0, True), "queries")
+    asked = settled(_with_symbols(asked.withColumn("width", F.size("vec")), "vec", 1.0, True), "queries", gather=True)
     n_blocks = max(1, -(-sums["n"] // BLOCK_ROWS))
     n_parts = max(1, -(-asked.count() // QUERY_ROWS))
     indexed = _with_symbols(classes, "vec", max((sums["longest"] or 1.0) ** 0.5, 1e-300), False)

@@ -198,6 +198,7 @@ def learn(
             F.struct(*[F.col("stats")[f].cast("double").alias(f) for f in FEATURES]).alias("stats"),
         ),
         "quality-rules",
+        gather=True,
     )
     shares = [i / CUTS for i in range(1, CUTS)]
     tops = rows.where("bad").agg(*[F.percentile_approx(F.col("stats")[f], shares, 1000).alias(f) for f in FEATURES]).first()

@@ -16,16 +16,19 @@ SPACES = " \t\n\x0b\x0c\r"
 RANK_BITS = 8
 
 
-def settled(rows: DataFrame, name: str) -> DataFrame:
+def settled(rows: DataFrame, name: str, gather: bool = False) -> DataFrame:
     """The rows written to the shared folder and read back.
 
+    With `gather`, for little that many tasks hold, Spark first moves the rows
+    into as few files as their size asks for.
+
     This cuts the lineage and works a costly frame out once. The folder lies
     under `spark.checkpoint.dir` (see `session.run_dir`), which all executors
     reach, so nothing is lost with an executor.
     """
     spark = rows.sparkSession
     folder = run_dir(spark, name)
-    rows.write.parquet(folder)
+    (rows.hint("rebalance") if gather else rows).write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
