@@ -1,0 +1,110 @@
+import hashlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tallybrook.llm import byte_bpe, mixing, quality_rules
+
+from .test_line_dedup import brute as dedup_lines
+from .test_near_dup import brute as near_groups
+from .test_quality_rules import WORD
+from .test_quality_rules import brute as counts_of
+
+
+def features(text):
+    words = WORD.findall(text or "")
+    counts = dict(zip(quality_rules.COUNTS, counts_of(text), strict=True))
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    n, chars = max(1, len(words)), max(1, counts["word_chars"])
+
+    def share(kept, whole):
+        return sum(c in kept for c in text or "") / whole
+
+    return counts | {
+        "chars_per_word": counts["word_chars"] / n,
+        "symbols_per_word": counts["n_symbols"] / n,
+        "dup_line_share": counts["n_dup_lines"] / max(1, len(lines)),
+        "repeat_share": counts["n_repeat_words"] / n,
+        "capital_share": share("ABCDEFGHIJKLMNOPQRSTUVWXYZ", chars),
+        "digit_share": share("0123456789", chars),
+        "marks_per_word": share(".,;:!?", n),
+        "doubled_share": sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+    }
+
+
+def keeps(text, rules):
+    f = features(text)
+    if f["n_words"] < 10 or 100 * f["n_repeat_words"] > 20 * f["n_words"]:
+        return False
+    met = lambda c: (f[c.feature] > c.threshold) == c.above
+    return not any(all(met(c) for c in rule.conditions) for rule in rules)
+
+
+def brute(rows, rules):
+    """The whole run in plain Python; ids are unique and not null."""
+    rows = sorted((r for r in rows if keeps(r["text"], rules)), key=lambda r: r["doc_id"])
+    texts = dedup_lines([(r["doc_id"], r["text"]) for r in rows])
+    rows = [r | {"text": texts[r["doc_id"]][0]} for r in rows]
+    groups = near_groups([(r["doc_id"], r["text"]) for r in rows], 5)
+    rows = [r for r in rows if groups[r["doc_id"]][1] == r["doc_id"]]
+    queues = defaultdict(list)
+    for r in sorted(rows, key=lambda r: hashlib.md5(str(r["doc_id"]).encode()).hexdigest()):
+        queues[r["source"]].append(r)
+    names = sorted(queues, key=lambda s: (s is not None, s or ""))
+    period = mixing.one_period(mixing.whole_parts([len(queues[s]) ** 0.5 for s in names], mixing.PERIOD))
+    mixed = []
+    while any(queues.values()):
+        for i in period:
+            queue = queues[names[i]]
+            mixed += queue[: mixing.BLOCK_ROWS]
+            del queue[: mixing.BLOCK_ROWS]
+    ranks = byte_bpe.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoder = byte_bpe.encoding(ranks, public_tokenizers.PATTERN)
+    out = []
+    for r in mixed:
+        ids = encoder.encode_ordinary(r["text"] or "")
+        n_chars = None if r["text"] is None else len(r["text"])
+        out.append(r | {"n_chars": n_chars, "ids": np.array(ids, "<u4").tobytes(), "n_tokens": len(ids), "round_trip": True})
+    return out
+
+
+def test_the_run_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rules = quality_rules.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    expected = brute([r.asDict() for r in docs.collect()], rules)
+    found = [r.asDict() | {"ids": bytes(r.ids)} for r in corpus_pipeline.run(spark, sf_dir).collect()]
+    assert len(found) > 50
+    assert found == expected
+
+
+def test_stages_are_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "source_mixing", "byte_bpe"]
+
+
+@pytest.fixture(scope="module")
+def labels_dir(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, None, None)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("stage", [s for s, _ in corpus_pipeline.STAGES])
+def test_every_stage_takes_edges_and_nothing(spark, edge, nothing, labels_dir, stage):
+    function = dict(corpus_pipeline.STAGES)[stage]
+    clash = ["row", "stats", "kept", "n_lines", "_id", "slot", "position", "part", "lines"]
+    wide = edge.withColumns({c: F.lit("given") for c in clash})
+    result = function(spark, wide, labels_dir)
+    rows = result.collect()
+    if stage == "byte_bpe":
+        assert result.columns == [*wide.columns, "ids", "n_tokens", "round_trip"]
+        assert all(r.round_trip for r in rows)
+    else:
+        assert result.columns == wide.columns
+    assert all(r[c] == "given" for r in rows for c in clash)
+    if stage in ("line_dedup", "source_mixing", "byte_bpe"):
+        assert len(rows) == edge.count()
+    assert function(spark, nothing, labels_dir).count() == 0
