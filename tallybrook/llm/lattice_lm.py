@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,10 @@ RANK_SHIFT = 10.0
 PRIOR_PIECES = 3000.0
 ROUNDS = 1
 # Distinct words are sent on at latest when a task holds this many.
-HELD_WORDS = 300_000
+HELD_WORDS = 100_000
+# Words go through the lattice in groups of about this many characters.
+GROUP_CHARS = 100_000
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -43,16 +46,38 @@ class Pieces:
 
     first: dict[str, int]
     inner: dict[str, int]
-    bytes_: list[int]
+    bytes_: np.ndarray
     end: int
     prior: np.ndarray
-    log_probs: list[float]
-    longest: int
+    log_probs: np.ndarray
+    # By length, hashes of pieces and of their beginnings, sorted, with the piece or -1.
+    first_hashes: list[tuple[np.ndarray, np.ndarray]]
+    inner_hashes: list[tuple[np.ndarray, np.ndarray]]
 
     def weighted(self, expected: np.ndarray, prior_pieces: float = PRIOR_PIECES) -> Pieces:
         """The same pieces weighted by expected counts, smoothed by the prior."""
         probs = (expected + prior_pieces * self.prior) / (expected.sum() + prior_pieces)
-        return Pieces(self.first, self.inner, self.bytes_, self.end, self.prior, np.log(probs).tolist(), self.longest)
+        return replace(self, log_probs=np.log(probs))
+
+
+def _points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
+def _hash_tables(pieces: dict[str, int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length, the sorted hashes of all pieces and beginnings of pieces of that length."""
+    known = {text[:n]: -1 for text in pieces for n in range(1, len(text) + 1)}
+    known.update((text, place) for text, place in pieces.items() if text)
+    tables = []
+    for length in range(1, max(map(len, known)) + 1):
+        own = [text for text in known if len(text) == length]
+        points = _points(own).reshape(-1, length)
+        hashes = np.zeros(len(own), np.uint64)
+        for i in range(length):
+            hashes = hashes * _BASE + points[:, i] + np.uint64(1)
+        order = np.argsort(hashes)
+        tables.append((hashes[order], np.array([known[t] for t in own])[order]))
+    return tables
 
 
 def log_end(pieces: Pieces) -> float:
@@ -90,63 +115,159 @@ def vocabulary(path: str) -> Pieces:
     end = len(weights)
     weights.append(max(weights))
     prior = np.array(weights) / math.fsum(weights)
-    return Pieces(first, inner, bytes_, end, prior, np.log(prior).tolist(), max(map(len, [*first, *inner])))
-
-
-def _arcs(pieces: Pieces, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-    """For each place in the word, what ends there: (from, log probability, pieces); from -1 begins it."""
-    first, inner, log_probs, longest = pieces.first, pieces.inner, pieces.log_probs, pieces.longest
-    out = [[(-1, log_probs[first[""]], (first[""],))]]
-    for i in range(1, len(word) + 1):
-        arcs = []
-        if i <= longest and (p := first.get(word[:i])) is not None:
-            arcs.append((-1, log_probs[p], (p,)))
-        for j in range(max(0, i - longest), i):
-            if (p := inner.get(word[j:i])) is not None:
-                arcs.append((j, log_probs[p], (p,)))
-        if word[i - 1] not in inner:
-            spelled = tuple(pieces.bytes_[b] for b in word[i - 1].encode())
-            arcs.append((i - 1, sum(log_probs[p] for p in spelled), spelled))
-        out.append(arcs)
-    return out
+    return Pieces(
+        first, inner, np.array(bytes_), end, prior, np.log(prior), _hash_tables(first), _hash_tables(inner)
+    )
+
 
+@dataclass
+class Lattice:
+    """The lattices of many words, as arcs sorted by where they end.
 
-def _log_sum(terms: list[float]) -> float:
-    if len(terms) == 1:
-        return terms[0]
-    top = max(terms)
-    return top + math.log(sum([math.exp(t - top) for t in terms]))
+    A word of n characters has n + 2 places, one after the other: its beginning,
+    and after each number of characters from 0 to n. `piece` is -1 for an arc
+    that spells a character by its bytes; `spelled` has those arcs' bytes.
+    """
 
+    begins: np.ndarray
+    finals: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    depth: np.ndarray  # the place within the word where an arc ends
+    piece: np.ndarray
+    log_p: np.ndarray
+    spelled: list[tuple[int, list[int]]]
+
+
+def _matches(
+    tables: list[tuple[np.ndarray, np.ndarray]], points: np.ndarray, at: np.ndarray, limits: np.ndarray
+) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """(places, length, pieces) of all pieces that begin at the places `at`, up to `limits`."""
+    hashes = np.zeros(len(at), np.uint64)
+    for length, (known, pieces) in enumerate(tables, 1):
+        inside = at + length <= limits
+        at, limits = at[inside], limits[inside]
+        if not len(at):
+            return
+        hashes = hashes[inside] * _BASE + points[at + length - 1] + np.uint64(1)
+        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        found = known[place] == hashes
+        piece = np.where(found, pieces[place], -1)
+        yield at, length, piece
+        at, limits, hashes = at[found], limits[found], hashes[found]
+
+
+def lattice(pieces: Pieces, words: list[str]) -> Lattice:
+    """The lattices of words, none empty."""
+    points = _points(words)
+    lengths = np.array([len(w) for w in words])
+    ends = np.cumsum(lengths)
+    firsts = ends - lengths
+    word_of = np.repeat(np.arange(len(words)), lengths)
+    begins = firsts + 2 * np.arange(len(words))
+    n = np.arange(len(words))
+    start, end, depth, piece = [begins], [begins + 1], [np.ones_like(begins)], [np.full(len(words), pieces.first[""])]
+    for at, length, found in _matches(pieces.first_hashes, points, firsts, ends):
+        own = word_of[at[found >= 0]]
+        start.append(begins[own])
+        end.append(begins[own] + 1 + length)
+        depth.append(np.full(len(own), length + 1))
+        piece.append(found[found >= 0])
+    unknown = np.empty(0, np.int64)
+    for at, length, found in _matches(pieces.inner_hashes, points, np.arange(len(points)), ends[word_of]):
+        if length == 1:
+            unknown = at[found < 0]
+        at, found = at[found >= 0], found[found >= 0]
+        own = word_of[at]
+        done = at - firsts[own]
+        start.append(begins[own] + 1 + done)
+        end.append(begins[own] + 1 + done + length)
+        depth.append(done + length + 1)
+        piece.append(found)
+    own = word_of[unknown]
+    done = unknown - firsts[own]
+    start.append(begins[own] + 1 + done)
+    end.append(begins[own] + 2 + done)
+    depth.append(done + 2)
+    piece.append(np.full(len(unknown), -1))
+    start, end, depth, piece = map(np.concatenate, (start, end, depth, piece))
+    log_p = pieces.log_probs[piece]
+    spelled = []
+    tail = len(piece) - len(unknown)
+    for i, point in enumerate(points[unknown].tolist()):
+        places = pieces.bytes_[list(chr(point).encode("utf-8", "surrogatepass"))].tolist()
+        spelled.append((tail + i, places))
+        log_p[tail + i] = pieces.log_probs[places].sum()
+    order = np.lexsort((end, depth))
+    moved = np.empty(len(order), np.int64)
+    moved[order] = np.arange(len(order))
+    spelled = [(int(moved[i]), places) for i, places in spelled]
+    return Lattice(
+        begins, begins + lengths[n] + 1, start[order], end[order], depth[order], piece[order], log_p[order], spelled
+    )
 
-def _forward(arcs: list[list[tuple[int, float, tuple[int, ...]]]]) -> list[float]:
-    alpha: list[float] = []
-    for ending in arcs:
-        alpha.append(_log_sum([p if j < 0 else alpha[j] + p for j, p, _ in ending]))
-    return alpha
 
+def _log_sums(terms: np.ndarray, to: np.ndarray, out: np.ndarray) -> None:
+    """out[x] = log of the summed exp of the terms that go to x; `to` is sorted."""
+    heads = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
+    most = np.maximum.reduceat(terms, heads)
+    each = np.repeat(most, np.diff(np.r_[heads, len(to)]))
+    out[to[heads]] = most + np.log(np.add.reduceat(np.exp(terms - each), heads))
 
-def log_probability(pieces: Pieces, word: str) -> float:
-    """Natural log of the word's probability over all its segmentations."""
-    return _forward(_arcs(pieces, word))[-1]
+
+def _forward(arcs: Lattice) -> np.ndarray:
+    alpha = np.full(arcs.finals[-1] + 1, -np.inf)
+    alpha[arcs.begins] = 0.0
+    steps = np.flatnonzero(np.r_[True, arcs.depth[1:] != arcs.depth[:-1], True])
+    for low, high in zip(steps[:-1], steps[1:], strict=True):
+        _log_sums(alpha[arcs.start[low:high]] + arcs.log_p[low:high], arcs.end[low:high], alpha)
+    return alpha
 
 
-def add_expected(pieces: Pieces, word: str, times: float, expected: np.ndarray) -> None:
-    """Add how often each piece is expected in `times` occurrences of the word."""
-    arcs = _arcs(pieces, word)
-    alpha = _forward(arcs)
-    beta: list[list[float]] = [[] for _ in arcs]
-    beta[-1] = [0.0]
-    whole = alpha[-1]
-    for i in range(len(arcs) - 1, -1, -1):
-        if not beta[i]:
-            continue
-        after = _log_sum(beta[i])
-        for j, p, spelled in arcs[i]:
-            if j >= 0:
-                beta[j].append(after + p)
-            share = times * math.exp((alpha[j] if j >= 0 else 0.0) + p + after - whole)
-            for k in spelled:
-                expected[k] += share
+def _grouped(words: list[str]) -> Iterator[list[str]]:
+    group, held = [], 0
+    for word in words:
+        group.append(word)
+        held += len(word)
+        if held >= GROUP_CHARS:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
+def log_probabilities(pieces: Pieces, words: list[str]) -> np.ndarray:
+    """Natural log of each word's probability over all its segmentations; no word is empty."""
+    out = [np.empty(0)]
+    for group in _grouped(words):
+        arcs = lattice(pieces, group)
+        out.append(_forward(arcs)[arcs.finals])
+    return np.concatenate(out)
+
+
+def expected_pieces(pieces: Pieces, words: list[str]) -> np.ndarray:
+    """How often each piece is expected in one occurrence of every word, in all."""
+    expected = np.zeros(len(pieces.prior))
+    for group in _grouped(words):
+        arcs = lattice(pieces, group)
+        alpha = _forward(arcs)
+        beta = np.full(len(alpha), -np.inf)
+        beta[arcs.finals] = 0.0
+        # Backwards by where arcs start, the farthest within their words first.
+        begun = arcs.depth - (arcs.end - arcs.start)
+        order = np.lexsort((arcs.start, -begun))
+        start, end, log_p, begun = arcs.start[order], arcs.end[order], arcs.log_p[order], begun[order]
+        steps = np.flatnonzero(np.r_[True, begun[1:] != begun[:-1], True])
+        for low, high in zip(steps[:-1], steps[1:], strict=True):
+            _log_sums(beta[end[low:high]] + log_p[low:high], start[low:high], beta)
+        whole = np.repeat(alpha[arcs.finals], arcs.finals - arcs.begins + 1)
+        share = np.exp(alpha[arcs.start] + arcs.log_p + beta[arcs.end] - whole[arcs.start])
+        known = arcs.piece >= 0
+        expected += np.bincount(arcs.piece[known], share[known], len(expected))
+        for i, places in arcs.spelled:
+            for place in places:
+                expected[place] += share[i]
+    return expected
 
 
 def _tokens(text: str | None) -> list[bytes]:
@@ -198,11 +319,9 @@ def _expected(counts: DataFrame, pieces: Pieces) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expected = np.zeros(len(pieces.prior))
         for batch in batches:
-            for word in batch.column(0).to_pylist():
-                if word == END:
-                    expected[pieces.end] += 1
-                else:
-                    add_expected(pieces, word.decode(), 1, expected)
+            words = [w.decode() for w in batch.column(0).to_pylist()]
+            expected[pieces.end] += words.count("")
+            expected += expected_pieces(pieces, [w for w in words if w])
         some = np.flatnonzero(expected)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(expected[some])], names=["piece", "n"])
 
@@ -249,8 +368,9 @@ def scored(
 
     def word_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            logs = np.array([end if w == END else log_probability(model, w.decode()) for w in words])
+            words = [w.decode() for w in batch.column(0).to_pylist()]
+            logs = np.full(len(words), end)
+            logs[[i for i, w in enumerate(words) if w]] = log_probabilities(model, [w for w in words if w])
             scores = logs
             if n:
                 with np.errstate(divide="ignore"):
