@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.shared import row_key, settled
+from tallybrook.llm.shared import settled
 
 MARK = "▁"
 # The end of a text among words: no word is empty.
@@ -387,7 +387,9 @@ def scored(
         "log10p",
         "lattice",
     )
-    given = docs.select(row_key(key, text).alias("_key"), F.col(text).alias("text"))
+    # Flat columns of few bytes, as every text sends them with each of its words. Texts that
+    # share an id are told apart by their hash.
+    given = docs.select(F.col(key).alias("_id"), F.hash(F.col(text)).alias("_hash"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
 
     def text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,24 +397,24 @@ def scored(
             at: list[int] = []
             found: list[bytes] = []
             times: list[int] = []
-            for i, value in enumerate(batch.column(1)):
+            for i, value in enumerate(batch.column(2)):
                 own = Counter(_tokens(value.as_py()))
                 own[END] = 1
                 found.extend(own)
                 times.extend(own.values())
                 at.append(len(own))
                 if len(found) >= HELD_WORDS or i == batch.num_rows - 1:
-                    rows = np.repeat(np.arange(i + 1 - len(at), i + 1), at)
-                    keys = batch.column(0).take(pa.array(rows))
-                    columns = [keys, pa.array(found, pa.binary()), pa.array(times, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["_key", "word", "times"])
+                    rows = pa.array(np.repeat(np.arange(i + 1 - len(at), i + 1), at))
+                    keys = [batch.column(0).take(rows), batch.column(1).take(rows)]
+                    columns = [*keys, pa.array(found, pa.binary()), pa.array(times, pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["_id", "_hash", "word", "times"])
                     at, found, times = [], [], []
 
-    rows = given.mapInArrow(text_words, f"_key struct<id:{kind},text_hash:bigint>, word binary, times bigint")
+    rows = given.mapInArrow(text_words, f"_id {kind}, _hash int, word binary, times int")
     # The words have one row each, so a part of them is a small table to hash.
     met = rows.join(words.hint("shuffle_hash"), F.col("word") == F.col("_word"))
     times = F.col("times")
-    per_text = met.groupBy("_key").agg(
+    per_text = met.groupBy("_id", "_hash").agg(
         F.sum(times).alias("n_tokens"),
         F.sum(times * F.col("known")).alias("n_known"),
         F.sum(times * F.col("base")).alias("base_score"),
@@ -423,7 +425,7 @@ def scored(
     # Rows that repeat an id and text were summed together.
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     return per_text.withColumn("_copy", copy).select(
-        F.col("_key.id").alias(key),
+        F.col("_id").alias(key),
         (F.col("n_tokens") / F.col("copies")).cast("long").alias("n_tokens"),
         (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
