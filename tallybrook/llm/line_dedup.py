@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.text import once
-from tallybrook.llm.shared import row_key
+from tallybrook.llm.shared import row_key, settled
 
 LINES = 3
 
@@ -50,6 +50,8 @@ def repeated_windows(
     rows = hashed.where(F.col("window.a") != blank).select(
         "_key", "at", F.col("window.a").alias("a"), F.col("window.b").alias("b")
     )
+    # Used twice below; the texts are read and hashed once.
+    rows = settled(rows, "windows")
     firsts = (
         rows.groupBy("a", "b")
         .agg(F.min(F.struct("_key", "at")).alias("first"), F.count(F.lit(1)).alias("times"))
