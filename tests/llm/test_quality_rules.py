@@ -51,7 +51,7 @@ def test_edges_and_no_rows(spark, edge, nothing):
 
 @pytest.fixture(scope="module")
 def labelled(spark):
-    good = [(i, " ".join(f"plain{(i * k) % 89}" for k in range(1, 30)), 1) for i in range(1, 121)]
+    good = [(i, " ".join(f"plain{(i * k) % 89}" for k in range(1, 30)), 1) for i in range(1, 121) if i % 89]
     symbols = [(i, " ".join(f"w{(i * k) % 83}##" for k in range(1, 30)), 0) for i in range(200, 260)]
     shouted = [(i, " ".join(f"LOUD{(i * k) % 79}X" for k in range(1, 30)), 0) for i in range(300, 360)]
     return spark.createDataFrame(good + symbols + shouted, "doc_id bigint, text string, quality int")
