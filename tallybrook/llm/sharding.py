@@ -32,6 +32,8 @@ def propagated(rows: DataFrame, key: str, hub: str, shards: int = SHARDS, rounds
     moves. Rows that repeat are rows of their own.
     """
     order = rows.select(F.col(key).alias("key"), F.col(hub).alias("hub"), spread(F.col(key)).alias("spread"))
+    # Without the texts, which are read once.
+    order = settled(order, "documents")
     linked = order.where("hub IS NOT NULL").groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
     linked = linked.withColumnRenamed("hub", "_hub").withColumn("linked", F.lit(True))
     begun = ranked(order, [], ["spread", "key"], "place").select(
