@@ -16,6 +16,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tallybrook.llm.shared import let_workers_import
+
 # Texts longer than this many characters are encoded in pieces of about this length.
 PIECE_CHARS = 65_536
 # The end of a piece: before a space that follows anything but white space. Whatever the
@@ -75,6 +77,7 @@ def _with_columns(frame: DataFrame, source: str, work, added: list[T.StructField
 
     A given column with the name of an added one gives way to it.
     """
+    let_workers_import(frame.sparkSession)
     named = {f.name for f in added}
     kept = [f for f in frame.schema.fields if f.name not in named]
     schema = T.StructType([*kept, *added])

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybrook.llm.shared import spread
+from tallybrook.llm.shared import let_workers_import, spread
 
 ORDER = 4
 # Models are counted from about this many labelled texts of each language, whole.
@@ -195,6 +195,7 @@ def fit(
     whole. N-grams are counted by Spark; what is brought to the driver is one row
     per language and n-gram, which that bound limits. None if nothing is labelled.
     """
+    let_workers_import(labelled.sparkSession)
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
@@ -268,6 +269,7 @@ def predicted(docs: DataFrame, model: Model | None, text: str = "text") -> DataF
     share of the language among all; a `rejected` text fits even its language worse
     than nearly all labelled texts do.
     """
+    let_workers_import(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     given = docs.select(row.alias("row"), F.col(text).alias("text"))
     schema = T.StructType(

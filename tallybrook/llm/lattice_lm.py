@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.shared import settled
+from tallybrook.llm.shared import let_workers_import, settled
 
 MARK = "▁"
 # The end of a text among words: no word is empty.
@@ -355,6 +355,7 @@ def scored(
     adaptive execution splits. Nothing is limited in number: the tables of
     words grow with the corpus and stay in Spark.
     """
+    let_workers_import(docs.sparkSession)
     counts = settled(word_counts(docs, text, trains), "word-counts")
     sums = counts.agg(
         F.sum("c").alias("n"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.llm.graph import components
-from tallybrook.llm.shared import row_key, settled
+from tallybrook.llm.shared import let_workers_import, row_key, settled
 
 # 128 coordinates in 32 bands of 4: two sets of similarity 0.8 meet in no band with probability 5e-8.
 BANDS, ROWS = 32, 4
@@ -269,6 +269,7 @@ def near_duplicates(
     has not joined the bucket's largest component by then is compared with the
     whole bucket, chunk by chunk, so no pair is left out, and no chunk grows.
     """
+    let_workers_import(docs.sparkSession)
     sig = settled(signed(docs, key, text, width), "signatures")
     classes = settled(
         sig.where("n > 0")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallybrook.llm.shared import settled
+from tallybrook.llm.shared import let_workers_import, settled
 
 TREES = 64
 # Symbols in a string; tree t reads the rotations from t on, round to the first.
@@ -149,6 +149,7 @@ def nearest(
     repeated query id the smallest vector asks. Fewer rows than k give all. In
     blocks of `enough` vectors or fewer, every vector is compared.
     """
+    let_workers_import(rows.sparkSession)
     numbers = F.transform(F.col(vector), lambda x: x.cast("double"))
     sound = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), numbers.alias("vec")).where(_sound(F.col("vec")))
     # Of equal vectors, no more than k ids can be among the nearest, besides the query's own.

@@ -87,7 +87,9 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = lattice_lm.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     scored = lattice_lm.scored(docs, pieces, language_id.fold(F.col("doc_id"), 7) != 2)
     held_out = F.coalesce(language_id.fold(F.col("doc_id"), 7) == 2, F.lit(False))
-    return scored.withColumn("held_out", held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "lattice_score"
+    )
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

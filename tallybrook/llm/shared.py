@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +35,19 @@ def settled(rows: DataFrame, name: str, gather: bool = False) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Add the place this package was imported from to the path of Python workers.
+
+    Functions sent to workers name this package. On a cluster it is installed or
+    sent with the job; on one machine this finds it from any working folder.
+    """
+    place = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if place not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, place])
+
+
 def row_key(id_column: str, text_column: str | None = None) -> Column:
     """A key that is never null: the id, and the hash of the text where ids may repeat."""
     parts = [F.col(id_column).alias("id")]

@@ -1,4 +1,6 @@
 import hashlib
+import os
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -60,3 +62,11 @@ def test_query(spark, sf_dir, encoder):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_workers_find_the_package(spark):
+    byte_bpe.encode(spark.createDataFrame([("a",)], "text string"), RANKS, PATTERN)
+    paths = spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
+    place = str(Path(byte_bpe.__file__).resolve().parents[2])
+    byte_bpe.encode(spark.createDataFrame([("a",)], "text string"), RANKS, PATTERN)
+    assert paths.count(place) == 1 == spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep).count(place)
