@@ -38,12 +38,17 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in an order that mixes the sources to their weights."""
+    """All documents, with files that hold them in an order that mixes the sources to their weights."""
     return mixing.in_mixed_order(docs)
 
 
 def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with packed token ids, their number, and whether they decode to the text."""
+    """All documents with packed token ids, their number, and whether they decode to the text.
+
+    Files that are read again come in any order, so the mix, which follows from the
+    documents, is worked out again; the texts are coded in that order.
+    """
+    docs = mixing.in_mixed_order(docs)
     ranks = byte_bpe.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     coded = byte_bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")
@@ -65,13 +70,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to `documents`, in order."""
+    """Apply the stages to `documents`, in order; the result is sorted into the mix.
+
+    `mixing.mixed` gives the rows of the result their slots and positions as columns.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         folder = run_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
-    return docs
+    return mixing.in_mixed_order(docs)
 
 
 QUERY = Query(run, ORACLE_SQL)

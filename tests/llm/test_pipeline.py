@@ -81,6 +81,30 @@ def test_the_run_equals_brute_force(spark, sf_dir):
     assert found == expected
 
 
+def test_the_mix_holds_with_many_files(spark, sf_dir):
+    """Stages of many files of unlike length, which are read again in another order."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rules = quality_rules.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    expected = [r["doc_id"] for r in brute([r.asDict() for r in docs.collect()], rules)]
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 17)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    try:
+        result = corpus_pipeline.run(spark, sf_dir)
+        assert [r.doc_id for r in result.collect()] == expected
+        placed = mixing.mixed(result).select("doc_id", "position").collect()
+        assert {r.position: r.doc_id for r in placed} == dict(enumerate(expected))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_the_last_stage_sorts_into_the_mix(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = [r.doc_id for r in mixing.mixed(docs).orderBy("position").collect()]
+    coded = corpus_pipeline.byte_bpe_stage(spark, docs.repartition(7), sf_dir)
+    assert [r.doc_id for r in coded.collect()] == expected
+
+
 def test_stages_are_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "source_mixing", "byte_bpe"]
 
