@@ -269,6 +269,19 @@ def near_duplicates(
     has not joined the bucket's largest component by then is compared with the
     whole bucket, chunk by chunk, so no pair is left out, and no chunk grows.
     """
+    sig, nodes = _rooted(docs, key, text, width, percent)
+    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_class = nodes.select("cls", "root").join(ids, "root").select("cls", "component_id")
+    result = sig.join(of_class, "cls", "left")
+    id_ = F.col("_key.id")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(id_)
+    return result.select(id_.alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+        "kept", F.col(key).eqNullSafe(F.col("component_id"))
+    )
+
+
+def _rooted(docs: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signed documents, and (cls, least, root): each class with its smallest key and its component's root."""
     let_workers_import(docs.sparkSession)
     sig = settled(signed(docs, key, text, width), "signatures")
     classes = settled(
@@ -302,15 +315,7 @@ def near_duplicates(
         links = links.unionByName(settled(more, "near-links", gather=True))
     roots = components(links)
     nodes = classes.select("cls", "least").join(roots, F.col("cls") == F.col("node"), "left")
-    nodes = nodes.select("cls", "least", F.coalesce("root", "cls").alias("root"))
-    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = nodes.select("cls", "root").join(ids, "root").select("cls", "component_id")
-    result = sig.join(of_class, "cls", "left")
-    id_ = F.col("_key.id")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(id_)
-    return result.select(id_.alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.col(key).eqNullSafe(F.col("component_id"))
-    )
+    return sig, nodes.select("cls", "least", F.coalesce("root", "cls").alias("root"))
 
 
 def _left_over(large: DataFrame, whole: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
@@ -338,13 +343,21 @@ def _left_over(large: DataFrame, whole: DataFrame, links: DataFrame, width: int,
     return _chunk_links(both.join(whole, "cls"), width, percent)
 
 
-def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def without_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
+) -> DataFrame:
     """The documents with one row of each component left: that of its smallest key.
 
-    Of rows that repeat a key, one stays, and so of null keys.
+    Rows are told apart by key and text. Of texts that share the smallest key, one
+    of the component stays; a null key stays only where a component has no other.
+    A text without words is a copy of rows with its key and the same text only.
     """
-    found = near_duplicates(docs, key, text, **options)
-    ids = found.where("kept").select(F.struct(F.col(key).alias("id")).alias("_id")).distinct()
+    sig, nodes = _rooted(docs, key, text, width, percent)
+    first = F.struct(F.col("_key.id").isNull().alias("no_id"), F.col("_key").alias("_key"))
+    of_class = sig.where("n > 0").groupBy("cls").agg(F.min(first).alias("first"))
+    of_root = of_class.join(nodes.select("cls", "root"), "cls").groupBy("root").agg(F.min("first").alias("first"))
+    bare = sig.where("n = 0").select("_key").distinct()
+    chosen = of_root.select(F.col("first._key").alias("_key")).unionByName(bare)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.struct(F.col(key).alias("id")).alias("_id"))
-    return rows.join(ids, "_id", "left_semi").dropDuplicates(["_id"]).select("row.*")
+    rows = docs.select(row, row_key(key, text).alias("_key"))
+    return rows.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).select("row.*")

@@ -94,6 +94,23 @@ def test_edges(edge, nothing):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 3, 4, 5, 6, 8, 10, 11, 12, 13]
 
 
+def test_without_copies_keeps_unrelated_texts(spark):
+    """Null ids, and ids that stand for several texts."""
+
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(30))
+
+    rows = [(None, text(f"null{i}")) for i in range(12)]  # unrelated
+    rows += [(None, text("null3")), (3, text("a")), (5, text("a")), (5, text("b"))]  # 5 is a copy and a text of its own
+    rows += [(7, text("c")), (8, text("c")), (7, text("d")), (9, text("d"))]  # two components of the same smallest id
+    rows += [(None, text("c")), (10, None), (10, ""), (10, ""), (None, None), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    left = [(r.doc_id, r.text) for r in near_dup.without_copies(docs).collect()]
+    expected = {(None, text(f"null{i}")) for i in range(12)} | {(3, text("a")), (5, text("b")), (7, text("c")), (7, text("d"))}
+    expected |= {(10, None), (10, ""), (None, None), (None, " ")}
+    assert len(left) == len(expected) and set(left) == expected
+
+
 def test_very_many_copies(spark):
     text = F.concat(F.lit("a b c d e f g h "), (F.col("id") % 2).cast("string"))
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), text.alias("text"))
