@@ -19,6 +19,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ ROUNDS = 1
 HELD_WORDS = 100_000
 # Words go through the lattice in groups of about this many characters.
 GROUP_CHARS = 100_000
+# Ids that occur more than once are marked in a table of so many slots by their hash.
+SLOTS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -339,6 +342,19 @@ def fit(counts: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Pieces:
     return pieces
 
 
+def _slot(key: str) -> Column:
+    """An id's slot; null ids have the last one for themselves."""
+    return F.when(F.col(key).isNull(), SLOTS).otherwise(F.pmod(F.xxhash64(key), F.lit(SLOTS))).cast("int")
+
+
+def _repeated(docs: DataFrame, key: str) -> np.ndarray:
+    """For each slot, whether an id of it may stand for several texts; at most SLOTS numbers reach the driver."""
+    often = docs.groupBy(F.col(key).alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    out = np.zeros(SLOTS + 1, bool)
+    out[often.select(_slot("_id").alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)] = True
+    return out
+
+
 def scored(
     docs: DataFrame, pieces: Pieces, trains: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS
 ) -> DataFrame:
@@ -389,12 +405,20 @@ def scored(
         "lattice",
     )
     # Flat columns of few bytes, as every text sends them with each of its words. Texts that
-    # share an id are told apart by their hash.
-    given = docs.select(F.col(key).alias("_id"), F.hash(F.col(text)).alias("_hash"), F.col(text).alias("text"))
+    # share an id are told apart by their hash; where an id has one row, the hash is null.
+    given = docs.select(
+        F.col(key).alias("_id"),
+        F.xxhash64(F.col(text)).alias("_hash"),
+        F.col(text).alias("text"),
+        _slot(key).alias("_slot"),
+    )
+    repeated = _repeated(docs, key)
     kind = docs.schema[key].dataType.simpleString()
 
     def text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            shared = pa.array(repeated[batch.column(3).to_numpy()])
+            hashes = pc.if_else(shared, batch.column(1), pa.scalar(None, pa.int64()))
             at: list[int] = []
             found: list[bytes] = []
             times: list[int] = []
@@ -406,12 +430,12 @@ def scored(
                 at.append(len(own))
                 if len(found) >= HELD_WORDS or i == batch.num_rows - 1:
                     rows = pa.array(np.repeat(np.arange(i + 1 - len(at), i + 1), at))
-                    keys = [batch.column(0).take(rows), batch.column(1).take(rows)]
+                    keys = [batch.column(0).take(rows), hashes.take(rows)]
                     columns = [*keys, pa.array(found, pa.binary()), pa.array(times, pa.int32())]
                     yield pa.RecordBatch.from_arrays(columns, names=["_id", "_hash", "word", "times"])
                     at, found, times = [], [], []
 
-    rows = given.mapInArrow(text_words, f"_id {kind}, _hash int, word binary, times int")
+    rows = given.mapInArrow(text_words, f"_id {kind}, _hash bigint, word binary, times int")
     # The words have one row each, so a part of them is a small table to hash.
     met = rows.join(words.hint("shuffle_hash"), F.col("word") == F.col("_word"))
     times = F.col("times")

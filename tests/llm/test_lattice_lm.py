@@ -95,6 +95,17 @@ def test_edges(edge, nothing):
     assert lattice_lm.scored(nothing, PIECES, F.lit(True)).count() == 0
 
 
+def test_texts_of_one_id_whose_short_hashes_meet(spark):
+    """Texts of unlike length under a null or a repeated id that a hash of 32 bits takes for one."""
+    more = F.when(F.col("id") % 2 == 1, " more words").otherwise("")
+    made = spark.range(400_000).select(F.concat(F.lit("w"), "id", more).alias("text"), (F.col("id") % 2).alias("odd"))
+    met = made.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts"), F.countDistinct("odd").alias("kinds"))
+    pair = met.where("kinds = 2").first().texts
+    texts = [(k, t) for k in (None, 5) for t in pair] + [(6, pair[0]), (None, pair[0]), (7, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    check(texts, lattice_lm.scored(docs, PIECES, F.col("doc_id") == 6).collect(), lambda k: k == 6)
+
+
 def test_seen_words_score_higher(spark):
     docs = spark.createDataFrame([(i, "blorf quux blorf") for i in range(20)] + [(50, "blorf"), (51, "brolf")], "doc_id int, text string")
     rows = {r.doc_id: r for r in lattice_lm.scored(docs, PIECES, F.col("doc_id") < 50).collect()}
