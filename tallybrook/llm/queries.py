@@ -16,6 +16,7 @@ from tallybrook.llm import (
     prefix_forest,
     quality_rules,
     sharding,
+    spelling,
     url_filter,
 )
 from tallybrook.plans.tables import table
@@ -108,3 +109,9 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block, slot and position in the mix of sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mixed(docs)
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the texts, the words one edit away, and the common form it may stand for."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.vocabulary(docs))
