@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybrook.llm import line_dedup, mixing, queries, spelling, url_filter
+from tallybrook.llm import lexical_scan, line_dedup, mixing, queries, spelling, url_filter
 from tallybrook.plans.tables import Query
 
 QUERIES: dict[str, Query] = {
@@ -17,4 +17,5 @@ QUERIES: dict[str, Query] = {
     "op9_prefix_forest": Query(queries.op9_prefix_forest),
     "op10_source_mixing": Query(queries.op10_source_mixing, mixing.SQL),
     "op11_spelling_variants": Query(queries.op11_spelling_variants, spelling.SQL),
+    "op13_lexical_search": Query(queries.op13_lexical_search, lexical_scan.SQL),
 }

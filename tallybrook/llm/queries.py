@@ -10,6 +10,7 @@ from tallybrook.llm import (
     byte_bpe,
     language_id,
     lattice_lm,
+    lexical_scan,
     line_dedup,
     mixing,
     near_dup,
@@ -115,3 +116,9 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the texts, the words one edit away, and the common form it may stand for."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.variants(spelling.vocabulary(docs))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_scan.ranked(docs, table(spark, sf_dir, "benchmark"))
