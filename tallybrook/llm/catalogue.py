@@ -17,5 +17,6 @@ QUERIES: dict[str, Query] = {
     "op9_prefix_forest": Query(queries.op9_prefix_forest),
     "op10_source_mixing": Query(queries.op10_source_mixing, mixing.SQL),
     "op11_spelling_variants": Query(queries.op11_spelling_variants, spelling.SQL),
+    "op12_html_text": Query(queries.op12_html_text),
     "op13_lexical_search": Query(queries.op13_lexical_search, lexical_scan.SQL),
 }

@@ -19,6 +19,7 @@ from tallybrook.llm import (
     sharding,
     spelling,
     url_filter,
+    wrappers,
 )
 from tallybrook.plans.tables import table
 
@@ -118,6 +119,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(docs))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by its host's wrapper."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrappers.main_texts(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
