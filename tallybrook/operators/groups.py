@@ -25,7 +25,8 @@ def concat_groups(
     spread: Column,
     separator: str,
     trailing: bool = False,
-    parts: int = 1,
+    *,
+    parts: int,
 ) -> DataFrame:
     """Join the values of every key into text, sorted within each part.
 
@@ -47,7 +48,7 @@ def concat_groups(
 
 
 def cogroup_lists(
-    left: DataFrame, right: DataFrame, keys: list[str], value: str, spread: str, parts: int = 1
+    left: DataFrame, right: DataFrame, keys: list[str], value: str, spread: str, *, parts: int
 ) -> DataFrame:
     """Both sides' values per key and part as sorted lists.
 

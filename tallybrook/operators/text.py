@@ -150,7 +150,8 @@ def sentences_by_key(
     spread: Column,
     separator: str = C.SENTENCE_SEPARATOR,
     trailing: bool = False,
-    parts: int = 1,
+    *,
+    parts: int,
 ) -> DataFrame:
     """All found sentences of a key as text, in `parts` rows per key (see `concat_groups`)."""
     return concat_groups(sentences, keys, "sentence", spread, separator, trailing, parts)

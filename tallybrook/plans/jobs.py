@@ -12,6 +12,8 @@ from tallybrook.sources import files, jdbc
 
 
 CALL = ["uri", "context"]
+# Rows that the sentences of one file are cut into, so that a row of the largest stays small.
+REPORT_PARTS = 4096
 PAIRINGS = {"two": logs.pair_cost, "fold": logs.folded_cost}
 
 
@@ -101,9 +103,13 @@ def keyword_report(
     path: str,
     keyword: str = C.SEARCH_KEYWORD,
     stop: str = C.SENTENCE_STOP,
-    parts: int = 1,
+    *,
+    parts: int = REPORT_PARTS,
 ) -> DataFrame:
-    """Text files to the sentences with the keyword, joined per file name, in `parts` rows each."""
+    """Text files to the sentences with the keyword, joined per file name, in up to `parts` rows each.
+
+    A file with fewer sentences has a row for each; ask for fewer parts where files are small.
+    """
     lines = files.named_lines(spark, path)
     found = text.keyword_sentences(lines, ["file_name"], "value", keyword, stop)
     # Numbers of rows straight from a scan: the same when a task is run again.

@@ -21,12 +21,10 @@ from tallybrook.sources.streams import parquet_stream, text_stream
 from tallybrook.streaming import jobs
 from tallybrook.streaming.runner import (
     State,
-    newest_folders,
     read_per_batch,
     read_state,
     write_closed,
     write_per_batch,
-    write_snapshot,
 )
 
 
@@ -43,16 +41,13 @@ def _run(spark: SparkSession, name: str, start) -> DataFrame:
 
 
 def _run_state(spark: SparkSession, name: str, state: State, start) -> DataFrame:
-    """Start a job, wait, gather a snapshot, and return the newest values from it."""
+    """Start a job, wait, and return the values that its batches add up to."""
     folder = run_dir(spark, name)
     start(f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    _, batches = newest_folders(spark, f"{folder}/out")
-    last = max(int(b.rsplit("=", 1)[1]) for b in batches)
-    write_snapshot(spark, f"{folder}/out", last, state)
     return read_state(spark, f"{folder}/out", state)
 
 
-INTERVALS = State(("interval_start", "ip"), ("n",))
+INTERVALS = jobs.intervals_of("ip")
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:

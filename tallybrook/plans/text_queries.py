@@ -12,7 +12,7 @@ from tallybrook.plans.tables import Query, table
 from tallybrook.sinks.files import tab_lines
 
 # The sentences of a source are joined into so many texts.
-PARTS = 8
+PARTS = 4096
 
 _MARKS_SQL = "(" + ", ".join(f"'{m}'" for m in C.MARKS) + ")"
 _CHARS_SQL = """

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import SparkSession
 
 # Settings that matter for the jobs in this package. The caller owns the
@@ -64,11 +66,13 @@ def remove_runs(spark: SparkSession, *folders: str) -> None:
     """Remove finished runs: the folders named, or every run under the shared folder.
 
     Only what `run_dir` has made is removed; do it when no result that reads
-    those folders is needed any more.
+    those folders is needed any more. The store must be one that Arrow reaches.
     """
     top = f"{shared_dir(spark)}/tallybrook"
     for folder in folders or (top,):
         if folder != top and not folder.startswith(f"{top}/"):
             raise ValueError(f"not a run folder: {folder}")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        # Spark also writes a local URI with one slash.
+        system, path = FileSystem.from_uri(re.sub("^file:/+", "/", folder))
+        if system.get_file_info(path).type == FileType.Directory:
+            system.delete_dir(path)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybrook import constants as C
 from tallybrook.functions import clock
 from tallybrook.operators import behavior, relational, text, windows
-from tallybrook.streaming.runner import State, write_per_batch
+from tallybrook.streaming.runner import State, write_per_batch, write_timed_batches
 
 
 def words_per_batch(
@@ -103,35 +103,58 @@ def _timed(rows: DataFrame, ts: str, lateness: str, *keep: str) -> DataFrame:
     return rows.select(F.col(ts).cast("timestamp").alias(ts), *keep).withWatermark(ts, lateness)
 
 
+# Counts per interval: what batches add, without the rows that came late.
+def intervals_of(key: str) -> State:
+    return State(("interval_start", key), ("n",), adds=True, aside="late")
+
+
 def interval_state(
     rows: DataFrame,
     key: str,
     out: str,
     checkpoint: str,
     ts: str = "ts",
-    lateness: str = "10 minutes",
+    lateness: str | None = "10 minutes",
     slide_minutes: int = C.WINDOW_SLIDE_MINUTES,
     interval: str | None = C.ACCESS_LOG_INTERVAL,
 ) -> StreamingQuery:
-    """Counts per key and slide interval: the changed counts of every batch.
+    """Counts per key and slide interval: what every batch adds to them.
 
-    The state is one count per interval. The sliding windows follow from its
-    newest values by `windows.sum_intervals`; keeping the windows themselves
-    would hold every count once per window that covers it.
+    `read_state` with `intervals_of(key)` sums them up, and `windows.sum_intervals` gives
+    the sliding windows; keeping the windows would hold every count once per window.
+
+    A row is late where its time is more than `lateness` before the newest time of all
+    earlier batches; within a batch no row is. Late rows are counted apart: they stay in
+    their batch with `late` set and count in no window, and `finished_batches` has their
+    number. With no `lateness` every row counts, whenever it comes. Files are taken in the
+    order of their modification times, and those of one time in any order; so files that
+    may hold times further apart than `lateness` need distinct times, or no bound.
     """
-    counts = windows.interval_counts(_timed(rows, ts, lateness, key), key, ts, slide_minutes)
-    state = State(("interval_start", key), ("n",))
-    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", state)
+
+    def counts(batch: DataFrame, newest: Column | None) -> DataFrame:
+        times = batch.select(F.col(ts).cast("timestamp").alias("_ts"), key).where("_ts IS NOT NULL")
+        late = F.lit(False)
+        if lateness is not None and newest is not None:
+            late = F.col("_ts") < newest - F.expr(f"INTERVAL {lateness}")
+        start = F.window("_ts", f"{slide_minutes} minutes")["start"].alias("interval_start")
+        return times.groupBy(start, key, late.alias("late")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("_ts").alias("newest")
+        )
+
+    return write_timed_batches(rows, counts, out, checkpoint, interval, intervals_of(key))
 
 
 def access_log_state(
     lines: DataFrame,
     out: str,
     checkpoint: str,
-    lateness: str = "10 minutes",
+    lateness: str | None = "10 minutes",
     interval: str | None = C.ACCESS_LOG_INTERVAL,
 ) -> StreamingQuery:
-    """Access-log lines of a text stream to counts per address and minute, by the time in each line."""
+    """Access-log lines of a text stream to counts per address and minute, by the time in each line.
+
+    Lines that come too late are counted apart (see `interval_state`).
+    """
     return interval_state(windows.timed_access_hits(lines), "ip", out, checkpoint, "ts", lateness, interval=interval)
 
 

@@ -13,6 +13,7 @@ from tallybrook.sources.streams import _as_glob, parquet_stream, text_stream
 from tallybrook.streaming import jobs
 from tallybrook.streaming.runner import (
     State,
+    finished_batches,
     latest_state,
     newest_folders,
     read_per_batch,
@@ -126,7 +127,7 @@ def test_window_state_equals_batch(spark, folders):
     query = jobs.interval_state(stream, "ip", folders["out"], folders["ck"], interval=None)
     query.awaitTermination()
     changes = read_per_batch(spark, folders["out"])
-    state = latest_state(changes, ["interval_start", "ip"], ["n"])
+    state = read_state(spark, folders["out"], jobs.intervals_of("ip"))
     found = windows.sum_intervals(state, "ip").withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")
     )
@@ -210,15 +211,23 @@ def test_state_is_read_from_the_snapshot_and_what_follows(spark, folders):
         read_state(spark, folders["out"] + "-none", state)
 
 
-def test_a_snapshot_cut_short_is_not_read(spark, folders):
-    for n, value in enumerate((1, 5)):
-        spark.createDataFrame([("a", value)], "k string, n int").write.parquet(f"{folders['out']}/batch_id={n}")
-    state = State(("k",), ("n",))
-    write_snapshot(spark, folders["out"], 0, state)
-    write_snapshot(spark, folders["out"], 1, state)
-    os.remove(f"{folders['out']}-state/through=1/_SUCCESS")
-    assert newest_folders(spark, folders["out"])[0] == 0
-    assert rows(read_state(spark, folders["out"], state), "k", "n") == [("a", 5)]
+def test_what_was_cut_short_is_not_read(spark, folders):
+    stream = hits(spark, folders, [range(0, 4), range(4, 8), range(8, 11)])
+    counts = stream.groupBy("ip").agg(F.count(F.lit(1)).alias("n"))
+    state = State(("ip",), ("n",), every=2)
+    write_per_batch(counts, lambda b: b, folders["out"], folders["ck"], None, "update", state).awaitTermination()
+    assert newest_folders(spark, folders["out"])[0] == 1
+    # A snapshot whose job ended before it was listed, and a batch that ended before its note.
+    spark.createDataFrame([("a", 99)], "ip string, n bigint").write.parquet(f"{folders['out']}-state/through=2")
+    spark.createDataFrame([("a", 99)], "ip string, n bigint").write.parquet(f"{folders['out']}/batch_id=3")
+    through, batches = newest_folders(spark, folders["out"])
+    assert through == 1 and [b.rsplit("=", 1)[1] for b in batches] == ["2"]
+    assert rows(read_state(spark, folders["out"], state), "ip", "n") == [("a", 6), ("b", 5)]
+    assert rows(finished_batches(spark, folders["out"]), "batch_id", "n_rows", "n_late") == [(0, 2, 0), (1, 2, 0), (2, 2, 0)]
+    assert rows(read_per_batch(spark, folders["out"]).select("batch_id").distinct(), "batch_id") == [(0,), (1,), (2,)]
+    write_snapshot(spark, folders["out"], 2, state)
+    assert newest_folders(spark, folders["out"]) == (2, [])
+    assert rows(read_state(spark, folders["out"], state), "ip", "n") == [("a", 6), ("b", 5)]
 
 
 def test_all_files_are_one_batch_unless_limited(spark, folders):
@@ -243,16 +252,48 @@ def test_a_repeated_call_gives_one_cost(spark, folders):
     assert spark.read.parquet(folders["out"]).count() == 1
 
 
-def test_access_log_stream_equals_batch(spark, folders):
+def access_files(folders, times):
+    """Three files of access lines, ten minutes further on each, with these modification times."""
     for i in range(3):
         lines = [f"10.0.0.{m % 2} - - 2023-11-05T08:{m:02d}:30.000Z z GET 200 /x" for m in range(10 * i, 10 * i + 12)]
         put(folders, f"{i}.txt", "\n".join(lines) + "\n")
+        os.utime(f"{folders['in']}/{i}.txt", (times[i], times[i]))
+
+
+def access_windows(spark, folders, lateness="10 minutes"):
     stream = text_stream(spark, folders["in"], max_files=1)
-    jobs.access_log_state(stream, folders["out"], folders["ck"], interval=None).awaitTermination()
-    state = read_state(spark, folders["out"], State(("interval_start", "ip"), ("n",)))
+    jobs.access_log_state(stream, folders["out"], folders["ck"], lateness, interval=None).awaitTermination()
+    state = read_state(spark, folders["out"], jobs.intervals_of("ip"))
+    return rows(windows.sum_intervals(state, "ip"), "window_start", "ip", "n")
+
+
+def access_batch(spark, folders):
     batch = windows.sliding_counts(windows.timed_access_hits(spark.read.text(folders["in"])), "ip")
-    columns = ("window_start", "ip", "n")
-    assert rows(windows.sum_intervals(state, "ip"), *columns) == rows(batch, *columns)
+    return rows(batch, "window_start", "ip", "n")
+
+
+def test_access_log_stream_equals_batch(spark, folders):
+    access_files(folders, [1_700_000_000, 1_700_000_060, 1_700_000_120])
+    assert access_windows(spark, folders) == access_batch(spark, folders)
+    assert rows(finished_batches(spark, folders["out"]), "batch_id", "n_rows", "n_late") == [(b, 12, 0) for b in range(3)]
+
+
+def test_late_lines_are_counted_apart(spark, folders):
+    # The newest file first: of the others, lines more than ten minutes before 08:31:30 are late.
+    access_files(folders, [1_700_000_120, 1_700_000_060, 1_700_000_000])
+    found = access_windows(spark, folders)
+    notes = rows(finished_batches(spark, folders["out"]), "batch_id", "n_rows", "n_late")
+    assert notes == [(0, 12, 0), (1, 12, 11), (2, 12, 12)]
+    assert {r["newest"] for r in finished_batches(spark, folders["out"]).collect()} == {datetime(2023, 11, 5, 8, 31, 30)}
+    kept = read_per_batch(spark, folders["out"])
+    assert kept.where("late").agg(F.sum("n")).first()[0] == 23
+    assert sum(n for *_, n in found) == 10 * 13
+
+
+def test_files_of_one_time_lose_nothing_without_a_bound(spark, folders):
+    access_files(folders, [1_700_000_000] * 3)
+    assert access_windows(spark, folders, lateness=None) == access_batch(spark, folders)
+    assert {r["n_late"] for r in finished_batches(spark, folders["out"]).collect()} == {0}
 
 
 def test_a_pattern_stays_a_pattern():

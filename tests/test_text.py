@@ -108,7 +108,7 @@ def test_keyword_sentences_stay_within_lines(spark):
         ("f", 2, "月"),
         ("f", 5, "月"),
     ]
-    joined = text.sentences_by_key(found, ["file"], F.col("pos"), trailing=True).collect()
+    joined = text.sentences_by_key(found, ["file"], F.col("pos"), trailing=True, parts=1).collect()
     assert [(r.file, r.part, r.n_values, r.joined) for r in joined] == [
         ("f", 0, 3, "春月---|---月---|---月---|---")
     ]
@@ -130,7 +130,7 @@ def test_hot_group_is_split_and_whole(spark):
     assert per_key == Counter((k, s) for k, s, _ in rows)
     assert {r.part for r in found if r.key == "hot"} == set(range(60))
     # The number of parts is the argument, whatever a key weighs.
-    whole = groups.concat_groups(frame, ["key"], "sentence", F.col("id"), "|").collect()
+    whole = groups.concat_groups(frame, ["key"], "sentence", F.col("id"), "|", parts=1).collect()
     assert len(whole) == frame.select("key").distinct().count() and {r.part for r in whole} == {0}
 
 
@@ -142,7 +142,7 @@ def test_parts_must_be_positive(spark):
 def test_cogroup_lists(spark):
     left = spark.createDataFrame([(1, 5, 0), (1, 3, 1), (2, 9, 2)], "k int, v int, id long")
     right = spark.createDataFrame([(1, 7, 3), (3, 1, 4)], "k int, v int, id long")
-    rows = groups.cogroup_lists(left, right, ["k"], "v", "id").orderBy("k").collect()
+    rows = groups.cogroup_lists(left, right, ["k"], "v", "id", parts=1).orderBy("k").collect()
     assert [(r.k, r.part, r.left_values, r.right_values) for r in rows] == [
         (1, 0, [3, 5], [7]),
         (2, 0, [9], []),
@@ -160,3 +160,17 @@ def test_blank_lines_count_when_asked(spark):
     plain = text.mark_vs_word(frame).first()
     with_blanks = text.mark_vs_word(frame, blank_lines=True).first()
     assert with_blanks.mark_sum == plain.mark_sum and with_blanks.word_sum == plain.word_sum + 2
+
+
+def test_hot_key_of_two_sides_stays_small(spark):
+    left = spark.range(6000).select(F.lit("hot").alias("k"), F.col("id").alias("v"), "id")
+    right = spark.range(9).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v"), "id")
+    rows = groups.cogroup_lists(left, right.union(left.where("id < 700")), ["k"], "v", "id", parts=500).collect()
+    assert max(len(r.left_values) + len(r.right_values) for r in rows) <= 14
+    assert sorted(v for r in rows for v in r.left_values) == list(range(6000))
+    assert sum(len(r.right_values) for r in rows) == 709
+
+
+def test_lists_ask_for_their_parts(spark):
+    with pytest.raises(TypeError):
+        groups.cogroup_lists(spark.range(1), spark.range(1), ["id"], "id", "id")
