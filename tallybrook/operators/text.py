@@ -154,4 +154,4 @@ def sentences_by_key(
     parts: int,
 ) -> DataFrame:
     """All found sentences of a key as text, in `parts` rows per key (see `concat_groups`)."""
-    return concat_groups(sentences, keys, "sentence", spread, separator, trailing, parts)
+    return concat_groups(sentences, keys, "sentence", spread, separator, trailing, parts=parts)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from pathlib import Path
 
 from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import SparkSession
@@ -47,6 +49,19 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where it was imported here.
+
+    On a cluster it is installed or sent with the job; on one machine this finds it from
+    any working folder.
+    """
+    place = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if place not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, place])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by `spark.checkpoint.dir`.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -207,13 +209,15 @@ def join_calls(
 
     The key is that of one call. A key that comes again on a side within the
     lateness is taken once, so repeated lines do not give pairs. The bound on the
-    cost lets Spark drop a call from the state when no response can follow.
+    cost lets Spark drop a call from the state when no response can follow. A key that
+    comes again after the lateness is another call, with a cost of its own.
     """
     asked = _timed(requests, ts, lateness, key).dropDuplicatesWithinWatermark([key])
     asked = asked.withColumnRenamed(ts, "_asked")
     answered = _timed(responses, ts, lateness, key).dropDuplicatesWithinWatermark([key])
     answered = answered.withColumnsRenamed({ts: "_answered", key: "_key"})
-    bound = F.expr(f"make_dt_interval(0, 0, 0, {max_cost_ms / 1000:.3f})")
+    # A literal: of any other expression Spark derives no bound for the state.
+    bound = F.lit(timedelta(milliseconds=max_cost_ms))
     in_time = (F.col("_answered") >= F.col("_asked")) & (
         F.col("_answered") <= F.col("_asked") + bound
     )
