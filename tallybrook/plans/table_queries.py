@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import numeric
 from tallybrook.functions.text import once
-from tallybrook.operators import groups, relational
+from tallybrook.operators import groups, reduce, relational
 from tallybrook.plans.tables import Query, table
+from tallybrook.session import run_dir
 
 
 def lookup_join_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +131,7 @@ WHERE CAST(json_extract(props, '$.k') AS INTEGER) > 26
 
 def rows_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as JSON; the price in its two places and the date as a day."""
-    shown = {"o_totalprice": F.format_string("%.2f", "o_totalprice"), "o_orderdate": F.to_date("o_orderdate")}
+    shown = {"o_totalprice": F.col("o_totalprice").cast("decimal(20,2)").cast("string"), "o_orderdate": F.to_date("o_orderdate")}
     return relational.rows_as_json(table(spark, sf_dir, "orders").withColumns(shown))
 
 
@@ -228,6 +231,41 @@ WHERE substr(md5(CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARC
 """
 
 
+def reduced_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest amount, in cents, that all of a user's events of a type are multiples of."""
+    amounts = table(spark, sf_dir, "events").select("user_id", "event_type", numeric.cents(F.col("value")).alias("amount"))
+    return reduce.reduce_by_key(amounts, ["user_id", "event_type"], "amount", math.gcd)
+
+
+REDUCED_SQL = """
+SELECT user_id, event_type, list_reduce(list(amount), lambda a, b: gcd(a, b)) AS amount
+FROM (SELECT user_id, event_type, CAST(round(value * 100) AS BIGINT) AS amount FROM events)
+GROUP BY user_id, event_type
+"""
+
+PARTS = 16
+
+
+def partitioned_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt by customer into PARTS tasks, each written as one file: rows, and files, per part."""
+    out = run_dir(spark, "partitioned")
+    dealt = reduce.partitioned(table(spark, sf_dir, "orders"), F.col("o_custkey"), PARTS)
+    dealt.select("o_orderkey", "o_custkey").write.parquet(out)
+    written = spark.read.parquet(out).select((F.col("o_custkey") % PARTS).alias("part"), F.col("_metadata.file_name").alias("file"))
+    return written.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("n_files"))
+
+
+PARTITIONED_SQL = f"SELECT o_custkey % {PARTS} AS part, count(*) AS n, 1 AS n_files FROM orders GROUP BY part"
+
+
+def first_match_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the order that any task found first meets the predicate, a function of the row."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    found = reduce.any_match(orders, lambda row: row["o_totalprice"] > 1000)
+    rows = [] if found is None else [(found["o_totalprice"] > 1000,)]
+    return spark.createDataFrame(rows, "meets boolean")
+
+
 QUERIES = {
     "lookup_join_sum": Query(lookup_join_sum, LOOKUP_SQL),
     "pair_join": Query(pair_join, PAIR_JOIN_SQL),
@@ -245,5 +283,8 @@ QUERIES = {
     "sort_desc": Query(sort_desc, SORT_SQL),
     "listed_events": Query(listed_events, LISTED_SQL),
     "first_match": Query(first_match, FIRST_MATCH_SQL),
+    "first_match_parallel": Query(first_match_parallel, FIRST_MATCH_SQL),
+    "reduced_pairs": Query(reduced_pairs, REDUCED_SQL),
+    "partitioned_keys": Query(partitioned_keys, PARTITIONED_SQL),
     "sample_rows": Query(sample_rows, SAMPLE_SQL),
 }
