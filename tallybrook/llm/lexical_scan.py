@@ -33,7 +33,7 @@ GUARD = "\0"
 # Bytes that part terms become guards; letters, digits and all beyond ASCII are terms.
 PARTING = bytes(b if b >= 0x80 or chr(b).isalnum() else 0 for b in range(256))
 # Places of a table of scores, texts by items, that are held at once.
-CELLS = 1 << 21
+CELLS = 1 << 18
 # Scores kept before they are cut back to each item's best.
 KEPT = 1 << 18
 LOW = (1 << 26) - 1
