@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.llm import language_id, queries
+from tallybrook.llm import language_id, queries, shared
 
 WORDS = {"aa": ["lorem", "ipsum", "dolor", "amet"], "bb": ["krk", "zyx", "wqv", "xkz"], "cc": ["été", "où", "ça", "naïf"]}
 
@@ -95,3 +95,75 @@ def test_held_out_accuracy(spark, sf_dir):
     assert len(rows) == len(langs)
     held_out = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == langs[r.doc_id] for r in held_out) >= 0.97 * len(held_out) > 0
+
+
+def plain_chars(text):
+    """Three spaces, then lower-case letters; runs of anything else are one space."""
+    out = [" "] * 3
+    for c in text:
+        c = c.lower() if c.isalpha() else " "
+        if c != " " or out[-1] != " ":
+            out.append(c)
+    return out
+
+
+class PlainKneserNey:
+    """Interpolated Kneser-Ney of order 4 with dictionaries."""
+
+    def __init__(self, texts, characters):
+        counts = {}
+        for text in texts:
+            chars = plain_chars(text)
+            for i in range(3, len(chars)):
+                gram = tuple(chars[i - 3 : i + 1])
+                counts[gram] = counts.get(gram, 0) + 1
+        self.levels, self.characters = {4: counts}, characters
+        for order in (3, 2, 1):
+            below = {}
+            for gram in self.levels[order + 1]:
+                below[gram[1:]] = below.get(gram[1:], 0) + 1
+            self.levels[order] = below
+        self.discounts, self.totals, self.kinds = {}, {}, {}
+        for order, level in self.levels.items():
+            ones, twos = (sum(c == k for c in level.values()) for k in (1, 2))
+            self.discounts[order] = min(0.95, ones / (ones + 2 * twos)) if ones else 0.5
+            for gram, c in level.items():
+                context = (order, gram[:-1])
+                self.totals[context] = self.totals.get(context, 0) + c
+                self.kinds[context] = self.kinds.get(context, 0) + 1
+
+    def probability(self, gram):
+        if not gram:
+            return 1 / self.characters
+        order, lower = len(gram), self.probability(gram[1:])
+        context = (order, gram[:-1])
+        if context not in self.totals:
+            return lower
+        d = self.discounts[order]
+        own = max(self.levels[order].get(gram, 0) - d, 0)
+        return (own + d * self.kinds[context] * lower) / self.totals[context]
+
+    def cross_entropy(self, text):
+        chars = plain_chars(text)
+        grams = [tuple(chars[i - 3 : i + 1]) for i in range(3, len(chars))]
+        return -sum(np.log(self.probability(g)) for g in grams) / len(grams)
+
+
+def test_cross_entropies_of_whole_texts_equal_plain_kneser_ney(spark, labelled, model):
+    counted = F.pmod(F.xxhash64(shared.spread(F.col("doc_id"))), F.lit(language_id.CALIBRATION)) != 0
+    texts = {lang: [] for lang in WORDS}
+    for row in labelled.where(counted).collect():
+        texts[row["lang"]].append(row["text"])
+    # The characters that end an n-gram, and one for all others.
+    characters = len({c for ts in texts.values() for t in ts for c in plain_chars(t)[3:]}) + 1
+    plain = {lang: PlainKneserNey(ts, characters) for lang, ts in texts.items()}
+    asked = ["lorem ipsum zyx", "  été! où ça -- naïf, LOREM", "krk krk wqv", "unheard of words", "où", "amet " * 500, "é x"]
+    found, letters = model.cross_entropies(asked)
+    assert letters.all() and model.languages == sorted(WORDS)
+    expected = [[plain[lang].cross_entropy(t) for lang in sorted(WORDS)] for t in asked]
+    assert np.allclose(found, expected)
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id int, text string")
+    for row in language_id.predicted(docs, model).collect():
+        own = expected[row["row"]["doc_id"]]
+        assert row["lang_pred"] == sorted(WORDS)[int(np.argmin(own))]
+        assert row["cross_entropy"] == pytest.approx(min(own))

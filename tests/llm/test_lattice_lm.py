@@ -119,3 +119,68 @@ def test_query(spark, sf_dir):
     rows = queries.op7_lattice_lm(spark, sf_dir).collect()
     check([(r.doc_id, r.text) for r in docs], rows, trains)
     assert all(r.held_out == (not trains(r.doc_id)) for r in rows)
+
+
+def segmentations(pieces, p, word):
+    """Every segmentation of a word as (probability, pieces)."""
+
+    def rest(at):
+        if at == len(word):
+            yield 1.0, ()
+            return
+        for e in range(at + 1, len(word) + 1):
+            if word[at:e] in pieces.inner:
+                place = pieces.inner[word[at:e]]
+                for q, way in rest(e):
+                    yield p[place] * q, (place, *way)
+        if word[at] not in pieces.inner:
+            places = tuple(int(pieces.bytes_[b]) for b in word[at].encode())
+            for q, way in rest(at + 1):
+                yield math.prod(p[x] for x in places) * q, (*places, *way)
+
+    for e in range(len(word) + 1):
+        if word[:e] in pieces.first:
+            place = pieces.first[word[:e]]
+            for q, way in rest(e):
+                yield p[place] * q, (place, *way)
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_score_of_texts_equals_listing_all_segmentations(spark, rounds):
+    texts = [
+        (0, "the cat the dog"), (1, "a cat sat dog"), (2, "The été sat sat"), (3, "日本 cat"), (4, None),
+        (5, "the unseen bird"), (6, "a a a zq9!"), (7, ""), (8, "été cats"),
+    ]
+    trains = lambda k: k < 5
+    counts = Counter()
+    for k, t in texts:
+        if trains(k):
+            counts.update([*(t or "").encode().lower().decode().split(), ""])
+    n, v = sum(counts.values()), len(counts)
+    once, twice = sum(c == 1 for c in counts.values()), sum(c == 2 for c in counts.values())
+    assert once and twice
+    discount = once / (once + 2 * twice)
+    probs = np.exp(PIECES.log_probs)
+    for _ in range(rounds):
+        expected = np.zeros(len(probs))
+        expected[PIECES.end] += 1
+        for word in counts:
+            ways = list(segmentations(PIECES, probs, word)) if word else []
+            total = sum(q for q, _ in ways)
+            for q, way in ways:
+                for place in way:
+                    expected[place] += q / total
+        prior = lattice_lm.PRIOR_PIECES
+        probs = (expected + prior * PIECES.prior) / (expected.sum() + prior)
+    end = probs[PIECES.end] / (probs[PIECES.end] + probs[list(PIECES.first.values())].sum())
+
+    def token(word):
+        lattice = sum(q for q, _ in segmentations(PIECES, probs, word)) if word else end
+        return math.log10(max(counts[word] - discount, 0) / n + discount * v / n * lattice), math.log10(lattice)
+
+    docs = spark.createDataFrame(texts, "doc_id int, text string").repartition(3)
+    found = {r.doc_id: r for r in lattice_lm.scored(docs, PIECES, F.col("doc_id") < 5, rounds=rounds).collect()}
+    for k, t in texts:
+        parts = [token(w) for w in [*(t or "").encode().lower().decode().split(), ""]]
+        assert found[k].score == pytest.approx(sum(a for a, _ in parts))
+        assert found[k].lattice_score == pytest.approx(sum(b for _, b in parts))

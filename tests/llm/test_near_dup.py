@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.llm import graph, near_dup
+from tallybrook.llm import graph, near_dup, queries
 
 
 def shingles(text, width):
@@ -139,3 +139,11 @@ def test_components_of_chains(spark, n):
 
 def test_components_without_links(spark):
     assert graph.components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = queries.op4_near_duplicates(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute([(r.doc_id, r.text) for r in docs], 4)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)

@@ -1,3 +1,5 @@
+import random
+
 import re
 from collections import Counter
 
@@ -82,3 +84,25 @@ def test_query_keeps_the_good(spark, sf_dir):
     good = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").collect()}
     judged = [r for r in rows if r.doc_id in good and not r.base_failed]
     assert sum(r.kept for r in judged) >= 0.98 * len(judged)
+
+
+def test_rules_reject_labelled_bad_texts_that_pass_the_base_rules(spark):
+    """Bad texts here break no base rule: only what is learned can tell them from good ones."""
+    rnd = random.Random(9)
+    rows, labels = [], []
+    for i in range(1200):
+        words = [f"w{rnd.randrange(3000)}" for _ in range(rnd.randint(30, 60))]
+        bad = i % 3 == 0
+        if bad:
+            words = [w + "#$%" if rnd.random() < 0.5 else w for w in words]
+        rows.append((i, " ".join(words)))
+        if i % 2:
+            labels.append((i, 0 if bad else 1))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    rules = quality_rules.learn(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    found = quality_rules.judged(docs, rules).select("row.doc_id", "base_failed", "kept").collect()
+    assert not any(r.base_failed for r in found)
+    for seen in (0, 1):
+        bad = [r.kept for r in found if r.doc_id % 3 == 0 and r.doc_id % 2 == seen]
+        good = [r.kept for r in found if r.doc_id % 3 and r.doc_id % 2 == seen]
+        assert sum(bad) < 0.05 * len(bad) and sum(good) > 0.95 * len(good)
