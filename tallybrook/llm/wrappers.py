@@ -312,6 +312,9 @@ class Plan:
                 for part in kid.kids if kid.key == "()" else [kid]:
                     found[part.key] = part
                     stack.append(part)
+        # Where nothing differs between pages, such as copies of one, all of it may be the article.
+        self.varies = self.root.n >= PAGES
+        self.varies = self.varies and self._mass(self.root) > 0
         self._choose()
 
     def kid(self, node: Node | None, key: str) -> Node | None:
@@ -321,7 +324,7 @@ class Plan:
     def _mass(self, node: Node) -> int:
         """Characters of text that changes from page to page, outside links and parts set apart."""
         if node.key == "#":
-            return 0 if node.literal is not None and self.root.n >= PAGES else node.chars - node.links
+            return 0 if node.literal is not None and self.varies else node.chars - node.links
         if node.key.endswith(("~", "!")):
             return 0
         return sum(self._mass(kid) for kid in node.kids)
@@ -340,7 +343,7 @@ class Plan:
         while stack:
             part = stack.pop()
             stack.extend(part.kids)
-            fixed = part.key == "#" and part.literal is not None and part.n >= PAGES
+            fixed = self.varies and part.key == "#" and part.literal is not None and part.n >= PAGES
             menu = part.key.startswith(("ul", "ol", "dl", "table")) and part.links > LINKS * part.chars
             if fixed or menu:
                 self.frame.add(id(part))

@@ -94,6 +94,12 @@ def test_region_of_pages_without_article_comes_from_the_host():
         assert extract(pages[i], *others) == "\n\n".join(f"text {i} {k} of a page" for k in range(n))
 
 
+def test_copies_of_one_page_keep_their_text():
+    page = "<body><nav>menu</nav><div><p>one</p><p>two</p></div><footer>f</footer>"
+    assert extract(page, page, page, page) == "one\n\ntwo"
+    assert extract("<div><p>Ha</p><p>Ha</p><p>Ha</p></div>") == "Ha\n\nHa\n\nHa"
+
+
 def test_mismatches_become_slots_optionals_and_groups():
     def expression(*pages):
         node = wrappers.of_page(markup.read(pages[0]))
