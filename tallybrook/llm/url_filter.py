@@ -10,6 +10,7 @@ few labelled pages is not blocked for one bad page.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 from typing import NamedTuple
 
@@ -20,8 +21,12 @@ from tallybrook.functions.text import once
 from tallybrook.llm.shared import settled
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Suffixes of two labels, under which domains are registered.
+# Suffixes of two labels under which domains are registered, as a default.
+# Callers pass a longer list, such as a public one; suffixes of three labels may be in it.
 DEEP_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
+# User names before a host, and a port after it.
+BESIDE_NAME = r"^.*@|:[0-9]*$"
+ADDRESS = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$"
 # The lower bound lies so many standard deviations under the middle (95 percent, one side).
 DEVIATIONS = 1.645
 MAX_BAD_SHARE = 0.5
@@ -69,15 +74,27 @@ def rule_found(rules: tuple[UrlRule, ...], host: Column, path: Column) -> Column
     return found
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*DEEP_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+def _tail(host: Column, suffixes: Collection[str], more: int) -> Column:
+    """A host's longest known suffix, or its last label, with `more` labels before it.
+
+    Users and ports are no part of it; an address is its own suffix and domain.
+    """
+    name = F.regexp_replace(host, BESIDE_NAME, "")
+    out = F.substring_index(name, ".", -1 - more)
+    for labels in (2, 3):
+        known = [s for s in suffixes if s.count(".") == labels - 1]
+        if known:
+            out = F.when(F.substring_index(name, ".", -labels).isin(*known), F.substring_index(name, ".", -labels - more)).otherwise(out)
+    return F.when(name.rlike(ADDRESS), name).otherwise(out)
+
+
+def suffix_of(host: Column, suffixes: Collection[str] = DEEP_SUFFIXES) -> Column:
+    return _tail(host, suffixes, 0)
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: Collection[str] = DEEP_SUFFIXES) -> Column:
     """The suffix and one label more; a host without one is its own domain."""
-    deep = F.substring_index(host, ".", -2).isin(*DEEP_SUFFIXES)
-    return F.when(deep, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+    return _tail(host, suffixes, 1)
 
 
 def _strength(groups: DataFrame) -> float:
@@ -95,7 +112,7 @@ def _strength(groups: DataFrame) -> float:
 
 
 def reputations(
-    hosts: DataFrame, deviations: float = DEVIATIONS
+    hosts: DataFrame, deviations: float = DEVIATIONS, suffixes: Collection[str] = DEEP_SUFFIXES
 ) -> DataFrame:
     """(host, n, bad, alpha, beta, mean, lower) from (host, n, bad), one row per host.
 
@@ -104,18 +121,19 @@ def reputations(
     """
     whole = hosts.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
     base = (whole["bad"] or 0) / whole["n"] if whole["n"] else 0.0
-    domains = hosts.groupBy(domain_of(F.col("host")).alias("domain")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy(suffix_of(F.col("domain")).alias("suffix")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    domains = hosts.groupBy(domain_of(F.col("host"), suffixes).alias("domain")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    of_all = domains.groupBy(suffix_of(F.col("domain"), suffixes).alias("suffix"))
+    of_all = of_all.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
     def shrunk(groups: DataFrame, name: str) -> DataFrame:
         weight = F.lit(_strength(groups))
         mean = (F.col("bad") + weight * F.col("prior")) / (F.col("n") + weight)
         return groups.select(F.col(name).alias(f"_{name}"), mean.alias("prior"))
 
-    of_suffix = shrunk(suffixes.withColumn("prior", F.lit(base)), "suffix")
-    under = domains.withColumn("_suffix", suffix_of(F.col("domain"))).join(of_suffix, "_suffix")
+    of_suffix = shrunk(of_all.withColumn("prior", F.lit(base)), "suffix")
+    under = domains.withColumn("_suffix", suffix_of(F.col("domain"), suffixes)).join(of_suffix, "_suffix")
     of_domain = shrunk(under, "domain")
-    under = hosts.withColumn("_domain", domain_of(F.col("host"))).join(of_domain, "_domain")
+    under = hosts.withColumn("_domain", domain_of(F.col("host"), suffixes)).join(of_domain, "_domain")
     weight = F.lit(_strength(under))
     alpha = F.col("bad") + weight * F.col("prior")
     beta = F.col("n") - F.col("bad") + weight * (1 - F.col("prior"))
@@ -135,13 +153,17 @@ def judged(
     url: str = "url",
     bad: str = "bad",
     max_bad_share: float = MAX_BAD_SHARE,
+    suffixes: Collection[str] = DEEP_SUFFIXES,
 ) -> DataFrame:
     """`row` (without `bad`), `host`, `path`, `rule`, `verdict`, `lower` for every page.
 
     `bad` is a page's label: true, false, or null where there is none. The rule
     decides where one fits; elsewhere a page is blocked when the posterior bound
     of its host exceeds `max_bad_share`. Null urls and urls without `://` have
-    the empty host, which is a host like others. Pages are counted per host with
+    the empty host, which is a host like others; a host of any length, or with a
+    port, or an address, is one too. Repeated rows are judged and counted each, an empty
+    table gives none, and columns of the page named like the added ones stay in `row`.
+    `suffixes` are those of more than one label. Pages are counted per host with
     map-side combine; the join that brings the verdict back sees one row per
     host, and a hot host's pages are split by adaptive execution.
     """
@@ -153,7 +175,7 @@ def judged(
         ),
         "hosts",
     )
-    known = reputations(hosts).select(F.col("host").alias("_host"), "lower")
+    known = reputations(hosts, suffixes=suffixes).select(F.col("host").alias("_host"), "lower")
     joined = parsed.join(known, F.col("host") == F.col("_host"), "left")
     lower = F.coalesce(F.col("lower"), F.lit(0.0))
     method = F.when(lower > max_bad_share, "block").otherwise("allow")
@@ -169,7 +191,18 @@ def judged(
     )
 
 
-# The same in SQL, for hosts without a two-label suffix.
+def _tail_sql(host: str, more: int) -> str:
+    """`_tail` in SQL, for suffixes of two labels."""
+    name = f"regexp_replace({host}, '{BESIDE_NAME}', '', 'g')"
+    last = lambda n: f"array_to_string(list_slice(string_split({name}, '.'), -{n}, -1), '.')"
+    listed = ", ".join(f"'{s}'" for s in DEEP_SUFFIXES)
+    return (
+        f"CASE WHEN regexp_matches({name}, '{ADDRESS}') THEN {name} "
+        f"WHEN {last(2)} IN ({listed}) THEN {last(2 + more)} ELSE {last(1 + more)} END"
+    )
+
+
+# The same in SQL.
 _LEVELS = reduce(
     lambda sql, level: f"""{sql},
   {level[0]}_in AS (SELECT g.*, {level[2]} AS prior FROM {level[0]} g {level[3]}),
@@ -196,11 +229,11 @@ WITH parsed AS (
 known AS (SELECT doc_id, min(quality) = 0 AS bad FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 hosts AS (
   SELECT host, count(bad) AS n, coalesce(sum(bad::INT), 0) AS bad,
-         array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain
+         {_tail_sql("host", 1)} AS domain
   FROM parsed LEFT JOIN known ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]+)', 1) AS BIGINT)
   GROUP BY host),
 domains AS (
-  SELECT domain, sum(n) AS n, sum(bad) AS bad, string_split(domain, '.')[-1] AS suffix FROM hosts GROUP BY domain),
+  SELECT domain, sum(n) AS n, sum(bad) AS bad, {_tail_sql("domain", 0)} AS suffix FROM hosts GROUP BY domain),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
 base AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0 END AS base FROM hosts){_LEVELS},
 ruled AS (

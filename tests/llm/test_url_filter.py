@@ -75,6 +75,27 @@ def test_domains(spark):
     ]
 
 
+def test_domains_of_addresses_ports_and_more_suffixes(spark):
+    suffixes = ("gov.au", "k12.ca.us", "ca.us")
+    cases = {
+        "x.a.gov.au": ("a.gov.au", "gov.au"), "b.gov.au:8080": ("b.gov.au", "gov.au"), "10.1.2.3": ("10.1.2.3", "10.1.2.3"),
+        "10.1.2.3:80": ("10.1.2.3", "10.1.2.3"), "[::1]:80": ("[::1]", "[::1]"), "u:p@www.x.org:1": ("x.org", "org"),
+        "w.school.k12.ca.us": ("school.k12.ca.us", "k12.ca.us"), "a.b.ca.us": ("b.ca.us", "ca.us"), "a." * 30_000 + "org": ("a.org", "org"),
+    }
+    rows = spark.createDataFrame([(h,) for h in cases], "h string")
+    found = rows.select("h", url_filter.domain_of(F.col("h"), suffixes), url_filter.suffix_of(F.col("h"), suffixes)).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == cases
+
+
+def test_sql_has_the_same_domains(spark, duck):
+    hosts = ["a.b.co.uk", "co.uk", "uk", "x.y.org", "10.1.2.3:8", "[::1]", "", "x.gov.uk:80", "u@v.w.com"]
+    rows = spark.createDataFrame([(h,) for h in hosts], "h string")
+    for more, of in ((1, url_filter.domain_of), (0, url_filter.suffix_of)):
+        values = ", ".join(f"('{h}')" for h in hosts)
+        expected = duck.execute(f"SELECT h, {url_filter._tail_sql('h', more)} FROM (VALUES {values}) t(h)").fetchall()
+        assert sorted(expected) == sorted(tuple(r) for r in rows.select("h", of(F.col("h"))).collect())
+
+
 def test_no_rows_and_other_columns(spark):
     pages = spark.createDataFrame([], "page_id int, url string, bad boolean")
     assert url_filter.judged(pages).count() == 0
