@@ -255,7 +255,7 @@ def partitioned_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("n_files"))
 
 
-PARTITIONED_SQL = f"SELECT o_custkey % {PARTS} AS part, count(*) AS n, 1 AS n_files FROM orders GROUP BY part"
+PARTITIONED_SQL = f"SELECT o_custkey % {PARTS} AS part, count(*) AS n, CAST(1 AS BIGINT) AS n_files FROM orders GROUP BY part"
 
 
 def first_match_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
