@@ -17,6 +17,7 @@ from tallybrook.plans.text_queries import KEYWORD_SQL, WORD_SQL
 from tallybrook.session import run_dir
 from tallybrook.sinks import files as sinks
 from tallybrook.sources import files as sources
+from tallybrook.sources.wide import wide_lines
 
 
 def _source_of(path: str) -> F.Column:
@@ -74,6 +75,16 @@ def charset_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.word_count(sources.charset_lines(spark, out, "ISO-8859-1"))
 
 
+def charset_wide_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts over text files in UTF-16, cut between tasks at whole code units."""
+    out = run_dir(spark, "charset-wide")
+    lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")))
+    plain = {"sep": "\x01", "quote": "\x00", "emptyValue": "", "encoding": "UTF-16LE"}
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(**plain, **kept).csv(out)
+    return text.word_count(wide_lines(spark, out, "UTF-16LE"))
+
+
 def delimited_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as tab-separated lines, read back typed, filtered, sorted."""
     out = run_dir(spark, "delimited")
@@ -142,6 +153,7 @@ QUERIES = {
     "file_listing": Query(file_listing, LISTING_SQL),
     "whole_file_chars": Query(whole_file_chars, WHOLE_SQL),
     "charset_words": Query(charset_words, WORD_SQL),
+    "charset_wide_words": Query(charset_wide_words, WORD_SQL),
     "delimited_rows": Query(delimited_rows, DELIMITED_SQL),
     "json_line_rows": Query(json_line_rows, JSON_LINES_SQL),
     "json_inferred_rows": Query(json_inferred_rows, INFERRED_SQL),

@@ -32,7 +32,7 @@ def charset_lines(spark: SparkSession, path: str | list[str], charset: str) -> D
     The line reader hands over the raw bytes of each line, and they are decoded
     in place, so large files still split between tasks. It holds for charsets
     in which the byte of a line feed is always a line feed (GBK, GB18030, Big5,
-    ISO-8859); UTF-16 is not one of them. Bytes that are not valid come out as
+    ISO-8859); UTF-16 and UTF-32 are read by `wide.wide_lines`. Bytes that are not valid come out as
     the replacement character.
     """
     with _any_charset(spark):
