@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -66,6 +67,57 @@ def test_rows_follow_the_schedule(sources):
     assert n > 50
 
 
+def test_many_sources(spark):
+    """Each source of thousands has its slot, and positions are those of the sorted slots."""
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), (F.pmod(F.hash("id"), F.lit(3000))).alias("source"))
+    rows = mixing.mixed(docs, block_rows=2).collect()
+    assert sorted(r.position for r in rows) == list(range(60_000))
+    ordered = sorted(rows, key=lambda r: r.position)
+    assert [r.slot for r in ordered] == sorted(r.slot for r in rows)
+    # The operator's own blocks give the same order as its positions.
+    by_position = sorted(mixing.mixed(docs).collect(), key=lambda r: r.position)
+    assert [r.doc_id for r in mixing.in_mixed_order(docs).collect()] == [r.doc_id for r in by_position]
+
+
+def test_five_thousand_sources_are_scheduled_in_seconds():
+    rnd = random.Random(2)
+    sizes = [int(rnd.paretovariate(0.7)) for _ in range(5000)]
+    start = time.monotonic()
+    parts = mixing.whole_parts([n**0.5 for n in sizes], 50_000)
+    slots_of = [[] for _ in parts]
+    for slot, i in enumerate(mixing.one_period(parts)):
+        slots_of[i].append(slot)
+    plan = mixing._Plan(sizes, parts, 16, slots_of)
+    spans = plan.spans()
+    assert time.monotonic() - start < 20
+    assert len(spans) <= 2 * len(sizes)
+    assert sum(size * (after - first) for first, after, _, size in spans) == sum(sizes)
+
+
+@pytest.mark.parametrize("sizes, parts", [([1], [1]), ([33, 7, 120], [5, 3, 2]), ([96, 48, 48], [2, 1, 1]), ([], [])])
+def test_turns_start_after_the_rows_before(spark, sizes, parts):
+    slots_of = [[] for _ in parts]
+    for slot, i in enumerate(mixing.one_period(parts)):
+        slots_of[i].append(slot)
+    plan = mixing._Plan(sizes, parts, 4, slots_of)
+    starts = {r["_turn"]: r.start for r in mixing._turn_starts(spark, plan).collect()}
+    n_turns = max((-(-n // (p * 4)) for n, p in zip(sizes, parts, strict=True)), default=0)
+    assert starts == {t: sum(min(n, t * p * 4) for n, p in zip(sizes, parts, strict=True)) for t in range(n_turns)}
+
+
+def test_rows_without_a_key_are_shared_out(spark):
+    """A third of the ids null: their rows are ranked in as many parts as the others."""
+    key = F.when(F.col("id") % 3 > 0, F.col("id"))
+    docs = spark.range(30_000).select(key.alias("doc_id"), F.lit("hot").alias("source"), F.hex("id").alias("text"), F.create_map("id", "id").alias("more"))
+    placed = mixing.mixed(docs, targets={"hot": 1.0}, block_rows=1)
+    rows = placed.collect()
+    assert sorted(r.position for r in rows) == list(range(30_000))
+    places = [r.position * 256 // 30_000 for r in rows if r.doc_id is None]
+    assert max(Counter(places).values()) < 4 * len(places) / 256 and len(set(places)) > 250
+    again = mixing.mixed(docs.repartition(7), targets={"hot": 1.0}, block_rows=1).collect()
+    assert {r.text: r.position for r in again} == {r.text: r.position for r in rows}
+
+
 def test_edges(edge, nothing):
     rows = mixing.mixed(edge).collect()
     assert sorted(r.position for r in rows) == list(range(edge.count()))
