@@ -30,6 +30,10 @@ COORDINATES = BANDS * ROWS
 MOST_BITS = 33
 # Buckets are compared in chunks of so many classes.
 CHUNK = 512
+# Chunks with so many shingles at most have all their intersections counted at once.
+COUNTED_SHINGLES = 1 << 20
+# Counters that shingles of large buckets share, to put rare shingles first.
+COUNTERS = 1 << 18
 # Texts are hashed in groups of about this many words.
 BATCH_WORDS = 1 << 16
 # The hashes of so many words are kept at hand.
@@ -171,11 +175,13 @@ def links_among(
     sides: np.ndarray,
     width: int,
     percent: int,
+    most_bits: int | None = MOST_BITS,
 ) -> list[tuple[bytes, bytes]]:
     """Links that join what is similar among the members of a chunk.
 
     `groups` has what is linked already; members of one group are not compared.
-    If `sides` holds both 0 and 1, only members of different sides are.
+    If `sides` holds both 0 and 1, only members of different sides are. Without
+    `most_bits`, sketches rule out no pair.
     """
     m = len(classes)
     if m < 2:
@@ -183,11 +189,21 @@ def links_among(
     size = sizes.astype(np.int64)
     far = np.bitwise_count(bits[:, None, 0] ^ bits[None, :, 0]).astype(np.uint8)
     far += np.bitwise_count(bits[:, None, 1] ^ bits[None, :, 1]).astype(np.uint8)
-    likely = np.triu(far <= MOST_BITS, 1)
+    likely = np.triu(far <= (most_bits if most_bits is not None else COORDINATES), 1)
     # The smaller set holds the intersection, the larger is held by the union.
     likely &= 100 * np.minimum(size[:, None], size[None, :]) >= percent * np.maximum(size[:, None], size[None, :])
     if len(set(sides.tolist())) > 1:
         likely &= sides[:, None] != sides[None, :]
+    numbers = {g: at for at, g in enumerate(dict.fromkeys(groups))}
+    numbered = np.array([numbers[g] for g in groups])
+    likely &= numbered[:, None] != numbered[None, :]
+    sets: dict[int, np.ndarray] = {}
+    if likely.sum() > 4 * m and size.sum() <= COUNTED_SHINGLES:
+        wanted = np.nonzero(likely.any(0) | likely.any(1))[0]
+        sets = {k: shingle_set(texts[k], width) for k in wanted.tolist()}
+        shared = _intersections(list(sets.values()))
+        either = size[wanted][:, None] + size[wanted][None, :] - shared
+        likely[np.ix_(wanted, wanted)] &= 100 * shared >= percent * either
     first, second = np.nonzero(likely)
     order = np.argsort(far[first, second], kind="stable")
     parent: dict = {g: g for g in groups}
@@ -198,7 +214,6 @@ def links_among(
             g = parent[g]
         return g
 
-    sets: dict[int, np.ndarray] = {}
     links = []
     for i, j in zip(first[order].tolist(), second[order].tolist(), strict=True):
         a, b = root(groups[i]), root(groups[j])
@@ -214,7 +229,28 @@ def links_among(
     return links
 
 
-def _chunk_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
+def _intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of all given sets, as a square."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = counts > 1
+    kept = several[place]
+    column = (np.cumsum(several) - 1)[place[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[kept][order], column[order]
+    out = np.zeros((m, m), np.float32)  # whole numbers far below 2**24
+    for low in range(0, int(several.sum()), 2048):
+        a, b = np.searchsorted(column, [low, low + 2048])
+        held = np.zeros((m, 2048), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        out += held @ held.T
+    # What only one set holds was left out.
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out.astype(np.int64)
+
+
+def _chunk_links(rows: DataFrame, width: int, percent: int, most_bits: int | None) -> DataFrame:
     """Links (a, b) within each chunk of rows (bucket, chunk, other, cls, n, s0, s1, grp, side, text).
 
     Chunks are dealt out by Spark and come sorted; one chunk at a time is held.
@@ -227,7 +263,7 @@ def _chunk_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
         columns = list(zip(*held, strict=True))
         bits = np.array([columns[2], columns[3]], np.int64).view(np.uint64).T
         return links_among(
-            list(columns[0]), np.array(columns[1]), bits, list(columns[6]), list(columns[4]), np.array(columns[5]), width, percent
+            list(columns[0]), np.array(columns[1]), bits, list(columns[6]), list(columns[4]), np.array(columns[5]), width, percent, most_bits
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,6 +290,7 @@ def near_duplicates(
     text: str = "text",
     width: int = 5,
     percent: int = 80,
+    most_bits: int | None = MOST_BITS,
 ) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every document.
 
@@ -265,11 +302,16 @@ def near_duplicates(
     than none: they count only where a component has no other key. Rows that
     repeat a key and text have the same component, and are kept alike.
 
-    A bucket of more than CHUNK classes is compared within chunks first. What
-    has not joined the bucket's largest component by then is compared with the
-    whole bucket, chunk by chunk, so no pair is left out, and no chunk grows.
+    Pairs of a bucket whose sketches differ in more than `most_bits` of 128 bits
+    are not compared; with None all are.
+
+    A bucket of more than CHUNK classes is compared within chunks first, dealt
+    twice. What has not joined the bucket's largest component by then is compared
+    with the whole bucket, chunk by chunk, so no pair is left out, and no chunk
+    grows. Classes none of whose rarest shingles another component has among its
+    own are left out of that: they cannot be similar to it.
     """
-    sig, nodes = _rooted(docs, key, text, width, percent)
+    sig, nodes = _rooted(docs, key, text, width, percent, most_bits)
     ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = nodes.select("cls", "root").join(ids, "root").select("cls", "component_id")
     result = sig.join(of_class, "cls", "left")
@@ -280,7 +322,9 @@ def near_duplicates(
     )
 
 
-def _rooted(docs: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _rooted(
+    docs: DataFrame, key: str, text: str, width: int, percent: int, most_bits: int | None
+) -> tuple[DataFrame, DataFrame]:
     """The signed documents, and (cls, least, root): each class with its smallest key and its component's root."""
     let_workers_import(docs.sparkSession)
     sig = settled(signed(docs, key, text, width), "signatures")
@@ -308,43 +352,113 @@ def _rooted(docs: DataFrame, key: str, text: str, width: int, percent: int) -> t
     alone = chunked.select(
         "*", F.lit(0).cast("long").alias("other"), F.col("cls").alias("grp"), F.lit(0).alias("side")
     )
-    links = settled(_chunk_links(alone, width, percent), "near-links", gather=True)
+    links = settled(_chunk_links(alone, width, percent, most_bits), "near-links", gather=True)
     large = members.where(F.col("members") > CHUNK)
     if not large.isEmpty():
-        more = _left_over(large, whole, links, width, percent)
-        links = links.unionByName(settled(more, "near-links", gather=True))
+        links = _across_chunks(large, whole, links, width, percent, most_bits)
     roots = components(links)
     nodes = classes.select("cls", "least").join(roots, F.col("cls") == F.col("node"), "left")
     return sig, nodes.select("cls", "least", F.coalesce("root", "cls").alias("root"))
 
 
-def _left_over(large: DataFrame, whole: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links of large buckets that chunks alone cannot show: the rest against everything."""
-    roots = components(links)
-    known = large.join(roots, F.col("cls") == F.col("node"), "left").select(
-        "bucket", "members", "cls", F.coalesce("root", "cls").alias("grp")
+def _across_chunks(
+    large: DataFrame, whole: DataFrame, links: DataFrame, width: int, percent: int, most_bits: int | None
+) -> DataFrame:
+    """The links, and those of large buckets that lie across their chunks."""
+    # Dealt anew, chunks hold members of every large component, which meet here.
+    known = _grouped(large, links)
+    several = known.groupBy("bucket").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b")
+    known = known.join(several.select("bucket"), "bucket", "left_semi")
+    chunks = F.ceil(F.col("members") / CHUNK)
+    again = known.withColumn("chunk", F.pmod(F.xxhash64(F.lit(3), "cls"), chunks)).withColumns(
+        {"other": F.lit(0).cast("long"), "side": F.lit(0)}
     )
-    known = settled(known, "large-buckets")
+    more = _chunk_links(again.join(whole, "cls"), width, percent, most_bits)
+    links = links.unionByName(settled(more, "near-links", gather=True))
+
+    # The rest of each bucket, against everything in it.
+    known = settled(_grouped(large, links), "large-buckets")
     sizes = known.groupBy("bucket", "grp").agg(F.count(F.lit(1)).alias("k"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "grp")).alias("top"))
-    rest = known.join(largest.select("bucket", F.col("top.grp").alias("top")), "bucket").where("grp <> top").drop("top")
-    # Only buckets in which something is left over.
-    counts = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("left"))
-    open_buckets = known.join(counts, "bucket")
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "grp")).alias("top"), F.count(F.lit(1)).alias("groups"))
+    opened = known.drop("members").join(
+        largest.where("groups > 1").select("bucket", F.col("top.grp").alias("top")), "bucket"
+    )
+    meeting = _meeting(opened.select("cls", "grp").distinct(), whole, width, percent)
+    opened = settled(opened.join(meeting, "cls", "left_semi"), "open-buckets")
+    counts = opened.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("members"), F.count_if(F.col("grp") != F.col("top")).alias("left")
+    )
     n_chunks = F.ceil(F.col("members") / CHUNK)
     n_others = F.ceil(F.col("left") / CHUNK)
-    every = open_buckets.withColumn("chunk", F.pmod(F.xxhash64("cls"), n_chunks)).withColumn(
+    counted = opened.join(counts.where("left > 0"), "bucket")
+    every = counted.withColumn("chunk", F.pmod(F.xxhash64("cls"), n_chunks)).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), n_others - 1))
     )
-    others = rest.join(counts, "bucket").withColumn("other", F.pmod(F.xxhash64(F.lit(2), "cls"), n_others))
+    others = counted.where("grp <> top").withColumn("other", F.pmod(F.xxhash64(F.lit(2), "cls"), n_others))
     others = others.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
     columns = ["bucket", "chunk", "other", "cls", "grp"]
     both = every.select(*columns, F.lit(0).alias("side")).unionByName(others.select(*columns, F.lit(1).alias("side")))
-    return _chunk_links(both.join(whole, "cls"), width, percent)
+    more = _chunk_links(both.join(whole, "cls"), width, percent, most_bits)
+    return links.unionByName(settled(more, "near-links", gather=True))
+
+
+def _grouped(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, members, cls, grp) of large buckets, by the components of the links so far."""
+    known = large.join(components(links), F.col("cls") == F.col("node"), "left")
+    return known.select("bucket", "members", "cls", F.coalesce("root", "cls").alias("grp"))
+
+
+def _meeting(classes: DataFrame, whole: DataFrame, width: int, percent: int) -> DataFrame:
+    """`cls` of those of (cls, grp) that may be similar to a class of another group.
+
+    Two sets with a similarity of `percent` have in common at least that share of
+    either. So in any one order of all shingles, each has a common shingle among
+    its first ones, as many as the share leaves out and one more. Rare shingles
+    come first: the order is by counters that shingles share, and by hash.
+    """
+    held = settled(whole.select("cls", "text").join(classes, "cls").select("cls", "grp", "text"), "open-texts")
+
+    def slots(shingles: np.ndarray) -> np.ndarray:
+        return (shingles % np.uint64(COUNTERS)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                np.add.at(counts, slots(shingle_set(value.as_py(), width)), 1)
+        used = np.nonzero(counts)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+
+    counted = held.select("text").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    table = counted.toArrow()  # one row per counter at most
+    totals = np.zeros(COUNTERS, np.int64)
+    totals[table.column("slot").to_numpy()] = table.column("n").to_numpy()
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, value in enumerate(batch.column(2)):
+                shingles = shingle_set(value.as_py(), width)
+                first = len(shingles) - -(-percent * len(shingles) // 100) + 1
+                # Sets are sorted by hash, and the sort is stable.
+                order = np.argsort(totals[slots(shingles)], kind="stable")[:first]
+                same = pa.array(np.zeros(len(order), np.int64))
+                cls, grp = (batch.column(c).slice(at, 1).take(same) for c in (0, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingles[order].view(np.int64)), cls, grp], names=["shingle", "cls", "grp"]
+                )
+
+    firsts = settled(held.mapInArrow(rare, "shingle bigint, cls binary, grp binary"), "rare-shingles")
+    groups = firsts.groupBy("shingle").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b")
+    return firsts.join(groups, "shingle", "left_semi").select("cls").distinct()
 
 
 def without_copies(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    percent: int = 80,
+    most_bits: int | None = MOST_BITS,
 ) -> DataFrame:
     """The documents with one row of each component left: that of its smallest key.
 
@@ -352,7 +466,7 @@ def without_copies(
     of the component stays; a null key stays only where a component has no other.
     A text without words is a copy of rows with its key and the same text only.
     """
-    sig, nodes = _rooted(docs, key, text, width, percent)
+    sig, nodes = _rooted(docs, key, text, width, percent, most_bits)
     first = F.struct(F.col("_key.id").isNull().alias("no_id"), F.col("_key").alias("_key"))
     of_class = sig.where("n > 0").groupBy("cls").agg(F.min(first).alias("first"))
     of_root = of_class.join(nodes.select("cls", "root"), "cls").groupBy("root").agg(F.min("first").alias("first"))

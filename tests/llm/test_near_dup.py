@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -78,6 +79,51 @@ def test_large_buckets_lose_no_link(spark, planted, monkeypatch):
     monkeypatch.setattr(near_dup, "CHUNK", 6)
     docs = spark.createDataFrame(planted, "doc_id bigint, text string")
     assert found(docs, width=4) == brute(planted, 4)
+    assert found(docs, width=4, most_bits=None) == brute(planted, 4)
+
+
+@pytest.mark.parametrize("counted", [0, 1 << 20])
+def test_counted_intersections_give_the_same_links(planted, monkeypatch, counted):
+    monkeypatch.setattr(near_dup, "COUNTED_SHINGLES", counted)
+    texts = [text for _, text in planted]
+    sets = [near_dup.shingle_set(t, 5) for t in texts]
+    shared = near_dup._intersections(sets)
+    assert shared.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    bits = near_dup.sketches(near_dup.signatures(sets)).view(np.uint64)
+    keys = [key for key, _ in planted]
+    links = near_dup.links_among(keys, np.array([len(x) for x in sets]), bits, texts, keys, np.zeros(len(keys)), 5, 80)
+    expected = brute(planted, 5)
+    assert len(links) == len(keys) - len({root for _, root in expected.values()})
+    assert all(expected[a][1] == expected[b][1] for a, b in links)
+
+
+def test_texts_of_one_template(spark):
+    """5,000 texts that share 60 words and have 26 of their own: one bucket, few links."""
+    rnd = random.Random(9)
+    frame = [f"t{i}" for i in range(60)]
+    own = [[f"w{rnd.randrange(10**6)}" for _ in range(26)] for _ in range(4900)]
+    for i in range(100):  # near copies, each with one word changed
+        other = list(own[i * 7])
+        other[rnd.randrange(26)] = "changed"
+        own.append(other)
+    rows = [(i, " ".join(frame + words)) for i, words in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    # Without a common shingle of their own, two have 56 of 108 in common; so only these are compared.
+    holders = {}
+    for i, words in enumerate(own):
+        every = frame[-4:] + words
+        for at in range(len(words)):
+            holders.setdefault(tuple(every[at : at + 5]), []).append(i)
+    pairs = {(a, b) for ids in holders.values() for a in ids for b in ids if a < b}
+    sets = [shingles(text, 5) for _, text in rows]
+    near = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    expected = dict(enumerate(range(len(rows))))
+    for a, b in sorted(near):
+        expected[b] = expected[a]
+    assert len(near) >= 95
+    start = time.monotonic()
+    assert {k: root for k, (_, root) in found(docs).items()} == expected
+    assert time.monotonic() - start < 180
 
 
 def test_edges(edge, nothing):
