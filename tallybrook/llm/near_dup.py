@@ -364,9 +364,10 @@ def _rooted(
 def _across_chunks(
     large: DataFrame, whole: DataFrame, links: DataFrame, width: int, percent: int, most_bits: int | None
 ) -> DataFrame:
-    """The links, and those of large buckets that lie across their chunks."""
+    """Links that join what `links` does, and those of large buckets that lie across their chunks."""
     # Dealt anew, chunks hold members of every large component, which meet here.
-    known = _grouped(large, links)
+    roots = components(links)
+    known = _grouped(large, roots)
     several = known.groupBy("bucket").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b")
     known = known.join(several.select("bucket"), "bucket", "left_semi")
     chunks = F.ceil(F.col("members") / CHUNK)
@@ -374,10 +375,11 @@ def _across_chunks(
         {"other": F.lit(0).cast("long"), "side": F.lit(0)}
     )
     more = _chunk_links(again.join(whole, "cls"), width, percent, most_bits)
-    links = links.unionByName(settled(more, "near-links", gather=True))
+    links = _joined(roots).unionByName(settled(more, "near-links", gather=True))
 
     # The rest of each bucket, against everything in it.
-    known = settled(_grouped(large, links), "large-buckets")
+    roots = components(links)
+    known = settled(_grouped(large, roots), "large-buckets")
     sizes = known.groupBy("bucket", "grp").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("k", "grp")).alias("top"), F.count(F.lit(1)).alias("groups"))
     opened = known.drop("members").join(
@@ -399,12 +401,17 @@ def _across_chunks(
     columns = ["bucket", "chunk", "other", "cls", "grp"]
     both = every.select(*columns, F.lit(0).alias("side")).unionByName(others.select(*columns, F.lit(1).alias("side")))
     more = _chunk_links(both.join(whole, "cls"), width, percent, most_bits)
-    return links.unionByName(settled(more, "near-links", gather=True))
+    return _joined(roots).unionByName(settled(more, "near-links", gather=True))
+
+
+def _joined(roots: DataFrame) -> DataFrame:
+    """Links (a, b) that say the same as the roots."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
-def _grouped(large: DataFrame, links: DataFrame) -> DataFrame:
-    """(bucket, members, cls, grp) of large buckets, by the components of the links so far."""
-    known = large.join(components(links), F.col("cls") == F.col("node"), "left")
+def _grouped(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, members, cls, grp) of large buckets, by the components so far."""
+    known = large.join(roots, F.col("cls") == F.col("node"), "left")
     return known.select("bucket", "members", "cls", F.coalesce("root", "cls").alias("grp"))
 
 

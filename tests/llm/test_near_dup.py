@@ -183,6 +183,12 @@ def test_components_of_chains(spark, n):
     assert roots == {i: 0 for i in range(n + 1)} | {i + 100: 100 for i in range(n + 1)}
 
 
+def test_components_across_tasks(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HELD_NODES", 5)
+    chain = spark.range(120).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(8)
+    assert {(r.node, r.root) for r in graph.components(chain).collect()} == {(i, 0) for i in range(121)}
+
+
 def test_components_without_links(spark):
     assert graph.components(spark.createDataFrame([], "a string, b string")).count() == 0
 
