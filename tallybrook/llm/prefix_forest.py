@@ -7,8 +7,9 @@ and then up in all trees at once, one symbol a step, until enough vectors share
 prefix with it; those are compared exactly. Large inner products are found by
 angles after vectors get one component more that evens out their lengths.
 
-Vectors lie in blocks of bounded size, each with a forest of its own; the stated
-queries meet every block. Equal vectors are one, with their smallest ids.
+Vectors lie in blocks of bounded size, each with a forest of its own in one task.
+Each vector is shuffled once, whatever the queries; the stated queries stream past
+every block. Equal vectors are one, with their smallest ids.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,6 +31,7 @@ TREES = 64
 DEPTH = 7
 SYMBOL_BITS = 8
 BLOCK_ROWS = 16_384
+# So many queries go down a forest at a time.
 QUERY_ROWS = 512
 # Trees are climbed until so many vectors of a block share a prefix with the query.
 CANDIDATES = 2_000
@@ -131,6 +133,38 @@ def _with_symbols(rows: DataFrame, vector: str, longest: float, is_query: bool)
     return rows.mapInArrow(run, schema)
 
 
+def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _symbols_of(marks: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), -1)
+
+
+def _nearest_of(
+    forest: Forest, vectors: np.ndarray, ids: list[list[int]], asking: pa.RecordBatch, k: int, enough: int
+) -> pa.RecordBatch:
+    """(query_id, vec_id, score): the k nearest of a block for each of some queries."""
+    queries = _matrix(asking.column(2), vectors.shape[1])
+    found: list[tuple[int, int, float]] = []
+    candidates = forest.candidates(_symbols_of(asking.column(3).to_pylist()), enough)
+    for query_id, query, met in zip(asking.column(1).to_pylist(), queries, candidates, strict=True):
+        scores = vectors[met] @ query
+        top = met
+        if len(met) > k + 1:
+            # A vector may stand for the query alone, so one more than k is looked at,
+            # and whatever ties with the last of them.
+            last = len(met) - k - 1
+            top = met[scores >= np.partition(scores, last)[last]]
+        exact = (vectors[top] * query).sum(axis=1)
+        own = [(-s, i) for s, at in zip(exact, top, strict=True) for i in ids[at] if i != query_id]
+        found += [(query_id, i, -s) for s, i in sorted(own)[:k]]
+    columns = zip(*found, strict=True) if found else ([], [], [])
+    kinds = (pa.int64(), pa.int64(), pa.float64())
+    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
+
+
 def nearest(
     rows: DataFrame,
     queries: DataFrame,
@@ -163,38 +197,39 @@ def nearest(
     asked = asked.where(_sound(F.col("vec"))).groupBy("query_id").agg(F.min("vec").alias("vec"))
     asked = settled(_with_symbols(asked.withColumn("width", F.size("vec")), "vec", 1.0, True), "queries", gather=True)
     n_blocks = max(1, -(-sums["n"] // BLOCK_ROWS))
-    n_parts = max(1, -(-asked.count() // QUERY_ROWS))
     indexed = _with_symbols(classes, "vec", max((sums["longest"] or 1.0) ** 0.5, 1e-300), False)
-    block = F.pmod(F.xxhash64("vec"), F.lit(n_blocks)).alias("block")
-    part = F.pmod(F.xxhash64("query_id"), F.lit(n_parts)).alias("part")
-    every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_parts - 1).cast("long"))).alias("part")
-    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block")
-    left = indexed.select("width", block, "vec", "ids", "symbols", every_part)
-    right = asked.select("width", part, "query_id", "vec", "symbols", every_block)
-
-    def search(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int, float]] = []
-        if len(held) and len(asking):
-            forest = Forest(np.frombuffer(b"".join(held["symbols"]), np.uint8).reshape(len(held), -1))
-            vectors = np.stack(held["vec"].to_numpy())
-            ids = held["ids"].to_list()
-            theirs = np.frombuffer(b"".join(asking["symbols"]), np.uint8).reshape(len(asking), -1)
-            each = zip(asking["query_id"].to_list(), asking["vec"].to_list(), forest.candidates(theirs, enough), strict=True)
-            for query_id, query, met in each:
-                scores = vectors[met] @ np.asarray(query)
-                top = met
-                if len(met) > k + 1:
-                    # A vector may stand for the query alone, so one more than k is looked at,
-                    # and whatever ties with the last of them.
-                    last = len(met) - k - 1
-                    top = met[scores >= np.partition(scores, last)[last]]
-                exact = (vectors[top] * np.asarray(query)).sum(axis=1)
-                own = [(-s, i) for s, at in zip(exact, top, strict=True) for i in ids[at] if i != query_id]
-                found += [(query_id, i, -s) for s, i in sorted(own)[:k]]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    keys = ["width", "block", "part"]
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
+    block = F.pmod(F.xxhash64("vec"), F.lit(n_blocks)).cast("int").alias("block")
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
+    no_id, no_ids = F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("array<long>").alias("ids")
+    held = indexed.select(block, "width", no_id, "vec", "symbols", "ids")
+    asking = asked.select(every_block, "width", "query_id", "vec", "symbols", no_ids)
+    # A block is a task: its vectors come first, those of each width before their queries.
+    dealt = held.unionByName(asking).repartitionById(n_blocks, F.col("block"))
+    dealt = dealt.drop("block").sortWithinPartitions("width", F.col("query_id").isNotNull())
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width, vectors, marks, ids, forest = None, [], [], [], None
+        for batch in batches:
+            widths = batch.column(0).to_numpy()
+            for own_width in np.unique(widths):
+                rows_ = batch.filter(pa.array(widths == own_width))
+                if own_width != width:
+                    width, vectors, marks, ids, forest = own_width, [], [], [], None
+                is_query = rows_.column(1).is_valid()
+                more, theirs = rows_.filter(pc.invert(is_query)), rows_.filter(is_query)
+                if len(more):
+                    vectors.append(_matrix(more.column(2), width))
+                    marks += more.column(3).to_pylist()
+                    ids += more.column(4).to_pylist()
+                if not len(theirs) or not ids:
+                    continue
+                if forest is None:
+                    forest = Forest(_symbols_of(marks))
+                    vectors = [np.concatenate(vectors)]
+                for at in range(0, len(theirs), QUERY_ROWS):
+                    yield _nearest_of(forest, vectors[0], ids, theirs.slice(at, QUERY_ROWS), k, enough)
+
+    met = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     ranked = met.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

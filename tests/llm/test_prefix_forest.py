@@ -76,6 +76,20 @@ def test_recall_over_blocks(spark, monkeypatch):
     assert recall >= 0.9
 
 
+def test_vectors_are_dealt_once(spark, monkeypatch):
+    monkeypatch.setattr(prefix_forest, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(prefix_forest, "QUERY_ROWS", 7)
+    rnd = np.random.default_rng(4)
+    rows = [(i, rnd.standard_normal(8 if i % 4 else 5).tolist()) for i in range(900)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    single = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+    ids = list(range(0, 900, 3))
+    same(found(frame, ids, enough=100), brute(single, set(ids), 20))
+    plan = prefix_forest.nearest(frame, frame.where("vec_id % 3 = 0"))._jdf.queryExecution().optimizedPlan().toString()
+    # Queries alone are repeated, once a block.
+    assert plan.count("Generate explode") == 1 and "CoGroup" not in plan
+
+
 def test_the_forest_climbs_until_there_are_enough():
     rnd = np.random.default_rng(1)
     held = prefix_forest.symbols(rnd.standard_normal((500, 16)))
