@@ -7,7 +7,8 @@ likely its pieces are to begin with; expected counts over the distinct training
 words then weight them anew. A word that training texts hold has one arc more in
 its lattice, the whole word, by its discounted count; the discounts are what the
 pieces share. The model factorises by words, so each distinct word of the corpus
-goes through the lattice once, and texts are summed by a join.
+goes through the lattice once. Texts sum the values of common words where they
+are read, and those of all others by a join.
 """
 
 from __future__ import annotations
@@ -36,10 +37,14 @@ PRIOR_PIECES = 3000.0
 ROUNDS = 1
 # Distinct words are sent on at latest when a task holds this many.
 HELD_WORDS = 100_000
+# The most common words, none longer than so many bytes, are known to every task; the others are joined.
+COMMON_WORDS, COMMON_BYTES = 50_000, 64
 # Words go through the lattice in groups of about this many characters.
 GROUP_CHARS = 100_000
 # Ids that occur more than once are marked in a table of so many slots by their hash.
 SLOTS = 1 << 20
+# What is summed over the tokens of a text.
+SUMS = ["known", "base", "log10p", "lattice"]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -366,10 +371,12 @@ def scored(
     of the lattice, `lattice_score` that of the lattice without whole words. Without training texts the vocabulary's own weights score.
     Repeated rows give repeated results.
 
-    Each text sends a row per distinct word, which meets the word's two values in
-    a hash join on the words; a very common word has a row per text, which
-    adaptive execution splits. Nothing is limited in number: the tables of
-    words grow with the corpus and stay in Spark.
+    At most COMMON_WORDS words of at most COMMON_BYTES bytes, the most common of
+    training texts, go to every task with their values, and each text sends one row with
+    their sums. Of all other words it sends a row each, which meets the word's
+    values in a hash join on the words; the table of words grows with the corpus
+    and stays in Spark. So no word of a great share of the texts is a join key
+    (but for longer ones, which adaptive execution splits).
     """
     let_workers_import(docs.sparkSession)
     counts = settled(word_counts(docs, text, trains), "word-counts")
@@ -397,13 +404,24 @@ def scored(
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["_word", "c", "log10p", "lattice"])
 
     end = log_end(model)
-    words = counts.mapInArrow(word_scores, "_word binary, c bigint, log10p double, lattice double").select(
+    values = counts.mapInArrow(word_scores, "_word binary, c bigint, log10p double, lattice double").select(
         "_word",
+        "c",
         (F.col("c") > 0).cast("long").alias("known"),
         F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))).alias("base"),
         "log10p",
         "lattice",
     )
+    values = settled(values, "word-values")
+    words = values.drop("c")
+    # Not more than 20 * COMMON_WORDS words have this share of all tokens, so little is sorted in one task.
+    often = (F.col("c") > 0) & (F.col("c") * (20 * COMMON_WORDS) >= n)
+    short = values.where(often & (F.octet_length("_word") <= COMMON_BYTES))
+    table = short.orderBy(F.col("c").desc(), "_word").limit(COMMON_WORDS).toArrow()
+    common = {word: at for at, word in enumerate(table.column("_word").to_pylist())}
+    known = np.stack([table.column(name).to_numpy().astype(float) for name in SUMS], axis=1)
+    # A last row of zeros, for all words that are not common.
+    known = np.vstack([known, np.zeros(len(SUMS))])
     # Flat columns of few bytes, as every text sends them with each of its words. Texts that
     # share an id are told apart by their hash; where an id has one row, the hash is null.
     given = docs.select(
@@ -429,23 +447,44 @@ def scored(
                 times.extend(own.values())
                 at.append(len(own))
                 if len(found) >= HELD_WORDS or i == batch.num_rows - 1:
-                    rows = pa.array(np.repeat(np.arange(i + 1 - len(at), i + 1), at))
-                    keys = [batch.column(0).take(rows), hashes.take(rows)]
-                    columns = [*keys, pa.array(found, pa.binary()), pa.array(times, pa.int32())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["_id", "_hash", "word", "times"])
+                    texts = np.arange(i + 1 - len(at), i + 1)
+                    yield from sent(batch.column(0), hashes, batch.column(1), texts, at, found, times)
                     at, found, times = [], [], []
 
-    rows = given.mapInArrow(text_words, f"_id {kind}, _hash bigint, word binary, times int")
+    def sent(ids, hashes, keys, texts: np.ndarray, at: list[int], found: list[bytes], times: list[int]):
+        place = np.fromiter((common.get(w, -1) for w in found), np.int64, len(found))
+        many = np.array(times, np.int64)
+        is_common = place >= 0
+        weighed = many[:, None] * known[place]
+        starts = np.cumsum([0, *at[:-1]])
+        sums = np.add.reduceat(weighed, starts)
+        tokens = np.add.reduceat(np.where(is_common, many, 0), starts)
+        of_text = pa.array(texts)
+        # A text's own row meets no word, as none holds a space; its key shares these rows out.
+        nowhere = pa.array([b" %d" % (k or 0) for k in keys.take(of_text).to_pylist()], pa.binary())
+        packed = pa.StructArray.from_arrays([pa.array(c) for c in sums.T], names=SUMS)
+        names = ["_id", "_hash", "word", "times", "sums"]
+        own_rows = [ids.take(of_text), hashes.take(of_text), nowhere, pa.array(tokens), packed]
+        yield pa.RecordBatch.from_arrays(own_rows, names=names)
+        others = np.flatnonzero(~is_common)
+        rows = pa.array(np.repeat(texts, at)[others])
+        rare = pa.array([found[i] for i in others.tolist()], pa.binary())
+        rest = [ids.take(rows), hashes.take(rows), rare, pa.array(many[others]), pa.nulls(len(others), packed.type)]
+        yield pa.RecordBatch.from_arrays(rest, names=names)
+
+    packed_type = ", ".join(f"{name}: double" for name in SUMS)
+    rows = given.mapInArrow(text_words, f"_id {kind}, _hash bigint, word binary, times bigint, sums struct<{packed_type}>")
     # The words have one row each, so a part of them is a small table to hash.
-    met = rows.join(words.hint("shuffle_hash"), F.col("word") == F.col("_word"))
+    met = rows.join(words.hint("shuffle_hash"), F.col("word") == F.col("_word"), "left")
     times = F.col("times")
+    total = {name: F.sum(F.coalesce(F.col("sums")[name], times * F.col(name))) for name in SUMS}
     per_text = met.groupBy("_id", "_hash").agg(
         F.sum(times).alias("n_tokens"),
-        F.sum(times * F.col("known")).alias("n_known"),
-        F.sum(times * F.col("base")).alias("base_score"),
-        F.sum(times * F.col("log10p")).alias("score"),
-        F.sum(times * F.col("lattice")).alias("lattice_score"),
-        F.count_if(F.octet_length("word") == 0).alias("copies"),
+        total["known"].alias("n_known"),
+        total["base"].alias("base_score"),
+        total["log10p"].alias("score"),
+        total["lattice"].alias("lattice_score"),
+        F.count("sums").alias("copies"),
     )
     # Rows that repeat an id and text were summed together.
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
