@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 
 def part_of(spread: Column, parts: int) -> Column:
-    """Which of `parts` a row belongs to; `spread` is a bigint that differs between a key's rows."""
+    """Which of `parts` a row belongs to; `spread` is a bigint that differs between a key's rows.
+
+    A single part takes rows without a `spread` as well.
+    """
     if parts < 1:
         raise ValueError("parts must be at least 1")
-    return F.pmod(spread.cast("bigint"), F.lit(parts).cast("bigint"))
+    part = F.pmod(spread.cast("bigint"), F.lit(parts).cast("bigint"))
+    return F.coalesce(part, F.lit(0)) if parts == 1 else part
 
 
 def concat_groups(

@@ -11,9 +11,6 @@ from tallybrook.operators import relational, text
 from tallybrook.plans.tables import Query, table
 from tallybrook.sinks.files import tab_lines
 
-# The sentences of a source are joined into so many texts.
-PARTS = 4096
-
 _MARKS_SQL = "(" + ", ".join(f"'{m}'" for m in C.MARKS) + ")"
 _CHARS_SQL = """
   SELECT unnest(string_split(replace(text, chr(10), ''), '')) AS ch FROM documents
@@ -121,15 +118,15 @@ def keyword_sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentence_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All found sentences of a source, in PARTS parts."""
+    """All found sentences of a source, sorted and joined into one text."""
     spread = F.col("doc_id") + F.col("pos")
-    return text.sentences_by_key(_found(spark, sf_dir), ["source"], spread, parts=PARTS)
+    return text.sentences_by_key(_found(spark, sf_dir), ["source"], spread, parts=1)
 
 
 CONCAT_SQL = f"""
-SELECT source, (doc_id + pos) % {PARTS} AS part, count(*) AS n_values,
+SELECT source, CAST(0 AS BIGINT) AS part, count(*) AS n_values,
        string_agg(sentence, '---|---' ORDER BY sentence) AS joined
-FROM ({SENTENCES_SQL}) GROUP BY source, part
+FROM ({SENTENCES_SQL}) GROUP BY source
 """
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybrook import constants as C
 from tallybrook.functions import text as tf
 from tallybrook.operators import groups, text
+from tallybrook.plans import text_queries
 
 SLOW = settings(
     max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -174,3 +175,18 @@ def test_hot_key_of_two_sides_stays_small(spark):
 def test_lists_ask_for_their_parts(spark):
     with pytest.raises(TypeError):
         groups.cogroup_lists(spark.range(1), spark.range(1), ["id"], "id", "id")
+
+
+def test_one_part_takes_rows_without_a_spread(spark):
+    frame = spark.createDataFrame([("a", "y", 1), ("a", "x", None), ("b", "z", None)], "k string, v string, id long")
+    rows = groups.concat_groups(frame, ["k"], "v", F.col("id"), "|", parts=1).orderBy("k").collect()
+    assert [(r.k, r.part, r.n_values, r.joined) for r in rows] == [("a", 0, 2, "x|y"), ("b", 0, 1, "z")]
+
+
+def test_sentences_of_a_source_are_one_sorted_text(spark, sf_dir):
+    counts = {r.source: r.n for r in text_queries.keyword_sentences(spark, sf_dir).collect()}
+    rows = text_queries.sentence_concat(spark, sf_dir).collect()
+    assert len(rows) == len(counts) and {r.source: r.n_values for r in rows} == counts
+    for row in rows:
+        values = row.joined.split("---|---")
+        assert values == sorted(values) and len(values) == row.n_values
