@@ -68,26 +68,22 @@ FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id
 """
 
 
-LIST_PARTS = 4096
-
-
 def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts of both kinds per user and part, shown as text; a user's events fall into LIST_PARTS parts."""
+    """All amounts of both kinds per user, sorted and shown as text."""
     clicks, purchases = _kind(spark, sf_dir, "click"), _kind(spark, sf_dir, "purchase")
-    lists = groups.cogroup_lists(clicks, purchases, ["user_id"], "amount", "event_id", parts=LIST_PARTS)
+    lists = groups.cogroup_lists(clicks, purchases, ["user_id"], "amount", "event_id", parts=1)
     shown = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in lists.columns[2:]}
     return lists.withColumns(shown)
 
 
-COGROUP_LISTS_SQL = f"""
-WITH e AS (SELECT user_id, event_id % {LIST_PARTS} AS part, event_type,
-                  CAST(round(value * 100) AS BIGINT) AS amount FROM events)
-SELECT user_id, part,
+COGROUP_LISTS_SQL = """
+WITH e AS (SELECT user_id, event_type, CAST(round(value * 100) AS BIGINT) AS amount FROM events)
+SELECT user_id, CAST(0 AS BIGINT) AS part,
        coalesce(string_agg(CAST(amount AS VARCHAR), ',' ORDER BY amount)
                 FILTER (WHERE event_type = 'click'), '') AS left_values,
        coalesce(string_agg(CAST(amount AS VARCHAR), ',' ORDER BY amount)
                 FILTER (WHERE event_type = 'purchase'), '') AS right_values
-FROM e WHERE event_type IN ('click', 'purchase') GROUP BY user_id, part
+FROM e WHERE event_type IN ('click', 'purchase') GROUP BY user_id
 """
 
 

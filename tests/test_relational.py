@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import relational as r
-from tallybrook.plans import jobs
+from tallybrook.plans import jobs, table_queries
 
 
 @pytest.fixture(scope="module")
@@ -125,3 +125,12 @@ def test_dictionary_rows(spark):
 
 def test_sample_with_replacement(people):
     assert r.sample_rows(people, 5.0, 1, with_replacement=True).count() > 6
+
+
+def test_lists_of_a_user_are_whole(spark, sf_dir):
+    counts = {r.user_id: (r.n_left, r.n_right) for r in table_queries.cogroup_counts(spark, sf_dir).collect()}
+    rows = table_queries.cogroup_lists(spark, sf_dir).collect()
+    found = {r.user_id: tuple([int(v) for v in side.split(",") if v] for side in (r.left_values, r.right_values)) for r in rows}
+    assert len(rows) == len(counts)
+    assert {user: tuple(map(len, sides)) for user, sides in found.items()} == counts
+    assert all(side == sorted(side) for sides in found.values() for side in sides)
