@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from datetime import timedelta
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallybrook import constants as C
@@ -123,69 +126,123 @@ def ring_windows(
     lateness: str = "10 minutes",
     length_minutes: int = C.WINDOW_LENGTH_MINUTES,
     slide_minutes: int = C.WINDOW_SLIDE_MINUTES,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """(window_start, key, n) as a stream to append: each window once, when it is final.
 
-    The state of a key is a ring of counts, one per slide interval that is not yet in all
-    of its windows. As the watermark moves on, a window's count is the last one's, plus the
-    interval that enters it, less the one that leaves. Tasks count their rows per key and
-    interval before the shuffle; such a count is dropped where all of it lies behind the
-    watermark. Rows without a time are left out.
+    Tasks count their rows per key and interval before the shuffle; such a count is dropped
+    where all of it lies behind the watermark. Rows without a time are left out. The counts
+    are kept and summed up as `windows_of_counts` says.
     """
-    slide, length = slide_minutes * 60_000, length_minutes * 60_000
-    if length % slide:
-        raise ValueError("the length of a window must be a multiple of its slide")
-    field = rows.schema[key]
-    out = T.StructType([T.StructField("window_start", T.TimestampType()), field, T.StructField("n", T.LongType())])
+    counts = interval_counts(rows, key, ts, slide_minutes).withWatermark("newest", lateness)
+    return windows_of_counts(counts, key, length_minutes, slide_minutes, buckets)
+
+
+def interval_counts(rows: DataFrame, key: str, ts: str, slide_minutes: int) -> DataFrame:
+    """(key, at, n, newest): rows per key and slide interval as tasks count them, in parts, and their newest time."""
+    slide = slide_minutes * 60_000
     timed = rows.select(key, F.col(ts).cast("timestamp").alias("newest")).where("newest IS NOT NULL")
     names = [key, "at", "n", "newest"]
-    parts = T.StructType([field, *(T.StructField(n, T.LongType()) for n in names[1:3]), T.StructField("newest", T.TimestampType())])
+    parts = T.StructType([rows.schema[key], *(T.StructField(n, T.LongType()) for n in names[1:3]), T.StructField("newest", T.TimestampType())])
+    # Rows that a task counts at a time.
+    many = 1_000_000
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = pa.Table.from_batches([batch]).group_by([key, "at"])
-            counts = groups.aggregate([([], "count_all"), ("newest", "max")])
-            yield from counts.rename_columns(names).to_batches()
+        held, size = [], 0
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                size += batch.num_rows
+            if held and (batch is None or size >= many):
+                counts = pa.Table.from_batches(held).group_by([key, "at"]).aggregate([([], "count_all"), ("newest", "max")])
+                yield from counts.rename_columns(names).to_batches(max_chunksize=10_000)
+                held, size = [], 0
 
     start = (F.floor(F.unix_millis("newest") / slide) * slide).cast("long")
-    partial = timed.withColumn("at", start).mapInArrow(counted, parts).withWatermark("newest", lateness)
+    return timed.withColumn("at", start).mapInArrow(counted, parts)
+
+
+def windows_of_counts(
+    counts: DataFrame, key: str, length_minutes: int, slide_minutes: int, buckets: int = BUCKETS
+) -> DataFrame:
+    """(window_start, key, n) as a stream to append, from a stream of counts per slide interval.
+
+    The counts have the key, `at` (the start of the interval in millis), `n` and a watermark;
+    those of one key and interval may come in parts. Keys share `buckets` states, as a state
+    has a price of its own however few counts are in it: a bucket holds, as one Arrow table,
+    the counts of intervals that are not yet in all of their windows, and the end of the last
+    window that was emitted. Null keys have a bucket to themselves. As the watermark moves on,
+    the counts are added up into the windows that it has passed. Choose so many buckets that
+    the open counts of one fit in a row. The number is part of a checkpoint.
+    """
+    slide, length = slide_minutes * 60_000, length_minutes * 60_000
+    if length % slide:
+        raise ValueError("the length of a window must be a multiple of its slide")
+    field = counts.schema[key]
+    out = T.StructType([T.StructField("window_start", T.TimestampType()), field, T.StructField("n", T.LongType())])
+    schema = pa.schema([(key, to_arrow_type(field.dataType)), ("at", pa.int64()), ("n", pa.int64())])
+    # Intervals whose windows are worked out at a time.
+    many = 100_000
+
+    def packed(ring: pa.Table) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema) as writer:
+            writer.write_table(ring)
+        return sink.getvalue().to_pybytes()
+
+    def closing(ring: pa.Table, floor: int, closed: int) -> Iterator[pd.DataFrame]:
+        """The windows that end after `floor` and not after `closed`."""
+        ats = ring["at"].to_numpy()
+        ring = ring.filter(pa.array((ats + slide <= closed) & (ats + length > floor)))
+        keys = ring[key].combine_chunks().dictionary_encode()
+        codes = np.asarray(keys.indices.fill_null(0), np.int64)
+        order = np.argsort(codes, kind="stable")
+        codes, ats, ns = codes[order], ring["at"].to_numpy()[order], ring["n"].to_numpy()[order]
+        # A key's intervals stay together.
+        begins = np.flatnonzero(np.diff(codes, prepend=-1))
+        cuts = [*begins[np.flatnonzero(np.diff(begins // many, prepend=-1))], len(codes)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            ends = ats[low:high, None] + np.arange(slide, length + slide, slide)
+            met = (ends > floor) & (ends <= closed)
+            of, n = (np.broadcast_to(v[low:high, None], ends.shape)[met] for v in (codes, ns))
+            ends = ends[met]
+            order = np.lexsort((ends, of))
+            of, ends, n = of[order], ends[order], n[order]
+            first = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(ends, prepend=-1) != 0))
+            yield pd.DataFrame(
+                {
+                    "window_start": pd.to_datetime(ends[first] - length, unit="ms", utc=True),
+                    key: keys.dictionary.take(pa.array(of[first])).to_pandas() if len(keys.dictionary) else None,
+                    "n": np.add.reduceat(n, first),
+                }
+            )
 
     def slid(of: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # Counts by interval, and the end of the last window that was emitted.
-        starts, counts, emitted = state.get if state.exists else ([], [], None)
-        ring = dict(zip(starts, counts, strict=True))
-        watermark = state.getCurrentWatermarkMs()
+        kept, floor = state.get if state.exists else (None, None)
+        tables = [] if kept is None else [pa.ipc.open_stream(bytes(kept)).read_all()]
         if not state.hasTimedOut:
             for frame in frames:
-                for at, n in zip(frame["at"].tolist(), frame["n"].tolist(), strict=True):
-                    ring[at] = ring.get(at, 0) + n
+                columns = [pa.array(frame[f.name], f.type, from_pandas=of[0] < 0) for f in schema]
+                tables.append(pa.Table.from_arrays(columns, schema=schema))
+        ring = pa.concat_tables(tables).group_by([key, "at"]).aggregate([("n", "sum")])
+        ring = pa.Table.from_arrays([ring[key], ring["at"], ring["n_sum"]], schema=schema)
+        watermark = state.getCurrentWatermarkMs()
         closed = watermark // slide * slide
-        floor = closed if emitted is None else emitted
-        found: list[tuple[int, int]] = []
-        if ring and closed > floor:
-            end, total = floor, sum(n for at, n in ring.items() if floor - length <= at < floor)
-            while end < closed:
-                if total == 0:
-                    # No interval of the ring is in this window: go on to the next that one enters.
-                    later = [at for at in ring if at >= end]
-                    if not later or min(later) >= closed:
-                        break
-                    end = min(later)
-                end += slide
-                total += ring.get(end - slide, 0) - ring.get(end - slide - length, 0)
-                if total:
-                    found.append((end - length, total))
-        emitted = max(floor, closed)
+        if floor is None:
+            # No window of the bucket is out yet.
+            floor = min(closed, pc.min(ring["at"]).as_py())
+        if closed > floor and ring.num_rows:
+            yield from closing(ring, floor, closed)
+        floor = max(floor, closed)
         # An interval is in windows that end up to `length` after it.
-        ring = {at: n for at, n in ring.items() if at + length > emitted}
-        if ring:
-            state.update((list(ring), list(ring.values()), emitted))
-            state.setTimeoutTimestamp(max(min(max(at, emitted) for at in ring) + slide - 1, watermark + 1))
-        elif state.exists:
-            state.remove()
-        if found:
-            begun = pd.to_datetime(np.array([s for s, _ in found]), unit="ms", utc=True)
-            yield pd.DataFrame({"window_start": begun, key: of[0], "n": [n for _, n in found]})
-
-    kept = "starts array<bigint>, counts array<bigint>, emitted bigint"
-    return partial.groupBy(key).applyInPandasWithState(slid, out, kept, "append", GroupStateTimeout.EventTimeTimeout)
+        ring = ring.filter(pc.greater(ring["at"], floor - length))
+        # The end of the last window emitted is kept where no interval is.
+        state.update((packed(ring), floor))
+        if ring.num_rows:
+            state.setTimeoutTimestamp(max(max(pc.min(ring["at"]).as_py(), floor) + slide - 1, watermark + 1))
+
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    dealt = counts.withColumn("bucket", F.when(F.col(key).isNull(), -1).otherwise(bucket))
+    return dealt.groupBy("bucket").applyInPandasWithState(
+        slid, out, "ring binary, emitted bigint", "append", GroupStateTimeout.EventTimeTimeout
+    )

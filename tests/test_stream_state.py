@@ -191,3 +191,17 @@ def test_a_writer_may_pass_rows_over(spark):
             assert error is None
 
     row_sink.for_each_row(spark.range(5), Shut())
+
+
+def most_states(query):
+    return max(sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress)
+
+
+def test_ring_keys_share_states(spark, tmp_path):
+    put(spark, f"{tmp_path}/in", [(f"k{i}", at(60 * (i % 7))) for i in range(900)] + [("end", at(4000))], CALL, 0)
+    windowed = state.ring_windows(parquet_stream(spark, f"{tmp_path}/in", CALL), "call", buckets=8)
+    query = write_closed(windowed, f"{tmp_path}/out", f"{tmp_path}/ck")
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert len(rows) == 9000 and len({(r["call"], r["window_start"]) for r in rows}) == 9000
+    assert 0 < most_states(query) <= 8
