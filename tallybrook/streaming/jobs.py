@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybrook import constants as C
 from tallybrook.functions import clock
 from tallybrook.operators import behavior, relational, text, windows
+from tallybrook.streaming import state
 from tallybrook.streaming.runner import State, write_per_batch, write_timed_batches
 
 
@@ -87,8 +89,8 @@ def preference_totals(
 ) -> StreamingQuery:
     """Preference counts since the start: the changed counts of every batch."""
     counts = behavior.preference_counts(behavior.preferences(messages, column))
-    state = State(("user_id", "info_type"), ("n",))
-    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", state)
+    kept = State(("user_id", "info_type"), ("n",))
+    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", kept)
 
 
 def running_counts(
@@ -96,8 +98,8 @@ def running_counts(
 ) -> StreamingQuery:
     """Rows per key since the start: the changed counts of every batch."""
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    state = State(tuple(keys), ("n",))
-    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", state)
+    kept = State(tuple(keys), ("n",))
+    return write_per_batch(counts, lambda batch: batch, out, checkpoint, interval, "update", kept)
 
 
 def _timed(rows: DataFrame, ts: str, lateness: str, *keep: str) -> DataFrame:
@@ -170,20 +172,18 @@ def closed_windows(
 ) -> DataFrame:
     """(window_start, key, n) as a stream to append: each window once, when it is final.
 
-    Rows that come after the watermark has passed their window are dropped. Rows
-    are counted per slide interval, and only the counts are copied into windows.
+    Rows that come after the watermark has passed their slide interval are dropped; all
+    rows of an interval that is still open count. So the watermark goes by the ends of
+    intervals: it is where that of the times is, cut to whole slides, which closes the same
+    windows. A lateness that is no multiple of the slide is rounded up to one.
+    `state.windows_of_counts` holds each count once, not once per window.
     """
-    intervals = (
-        _timed(rows, ts, lateness, key)
-        .groupBy(F.window(ts, f"{slide_minutes} minutes").alias("_m"), key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    window = F.window("_m", f"{length_minutes} minutes", f"{slide_minutes} minutes")
-    return (
-        intervals.groupBy(window.alias("_w"), key)
-        .agg(F.sum("_n").alias("n"))
-        .select(F.col("_w.start").alias("window_start"), key, "n")
-    )
+    slide = slide_minutes * 60_000
+    wait = -(-pd.Timedelta(lateness) // timedelta(milliseconds=slide)) * slide
+    counts = state.interval_counts(rows, key, ts, slide_minutes)
+    ends = counts.select(key, "at", "n", F.timestamp_millis(F.col("at") + slide).alias("until"))
+    timed = ends.withWatermark("until", f"{wait + slide} milliseconds")
+    return state.windows_of_counts(timed, key, length_minutes, slide_minutes)
 
 
 def with_lookup(

@@ -2,7 +2,7 @@
 
 import os
 import shutil
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
@@ -122,6 +122,25 @@ def test_closed_windows_equal_batch(spark, folders):
     assert final.count() > 100
 
 
+def test_closed_windows_hold_a_count_once(spark, folders):
+    """Keys share states, null is a key, and a late row of an interval that is still open counts."""
+    schema = "ip string, ts timestamp_ntz"
+    many = [(f"k{i}", i % 40) for i in range(3000)]
+    for data in [[*many, (None, 5), ("a", 60 + 50 / 60)], [("a", 61)], [("a", 31 + 10 / 60), ("b", 20)], [("a", 200)]]:
+        data = [(k, START + timedelta(minutes=m)) for k, m in data]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(folders["in"])
+    stream = parquet_stream(spark, folders["in"], schema, max_files=1)
+    query = write_closed(jobs.closed_windows(stream, "ip", lateness="30 minutes"), folders["out"], folders["ck"])
+    query.awaitTermination()
+    found = spark.read.parquet(folders["out"]).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    every = windows.sliding_counts(spark.read.parquet(folders["in"]).where("ip <> 'b' OR ip IS NULL"), "ip")
+    final = every.where(F.col("window_start") < F.lit(START + timedelta(minutes=161)))
+    columns = ("window_start", "ip", "n")
+    assert Counter(map(tuple, found.select(*columns).collect())) == Counter(map(tuple, final.select(*columns).collect()))
+    # No state has more rows than there are buckets, with one for null.
+    assert max(sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress) <= 1025
+
+
 def test_window_state_equals_batch(spark, folders):
     stream = hits(spark, folders, [range(0, 15), range(10, 25)])
     query = jobs.interval_state(stream, "ip", folders["out"], folders["ck"], interval=None)
