@@ -88,9 +88,11 @@ def with_statistics(docs: DataFrame, text: str = "text", stats: str = "stats") -
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     split = given.select("row", "text", once(words(F.col("text"))).alias("words"))
+    split = split.select("row", "text", "words", once(F.transform("words", lambda word: F.xxhash64(word))).alias("hashes"))
     last = F.size("words") - WINDOW
+    # A window's hash is made of those of its words, which are worked out once.
     windows = F.transform(
-        F.sequence(F.lit(1), last + 1), lambda at: F.xxhash64(F.slice("words", at, WINDOW))
+        F.sequence(F.lit(0), last), lambda at: F.xxhash64(*[F.get("hashes", at + i) for i in range(WINDOW)])
     )
     none = F.array().cast("array<bigint>")
     hashed = split.select("row", "text", "words", once(F.when(last >= 0, windows).otherwise(none)).alias("windows"))
